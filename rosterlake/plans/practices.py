@@ -45,7 +45,8 @@ def infer_groups(directory: DataFrame, late_years: Sequence[int] = (2018, 2019,
     details = ["zip", "org_name", "group_size", "state", "phone"]
     known = batch_fill(known, place, ["group_id"], blank_ids=["phone"])
     known = batch_fill(known, ["npi", "group_id"], details)
-    known = cut(known.withColumn("__late", F.year("date").isin(list(late_years))))
+    late = F.coalesce(F.year("date").isin(list(late_years)), F.lit(False))
+    known = cut(known.withColumn("__late", late))
     known = batch_fill(known, ["npi", "group_id", "__late"], details)
     known = cut(batch_fill(known, [*place, "__late"], ["group_id"], blank_ids=["phone"]))
     bundle = ["npi", "state", "zip", "__late"]
@@ -131,7 +132,11 @@ def infer_all_groups(inferred: DataFrame, locations: DataFrame,
 
     found = natural_join(attach("group_id"), attach("my_group_id"), "outer", on=own)
     grown = base.unionByName(found.select(*base.columns)).distinct()
-    out = natural_join(grown, registry, "outer", on=own)
+    # blank phones of the two sources are different values
+    blank = F.col("phone").isNull()
+    out = natural_join(grown.withColumn("__blank", F.when(blank, "directory")),
+                       registry.withColumn("__blank", F.when(blank, "registry")),
+                       "outer", on=[*own, "__blank"]).drop("__blank")
 
     def dates(df: DataFrame) -> DataFrame:
         return df.groupBy("npi").agg(F.min("quarter").alias("quarter_x"),
