@@ -73,7 +73,7 @@ def _alternatives(df: DataFrame, column: str, inside: Sequence[str], after: Sequ
     if joiner:
         middle = F.when(middle.isin(*joiner), "").otherwise(middle)
     rest = _drop_words(part(tail, r"\)", 1), after)
-    alts = F.transform(F.array(part(c, r"\(", 0), middle, rest), F.trim)
+    alts = F.transform(F.array(part(c, r"\(", 0), middle, rest), lambda a: F.trim(a))
     alts = F.filter(alts, lambda a: a.isNotNull() & (a != ""))
     if separator:
         alts = F.transform(alts, lambda a: F.replace(a, F.lit(separator), F.lit("")))
@@ -111,7 +111,7 @@ def suffix_out_of_last_name(df: DataFrame, last: str, suffix: str,
     Endings are looked up with a join, so the list never visits the driver.
     """
     seen = df.where(F.col(suffix) != "").select(suffix).distinct()
-    spaced = F.array_join(F.split(F.col(suffix), "(?!^)"), " ")
+    spaced = F.regexp_replace(F.col(suffix), "(?<=.)(?=.)", " ")
     known = seen.select(F.explode(F.array(F.col(suffix), spaced)).alias("__s")).distinct()
     name = F.col(last)
     marks = F.filter(F.sequence(F.lit(1), F.greatest(F.length(name), F.lit(1))),
