@@ -61,7 +61,9 @@ def typed_directory(df: DataFrame) -> DataFrame:
 def read_directory(spark: SparkSession, root: str, columns: Sequence[str],
                    drop_duplicates: bool = True, with_date: bool = False) -> DataFrame:
     """The wanted canonical columns of all snapshots, typed."""
-    files = (list_files(spark, root, "*.csv")
+    # a snapshot is a file, or a folder of parts named like one
+    snapshot = F.regexp_extract("path", r"^(.*?\.csv)(?:/|$)", 1)
+    files = (list_files(spark, root, "*.csv").select(snapshot.alias("path")).distinct()
              .withColumn("date", detect_date(F.element_at(F.split("path", "/"), -1))))
     dated = {r["path"]: r["date"] for r in files.collect()}
     wanted = ["npi", *[c for c in columns if c != "npi"]]
