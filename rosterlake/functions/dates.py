@@ -17,7 +17,7 @@ def month_start(c: Column | str) -> Column:
 
 
 def quarter_start(c: Column | str) -> Column:
-    return F.date_trunc("quarter", _c(c)).cast("date")
+    return F.trunc(_c(c), "quarter")
 
 
 def quarter_label(c: Column | str) -> Column:

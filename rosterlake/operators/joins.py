@@ -64,13 +64,24 @@ def natural_join_all(frames: Sequence[DataFrame], how: str = "inner") -> DataFra
 
 
 def anti_join(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None,
-              null_equal: bool = True) -> DataFrame:
-    return natural_join(left, right, "left_anti", on, null_equal)
+              null_equal: bool = True, spread: bool = True) -> DataFrame:
+    """Rows of ``left`` without a partner. See ``join_group_stats`` for
+    ``spread``; turn it off to use bucketed layouts."""
+    return _filter_join(left, right, "left_anti", on, null_equal, spread)
 
 
 def semi_join(left: DataFrame, right: DataFrame, on: Sequence[str] | None = None,
-              null_equal: bool = True) -> DataFrame:
-    return natural_join(left, right, "left_semi", on, null_equal)
+              null_equal: bool = True, spread: bool = True) -> DataFrame:
+    """Rows of ``left`` with a partner; options as in ``anti_join``."""
+    return _filter_join(left, right, "left_semi", on, null_equal, spread)
+
+
+def _filter_join(left: DataFrame, right: DataFrame, how: str, on: Sequence[str] | None,
+                 null_equal: bool, spread: bool) -> DataFrame:
+    keys = list(on) if on is not None else common_columns(left, right)
+    if not spread:
+        return natural_join(left, right, how, keys, null_equal)
+    return join_group_stats(left, right.select(*keys), keys, how, null_equal)
 
 
 def renamed_key_join(left: DataFrame, right: DataFrame, pairs: Mapping[str, str],
@@ -92,7 +103,7 @@ def provenance_join(left: DataFrame, right: DataFrame,
 
 
 def join_group_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str],
-                     how: str = "left") -> DataFrame:
+                     how: str = "left", null_equal: bool = True) -> DataFrame:
     """Join per-key results back to their rows.
 
     The aggregate is already partitioned by its keys, and reusing that layout
@@ -102,7 +113,7 @@ def join_group_stats(df: DataFrame, stats: DataFrame, keys: Sequence[str],
     """
     zero = F.pmod(F.xxhash64(*keys), F.lit(1))
     return natural_join(df.withColumn(_SPREAD, zero), stats.withColumn(_SPREAD, zero),
-                        how, on=[*keys, _SPREAD]).drop(_SPREAD)
+                        how, on=[*keys, _SPREAD], null_equal=null_equal).drop(_SPREAD)
 
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> DataFrame:
@@ -115,7 +126,7 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], **stats: Column) -> Dat
 def valid_until(panel: DataFrame, ends: DataFrame, key: str = "npi",
                 time: str = "month", end: str = "npideactdate") -> DataFrame:
     """Panel rows up to the id's end date, or all where it has none."""
-    joined = natural_join(panel, ends.select(key, end), "left", on=[key], null_equal=False)
+    joined = join_group_stats(panel, ends.select(key, end), [key], null_equal=False)
     return joined.where(F.col(end).isNull() | (F.col(time) <= F.col(end))).drop(end)
 
 

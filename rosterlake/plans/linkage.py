@@ -101,8 +101,8 @@ class TieredLinkage:
         """All targets, all name priorities, on the given attributes."""
         mine = {}
         for target in self.targets:
-            keys = [k for k in self.listed.name_keys if k in target.name_keys]
-            shared = tuple(keys)
+            shared = tuple(k for k in self.listed.name_keys if k in target.name_keys)
+            keys = [*shared, *attributes]
             if shared not in mine:
                 narrowed = Source(self.listed.id, self.listed.names, self.listed.attributes,
                                   shared)
@@ -111,8 +111,11 @@ class TieredLinkage:
                             attributes)
             if "practitioner_type" in attributes:
                 there = there.where(F.col("practitioner_type").isin(self.types))
-            found = match_by_order(mine[shared], cut(there), self.listed.id, self.target_id,
-                                   [*shared, *attributes], self.orders, found)
+            # only keys both sides hold can match: the rounds read those alone
+            there = cut(semi_join(there, mine[shared].select(*keys).distinct(), on=keys))
+            close = cut(semi_join(mine[shared], there.select(*keys).distinct(), on=keys))
+            found = match_by_order(close, there, self.listed.id, self.target_id, keys,
+                                   self.orders, found)
         return found
 
     def run(self, chained: Sequence[Sequence[str]] = S.CHAINED_TIERS,

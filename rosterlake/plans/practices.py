@@ -8,7 +8,7 @@ value where phones identify (two blanks match), never a value to copy.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,46 +16,44 @@ from rosterlake import schemas as S
 from rosterlake.functions.dates import quarter_start
 from rosterlake.functions.text import group_location_id
 from rosterlake.operators.impute import (backfill_periods, batch_fill, consistent_tuple,
-                                         consistent_value, fill_from)
+                                         consistent_value, fill_from, window_fill,
+                                         window_fill_tuple)
 from rosterlake.operators.joins import (anti_join, count_copresent, join_group_stats,
                                         natural_join, provenance_join, semi_join,
                                         with_group_stats)
 from rosterlake.operators.reshape import first_date_by_type, indicators, to_long
 from rosterlake.operators.rows import (frequent_values, last_non_null, quantile_bins,
-                                       surrogate_id)
+                                       split_by_key_size, surrogate_id)
 from rosterlake.session import cut
 
 DIRECTORY = ["npi", "date", "org_name", "group_id", "group_size", "state", "zip", "phone"]
 
 
 def infer_groups(directory: DataFrame, late_years: Sequence[int] = (2018, 2019, 2020),
-                 ) -> tuple[DataFrame, DataFrame]:
+                 person_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows with a group, rows without), after ten ordered fill passes.
 
-    ``directory`` is already repaired. The two eras are kept apart by an extra
-    id instead of two copies of the data.
+    ``directory`` is already repaired. The first five kinds of pass look at
+    one person at a time: persons of ordinary size go through them on one
+    partitioning, persons with more than ``person_rows`` rows by aggregates
+    joined back. The two eras are kept apart by an extra id instead of two
+    copies of the data.
     """
     rows = directory.select(*DIRECTORY).distinct()
     rows = with_group_stats(rows, ["npi"], __grouped=F.max(F.col("group_id").isNotNull()))
-    rows = cut(rows)
-    known = rows.where("__grouped").drop("__grouped")
-    missing = rows.where("not __grouped").drop("__grouped")
-
-    place = ["npi", "state", "zip", "phone"]
-    details = ["zip", "org_name", "group_size", "state", "phone"]
-    known = batch_fill(known, place, ["group_id"], blank_ids=["phone"])
-    known = batch_fill(known, ["npi", "group_id"], details)
     late = F.coalesce(F.year("date").isin(list(late_years)), F.lit(False))
-    known = cut(known.withColumn("__late", late))
-    known = batch_fill(known, ["npi", "group_id", "__late"], details)
-    known = cut(batch_fill(known, [*place, "__late"], ["group_id"], blank_ids=["phone"]))
-    bundle = ["npi", "state", "zip", "__late"]
-    lookup = consistent_tuple(known, bundle, ["org_name", "phone", "group_id"])
-    known = fill_from(known, lookup, bundle).drop("__late").distinct()
+    rows = cut(rows.withColumn("__late", late))
+    missing = rows.where("not __grouped").select(*DIRECTORY)
+    small, big = split_by_key_size(rows.where("__grouped").drop("__grouped"), ["npi"],
+                                   person_rows)
+    known = _person_passes(small.repartition("npi"), window_fill, window_fill_tuple)
+    if big is not None:
+        known = known.unionByName(_person_passes(big, _joined_fill, _joined_fill_tuple))
+    known = cut(known.drop("__late").distinct())
 
     spot = ["date", "state", "zip", "phone"]
     has_phone = known.where(F.col("phone").isNotNull())
-    known = cut(batch_fill(has_phone, spot, ["group_id"])
+    known = cut(batch_fill(has_phone, spot, ["group_id"], distinct=False)
                 .unionByName(known.where(F.col("phone").isNull())).distinct())
     sure = consistent_value(known.where(F.col("phone").isNotNull()),
                             ["state", "zip", "date", "phone"], "group_id")
@@ -66,6 +64,27 @@ def infer_groups(directory: DataFrame, late_years: Sequence[int] = (2018, 2019,
             rest.where(F.col("group_id").isNull()))
 
 
+def _person_passes(rows: DataFrame, fill: Callable, fill_tuple: Callable) -> DataFrame:
+    """The passes within a person, in order. Copies a pass makes do no harm
+    to the next, so they are only folded at the end."""
+    place = ["npi", "state", "zip", "phone"]
+    details = ["zip", "org_name", "group_size", "state", "phone"]
+    rows = fill(rows, place, ["group_id"], ["phone"])
+    rows = fill(rows, ["npi", "group_id"], details)
+    rows = fill(rows, ["npi", "group_id", "__late"], details)
+    rows = fill(rows, [*place, "__late"], ["group_id"], ["phone"])
+    return fill_tuple(rows, ["npi", "state", "zip", "__late"], ["org_name", "phone", "group_id"])
+
+
+def _joined_fill(rows: DataFrame, ids: Sequence[str], targets: Sequence[str],
+                 blank_ids: Sequence[str] = ()) -> DataFrame:
+    return cut(batch_fill(rows, ids, targets, blank_ids, distinct=False))
+
+
+def _joined_fill_tuple(rows: DataFrame, ids: Sequence[str], targets: Sequence[str]) -> DataFrame:
+    return fill_from(rows, consistent_tuple(rows, ids, targets), ids)
+
+
 def impute_groups(known: DataFrame, missing: DataFrame
                   ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Own group ids by place and phone, or by person and place without a
@@ -121,17 +140,29 @@ def infer_all_groups(inferred: DataFrame, locations: DataFrame,
     cols = ["state", "zip", "phone", "group_id", "my_group_id", "npi"]
     base = cut(directory_quarters(inferred, cols, backfill))
     called = base.where(F.col("phone").isNotNull())
-    own, anyone = [*spot, "npi"], spot
-
-    def attach(target: str) -> DataFrame:
-        """Registry rows with the target found for the person or the place."""
-        known = loc.where(F.col("phone").isNotNull())
-        mine = natural_join(known, consistent_value(called, own, target), on=own)
-        here = natural_join(known, consistent_value(called, anyone, target), on=anyone)
-        return here.unionByName(mine)
-
-    found = natural_join(attach("group_id"), attach("my_group_id"), "outer", on=own)
-    grown = base.unionByName(found.select(*base.columns)).distinct()
+    own = [*spot, "npi"]
+
+    def sure(ids: Sequence[str], tag: str) -> DataFrame:
+        """Listed group and own id where a place (or person there) has just one."""
+        usable = called.where(F.col("state").isNotNull() & F.col("zip").isNotNull())
+        aggs = [f(c).alias(f"__{end}_{c}") for c in targets
+                for f, end in ((F.min, "lo"), (F.max, "hi"))]
+        return usable.groupBy(*ids).agg(*aggs).select(*ids, *[
+            F.when(F.col(f"__lo_{c}") == F.col(f"__hi_{c}"), F.col(f"__hi_{c}"))
+            .alias(f"__{tag}_{c}") for c in targets])
+
+    targets = ["group_id", "my_group_id"]
+    known = loc.where(F.col("phone").isNotNull())
+    known = join_group_stats(known, sure(spot, "any"), spot)
+    known = join_group_stats(known, sure(own, "own"), own)
+    # every found group beside every found own id; nothing found, no row
+    found = {c: F.array_distinct(F.array_compact(F.array(f"__any_{c}", f"__own_{c}")))
+             for c in targets}
+    hit = known.where(F.coalesce(*[f"__{k}_{c}" for k in ("any", "own") for c in targets]).isNotNull())
+    hit = hit.select(*own, *[v.alias(f"__{c}") for c, v in found.items()])
+    for c in targets:
+        hit = hit.select("*", F.explode_outer(f"__{c}").alias(c))
+    grown = base.unionByName(hit.select(*base.columns)).distinct()
     # blank phones of the two sources are different values
     blank = F.col("phone").isNull()
     out = natural_join(grown.withColumn("__blank", F.when(blank, "directory")),
