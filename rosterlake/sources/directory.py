@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,42 +11,49 @@ from rosterlake import schemas as S
 from rosterlake.functions.dates import detect_date
 from rosterlake.sources.files import harmonize, list_files, read_text_table, union_vintages
 
-# Vintages without a header row, and whether the first data row
-# repeats the header.
-HEADERLESS = {"2014-03-01": False, "2014-06-01": True}
+# Vintages read without header (one repeats it as a data row).
+HEADERLESS = {"2014-03-01", "2014-06-01"}
 BAD_LINES = {"2014-03-01", "2014-06-01", "2014-12-01"}
 EMPTY_COLUMNS = {"2016-07-01"}
 
 LONG_NAMES = {**S.DIRECTORY_COLUMNS, **S.DIRECTORY_SHORT}
 
 
-def _headerless(spark: SparkSession, path: str, repeats: bool) -> DataFrame:
-    """A file without header: the columns in order, with or without phones."""
+def _peek(spark: SparkSession, path: str, n: int) -> list[list[str]]:
+    """The fields of the first lines: layout, not data."""
+    return list(csv.reader(r[0] for r in spark.read.text(path).take(n)))
+
+
+def _people_only(df: DataFrame, npi: str = "NPI") -> DataFrame:
+    """Rows whose first field is an id: no header lines, no fragments."""
+    return df.where(F.col(npi).try_cast("long").isNotNull())
+
+
+def _headerless(spark: SparkSession, path: str) -> DataFrame:
+    """A file without usable header: the columns in order, with or without
+    phones."""
     names = list(S.DIRECTORY_COLUMNS)
-    width = len(spark.read.option("quote", '"').option("escape", '"').csv(path).columns)
-    if width == len(names) - 1:
+    if len(_peek(spark, path, 1)[0]) == len(names) - 1:
         names = [n for n in names if n != "Phone Number"]
-    df = read_text_table(spark, path, header=False, names=names, drop_bad_lines=True)
-    return df.where(F.col("NPI").try_cast("long").isNotNull()) if repeats else df
+    return _people_only(read_text_table(spark, path, header=False, names=names,
+                                        drop_bad_lines=True))
 
 
 def _without_empty_columns(spark: SparkSession, path: str) -> DataFrame:
     """Data columns that hold nothing are dropped before the header is laid
     over the rest, in order. One aggregate finds them."""
-    head = read_text_table(spark, path)
-    body = (spark.read.option("quote", '"').option("escape", '"').csv(path))
-    counts = body.agg(*[F.count(c).alias(c) for c in body.columns]).first()
-    # the header line itself fills a cell in every column it names
-    full = [c for c in body.columns if counts[c] > 1]
-    names = head.columns
-    data = body.select(*[F.col(c).alias(n) for c, n in zip(full, names)])
-    return data.where(F.col(names[0]).try_cast("long").isNotNull())
+    head, first = _peek(spark, path, 2)
+    names = [f"c{i}" for i in range(max(len(head), len(first)))]
+    body = _people_only(read_text_table(spark, path, header=False, names=names), "c0")
+    counts = body.agg(*[F.count(c).alias(c) for c in names]).first()
+    full = [c for c in names if counts[c] > 0]
+    return body.select(*[F.col(c).alias(n) for c, n in zip(full, head)])
 
 
 def read_vintage(spark: SparkSession, path: str, date: str | None) -> DataFrame:
     """One snapshot by the layout of its date."""
     if date in HEADERLESS:
-        return _headerless(spark, path, HEADERLESS[date])
+        return _headerless(spark, path)
     if date in EMPTY_COLUMNS:
         return _without_empty_columns(spark, path)
     return read_text_table(spark, path, drop_bad_lines=date in BAD_LINES)

@@ -89,7 +89,8 @@ def read_text_table(spark: SparkSession, paths: Sequence[str] | str, sep: str =
     reader = (spark.read.option("sep", sep).option("quote", '"').option("escape", '"')
               .option("header", str(header).lower()))
     if drop_bad_lines:
-        reader = reader.option("mode", "DROPMALFORMED")
+        # a line is judged by all its fields, not by the ones a query needs
+        reader = reader.option("mode", "DROPMALFORMED").option("columnPruning", "false")
     if names is not None:
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rosterlake import schemas as S
 from rosterlake.operators.joins import semi_join
 from rosterlake.operators.reshape import slots_to_long
 from rosterlake.operators.rows import sequence_in_group
 from rosterlake.sources.files import (harmonize, list_files, locate, paths_of, read_each,
-                                      read_text_table, single_variable_files, snapshot_files,
-                                      snapshot_month, union_vintages, weekly_files,
+                                      read_stata, read_text_table, single_variable_files,
+                                      snapshot_files, snapshot_month, union_vintages, weekly_files,
                                       weekly_updates)
 
 
@@ -86,6 +86,22 @@ def read_snapshots(spark: SparkSession, paths: Sequence[str], variable: str,
     return snapshot_to_panel(wide, variable, period).drop("__path")
 
 
+def _one_variable_file(spark: SparkSession, path: str, variable: str) -> DataFrame:
+    """A file that holds one variable, already long, as text or Stata."""
+    if path.endswith(".dta"):
+        numbered = ", seq int" if S.is_multi(variable) else ""
+        low = variable.lower() if variable.isupper() else variable
+        schema = T.StructType.fromDDL(f"npi long{numbered}, {low} string")
+        table = read_stata(spark, path, schema.fieldNames(), schema)
+    else:
+        table = read_text_table(spark, path)
+    low = {c.lower(): c for c in table.columns}
+    cols = [F.col(low["npi"]).cast("long").alias("npi")]
+    if "seq" in low:
+        cols.append(F.col(low["seq"]).cast("int").alias("seq"))
+    return table.select(*cols, typed(F.col(low[variable.lower()]), variable).alias(variable))
+
+
 def read_months(spark: SparkSession, folder: str, variable: str,
                 since: str | None = None) -> DataFrame:
     """All landed months of a variable (optionally from a month on)."""
@@ -101,14 +117,8 @@ def read_months(spark: SparkSession, folder: str, variable: str,
         frames.append(read_snapshots(spark, wide_paths, variable,
                                      {"month": snapshot_month("__path")}))
     for r in chosen.where("rank = 0").collect():
-        long = read_text_table(spark, r["path"])
-        low = {c.lower(): c for c in long.columns}
-        cols = [F.col(low["npi"]).cast("long").alias("npi"),
-                F.lit(r["month"]).cast("date").alias("month")]
-        if "seq" in low:
-            cols.append(F.col(low["seq"]).cast("int").alias("seq"))
-        cols.append(typed(F.col(low[variable.lower()]), variable).alias(variable))
-        frames.append(long.select(*cols))
+        frames.append(_one_variable_file(spark, r["path"], variable)
+                      .withColumn("month", F.lit(r["month"]).cast("date")))
     if not frames:
         raise FileNotFoundError(f"no landed files hold {variable} under {folder}")
     return union_vintages(frames)
