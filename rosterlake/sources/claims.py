@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterlake import schemas as S
-from rosterlake.sources.files import harmonize, list_files, paths_of, read_each, read_text_table
+from rosterlake.sources.files import (harmonize, list_files, paths_of, read_each,
+                                      read_text_table, whole_files)
 
 PART_B_SUMMARY = ("Medicare_Physician_and_Other_Supplier_National_Provider"
                   "_Identifier__NPI__Aggregate_Report__Calendar_Year_")
@@ -35,7 +36,7 @@ def _with_year(df: DataFrame, year: int) -> DataFrame:
 
 
 def part_d_paths(spark: SparkSession, root: str, summary: bool) -> list[str]:
-    paths = paths_of(list_files(spark, root))
+    paths = paths_of(whole_files(list_files(spark, root)))
     if any("_DRUG_" in p for p in paths):
         return [p for p in paths if p.endswith(".txt") and ("_DRUG_" not in p) == summary]
     return [p for p in paths if ("Summary" in p) == summary]
@@ -56,7 +57,7 @@ def part_d(spark: SparkSession, root: str, summary: bool = False,
 
 def part_d_opioid(spark: SparkSession, root: str, columns: Sequence[str] | None = None,
                   years: Sequence[int] = range(2013, 2018)) -> DataFrame:
-    chosen = dict(_years([p for p in paths_of(list_files(spark, root)) if OPIOID in p], years))
+    chosen = dict(_years([p for p in paths_of(whole_files(list_files(spark, root))) if OPIOID in p], years))
 
     def read(path: str) -> DataFrame:
         df = read_text_table(spark, path)
@@ -76,7 +77,7 @@ def part_b(spark: SparkSession, root: str, summary: bool = False,
     """Part B files with their header variants made one. ``columns`` are
     canonical names."""
     stub = PART_B_SUMMARY if summary else PART_B_DETAIL
-    chosen = dict(_years([p for p in paths_of(list_files(spark, root)) if stub in p], years))
+    chosen = dict(_years([p for p in paths_of(whole_files(list_files(spark, root))) if stub in p], years))
 
     def read(path: str) -> DataFrame:
         df = read_text_table(spark, path)

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterlake import schemas as S
 from rosterlake.functions.dates import detect_date
-from rosterlake.sources.files import harmonize, list_files, read_text_table, union_vintages
+from rosterlake.sources.files import (harmonize, list_files, read_text_table,
+                                      union_vintages, whole_files)
 
 # Vintages read without header (one repeats it as a data row).
 HEADERLESS = {"2014-03-01", "2014-06-01"}
@@ -69,9 +70,7 @@ def typed_directory(df: DataFrame) -> DataFrame:
 def read_directory(spark: SparkSession, root: str, columns: Sequence[str],
                    drop_duplicates: bool = True, with_date: bool = False) -> DataFrame:
     """The wanted canonical columns of all snapshots, typed."""
-    # a snapshot is a file, or a folder of parts named like one
-    snapshot = F.regexp_extract("path", r"^(.*?\.csv)(?:/|$)", 1)
-    files = (list_files(spark, root, "*.csv").select(snapshot.alias("path")).distinct()
+    files = (whole_files(list_files(spark, root, "*.csv"))
              .withColumn("date", detect_date(F.element_at(F.split("path", "/"), -1))))
     dated = {r["path"]: r["date"] for r in files.collect()}
     wanted = ["npi", *[c for c in columns if c != "npi"]]

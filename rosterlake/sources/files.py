@@ -18,6 +18,12 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
             .option("recursiveFileLookup", "true").load(root).select("path"))
 
 
+def whole_files(df: DataFrame) -> DataFrame:
+    """Files, with a folder of parts named like a file counted as that file."""
+    name = F.regexp_extract("path", r"^(.*?\.(?:csv|txt|dta))(?:/|$)", 1)
+    return df.select(F.coalesce(F.nullif(name, F.lit("")), F.col("path")).alias("path")).distinct()
+
+
 def paths_of(df: DataFrame, column: str = "path") -> list[str]:
     """File names on the driver: a catalogue listing, not data."""
     return sorted(r[0] for r in df.select(column).collect())

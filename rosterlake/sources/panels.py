@@ -13,7 +13,7 @@ from rosterlake.operators.rows import sequence_in_group
 from rosterlake.sources.files import (harmonize, list_files, locate, paths_of, read_each,
                                       read_stata, read_text_table, single_variable_files,
                                       snapshot_files, snapshot_month, union_vintages, weekly_files,
-                                      weekly_updates)
+                                      weekly_updates, whole_files)
 
 
 def read_panel(spark: SparkSession, root: str, variable: str,
@@ -105,7 +105,7 @@ def _one_variable_file(spark: SparkSession, path: str, variable: str) -> DataFra
 def read_months(spark: SparkSession, folder: str, variable: str,
                 since: str | None = None) -> DataFrame:
     """All landed months of a variable (optionally from a month on)."""
-    files = list_files(spark, folder)
+    files = whole_files(list_files(spark, folder))
     marker = "pl_pfile_" if variable in S.SECONDARY_HEADERS else "npidata_"
     chosen = locate(single_variable_files(files, variable), snapshot_files(files, marker))
     chosen = chosen.where(F.col("month") != F.lit(S.BAD_MONTH).cast("date"))
@@ -126,13 +126,13 @@ def read_months(spark: SparkSession, folder: str, variable: str,
 
 def read_weeks(spark: SparkSession, folder: str, variable: str) -> DataFrame | None:
     """Rows of the weekly files that go beyond the last month, with ``week``."""
-    updates = paths_of(weekly_updates(list_files(spark, folder)))
+    updates = paths_of(weekly_updates(whole_files(list_files(spark, folder))))
     if not updates:
         return None
     week = weekly_files(spark.createDataFrame([(p,) for p in updates], "path string"))
     starts = {r["path"]: r["week"] for r in week.collect()}
     pick = F.lit(None).cast("date")
     for path, day in starts.items():
-        tail = path.split("/")[-1]
-        pick = F.when(F.col("__path").endswith(tail), F.lit(day)).otherwise(pick)
+        tail = "/".join(path.split("/")[-2:])
+        pick = F.when(F.col("__path").contains(tail), F.lit(day)).otherwise(pick)
     return read_snapshots(spark, updates, variable, {"week": pick})
