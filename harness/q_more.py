@@ -260,16 +260,6 @@ def _(t):
         F.count(F.lit(1)).alias("n_rows"), F.count_if("date_rule").alias("holds"))
 
 
-@query("d23_expanded_fullnames", ["n_first", "n_middle", "n_last", "n_suffix", "o_first", "o_middle", "o_last", "o_suffix"], None)
-def _(t):
-    """Cleaned full names spelled out, suffixes taken out of last names."""
-    legal = {"pfname": t.n_first, "pmname": t.n_middle, "plname": t.n_last, "pnamesuffix": t.n_suffix}
-    other = {"pfname": t.o_first, "pmname": t.o_middle, "plname": t.o_last, "pnamesuffix": t.o_suffix}
-    full = N.clean_full_names(N.full_names({p: d.distinct() for p, d in legal.items()},
-                                           {p: d.distinct() for p, d in other.items()}))
-    return N.expand_names(full, "npi", "pfname", "pmname", "plname", "pnamesuffix", suffix_in_last=True)
-
-
 @query("o1_sorted_report", ["panel"], """
     SELECT npi, count(*) AS n, max(month) AS last_month FROM panel GROUP BY 1 ORDER BY 2 DESC, 1""")
 def _(t):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from harness.q_directory import _COLS, _TARGETS, _fill_sql
 from harness.registry import query
 from rosterlake.plans import practices as P
+from rosterlake.session import cut
 
 
 _LATE = [1998, 1999, 2000]
@@ -64,7 +65,7 @@ _G2 = """rows2 AS (SELECT * FROM directory),
 
 
 def _impute(t):
-    d = t.directory
+    d = cut(t.directory)
     return P.impute_groups(d.where("group_id is not null"), d.where("group_id is null"))
 
 
@@ -270,20 +271,21 @@ def _(t):
                               backfill=_BACK, **_PERIOD)
 
 
-@query("g13_sole_practices", ["directory"], """
-    WITH a AS (SELECT *, row_number() OVER (ORDER BY npi NULLS FIRST, date NULLS FIRST, group_size NULLS FIRST, org_name NULLS FIRST,
+_SOLE = """a AS (SELECT *, row_number() OVER (ORDER BY npi NULLS FIRST, date NULLS FIRST, group_size NULLS FIRST, org_name NULLS FIRST,
         state NULLS FIRST, zip NULLS FIRST, phone NULLS FIRST) - 1 + 100000000000 AS gid FROM directory WHERE group_id IS NULL),
-    r AS (SELECT npi, date, group_id, group_size, org_name, state, zip, phone FROM directory WHERE group_id IS NOT NULL
+    ra AS (SELECT npi, date, group_id, group_size, org_name, state, zip, phone FROM directory WHERE group_id IS NOT NULL
       UNION ALL SELECT npi, date, gid, group_size, org_name, state, zip, phone FROM a),
-    z AS (SELECT group_id, date, count(DISTINCT npi) AS s FROM r GROUP BY 1, 2)
-    SELECT npi, r.date, r.group_id, coalesce(group_size, s) AS group_size, org_name, state, zip, phone FROM r JOIN z
-      ON r.group_id = z.group_id AND r.date = z.date""")
+    za AS (SELECT group_id, date, count(DISTINCT npi) AS s FROM ra GROUP BY 1, 2),
+    sole AS (SELECT npi, ra.date, ra.group_id, coalesce(group_size, s) AS group_size, org_name, state, zip, phone FROM ra JOIN za
+      ON ra.group_id = za.group_id AND ra.date = za.date)"""
+
+
+@query("g13_sole_practices", ["directory"], f"WITH {_SOLE} SELECT * FROM sole")
 def _(t):
     return P.sole_practices(t.directory)
 
 
-@query("g13_extreme_practices", ["directory"], """
-    WITH r AS (SELECT DISTINCT npi, group_id, group_size, state, zip, date FROM directory WHERE group_id IS NOT NULL),
+_EXTREME = """r AS (SELECT DISTINCT npi, group_id, group_size, state, zip, date FROM {src} WHERE group_id IS NOT NULL),
     pl AS (SELECT *, row_number() OVER (ORDER BY group_id, group_size NULLS FIRST, state NULLS FIRST, zip NULLS FIRST, date) - 1 AS pid
       FROM (SELECT DISTINCT group_id, group_size, state, zip, date FROM r)),
     x AS (SELECT r.*, pid FROM r JOIN pl ON r.group_id = pl.group_id AND r.date = pl.date AND r.group_size IS NOT DISTINCT FROM pl.group_size
@@ -291,11 +293,14 @@ def _(t):
     n AS (SELECT pid, date, count(DISTINCT npi) AS k FROM x WHERE npi % 3 = 1 GROUP BY 1, 2),
     y AS (SELECT x.*, coalesce(k, 0) AS np_count, row_number() OVER (PARTITION BY npi, x.date ORDER BY coalesce(k, 0), x.pid) AS lo,
         row_number() OVER (PARTITION BY npi, x.date ORDER BY coalesce(k, 0) DESC, x.pid DESC) AS hi
-      FROM x LEFT JOIN n ON x.pid = n.pid AND x.date = n.date WHERE npi % 3 = 0)
-    SELECT a.npi, a.date, a.np_count AS np_count_min, a.pid AS group_prac_zip_date_id_min, a.group_id AS group_id_min, a.group_size AS group_size_min,
+      FROM x LEFT JOIN n ON x.pid = n.pid AND x.date = n.date WHERE npi % 3 = 0),
+    ext AS (SELECT a.npi, a.date, a.np_count AS np_count_min, a.pid AS group_prac_zip_date_id_min, a.group_id AS group_id_min, a.group_size AS group_size_min,
       a.state AS state_min, a.zip AS zip_min, b.np_count AS np_count_max, b.pid AS group_prac_zip_date_id_max, b.group_id AS group_id_max,
       b.group_size AS group_size_max, b.state AS state_max, b.zip AS zip_max
-    FROM y a JOIN y b ON a.npi = b.npi AND a.date = b.date AND a.lo = 1 AND b.hi = 1""")
+    FROM y a JOIN y b ON a.npi = b.npi AND a.date = b.date AND a.lo = 1 AND b.hi = 1)"""
+
+
+@query("g13_extreme_practices", ["directory"], f"WITH {_EXTREME.replace('{src}', 'directory')} SELECT * FROM ext")
 def _(t):
     d = t.directory.where("group_id is not null")
     who = d.select("npi").distinct()
@@ -320,22 +325,33 @@ def _(t):
     return natural_join(primary, flags, "left", on=["npi", "date"]).na.fill(0, ["sub_1", "sub_2"])
 
 
-def _full_panel(t):
-    d = t.directory
-    d = d.withColumn("graduation_year", F.col("npi"))
-    genders = t.part.select(F.col("p_partkey").alias("npi"), F.when(F.col("p_size") % 2 == 0, "F").otherwise("M").alias("pgender"))
-    who = t.part.select(F.col("p_partkey").alias("npi"))
-    spec = t.specialty_rows.withColumn("graduation_year", F.col("npi"))
-    rows = d.join(spec.drop("graduation_year"), ["npi", "date"], "left")
-    return P.analysis_dataset(rows, who.where("npi % 3 = 0"), who.where("npi % 3 = 1"), genders,
-                              t.waivers, t.crosswalk, {"SUB 1": "sub_1"})
-
-
-@query("g13_analysis_dataset", [], """
-    SELECT count(*) AS n FROM (SELECT DISTINCT l_partkey, date_trunc('quarter', l_shipdate) FROM lineitem WHERE l_partkey % 3 = 0)""")
+_PANEL_COLUMNS = ["npi", "date", "np_count_min", "group_id_min", "group_size_min", "np_count_max", "group_id_max",
+                  "group_size_max", "primary_specialty", "sub_1", "gradyear", "pgender", "date_30", "date_100", "date_275"]
+
+
+@query("g13_analysis_dataset", ["directory", "specialty_rows", "waivers", "crosswalk"],
+       f"""WITH {_SOLE}, {_EXTREME.replace('{src}', 'sole')},
+    pr AS (SELECT npi, date, min(primary_specialty) AS primary_specialty, max((secondary_specialty_1 IS NOT DISTINCT FROM 'SUB 1')::INT) AS sub_1
+      FROM specialty_rows GROUP BY 1, 2),
+    yr AS (SELECT npi, npi AS y FROM (SELECT DISTINCT npi FROM directory)),
+    base AS (SELECT ext.*, pr.primary_specialty, coalesce(pr.sub_1, 0) AS sub_1, y FROM ext LEFT JOIN pr ON ext.npi = pr.npi AND ext.date = pr.date
+      JOIN yr ON ext.npi = yr.npi),
+    q AS (SELECT quantile_cont(y, [i / 20.0 FOR i IN range(21)]) AS ed FROM base), u AS (SELECT unnest(ed) AS v FROM q),
+    bn AS (SELECT k.y, greatest(count(*) FILTER (WHERE v < k.y), 1) AS b FROM (SELECT DISTINCT y FROM base) k, u GROUP BY 1),
+    w AS (SELECT npi, min(CASE WHEN WaiverType = 30 THEN Date END) AS date_30, min(CASE WHEN WaiverType = 100 THEN Date END) AS date_100,
+      min(CASE WHEN WaiverType = 275 THEN Date END) AS date_275 FROM waivers x JOIN crosswalk c ON x.samhsa_id = c.samhsa_id GROUP BY 1)
+    SELECT base.npi, date, np_count_min, group_id_min, group_size_min, np_count_max, group_id_max, group_size_max, primary_specialty, sub_1,
+      CAST(b AS INT) AS gradyear, CASE WHEN p_size % 2 = 0 THEN 'F' ELSE 'M' END AS pgender, date_30, date_100, date_275
+    FROM base JOIN bn ON base.y = bn.y JOIN part ON base.npi = p_partkey LEFT JOIN w ON base.npi = w.npi""")
 def _(t):
     """The whole panel, one row per physician and date."""
-    return _full_panel(t).agg(F.count(F.lit(1)).alias("n"))
+    genders = t.part.select(F.col("p_partkey").alias("npi"),
+                            F.when(F.col("p_size") % 2 == 0, "F").otherwise("M").alias("pgender"))
+    who = t.part.select(F.col("p_partkey").alias("npi"))
+    rows = (t.directory.withColumn("graduation_year", F.col("npi"))
+            .join(t.specialty_rows, ["npi", "date"], "left"))
+    return P.analysis_dataset(rows, who.where("npi % 3 = 0"), who.where("npi % 3 = 1"), genders,
+                              t.waivers, t.crosswalk, {"SUB 1": "sub_1"}).select(*_PANEL_COLUMNS)
 
 
 _ALLSPEC = """ls AS (SELECT DISTINCT npi, spec FROM (SELECT npi, primary_specialty AS spec FROM specialty_rows UNION SELECT npi, secondary_specialty_1 FROM specialty_rows

@@ -483,22 +483,31 @@ def _(t):
     return N.expand_names(t.person_names, "npi", "pfname", "pmname", "plname", "pnamesuffix")
 
 
-@query("d24_suffix", ["person_names"], f"""WITH {_VARIANTS},
-    known AS (SELECT DISTINCT pnamesuffix AS s FROM person_names WHERE pnamesuffix <> ''
+_SUFFIXED = f"""known AS (SELECT DISTINCT pnamesuffix AS s FROM person_names WHERE pnamesuffix <> ''
       UNION SELECT DISTINCT array_to_string(string_split(pnamesuffix, ''), ' ') FROM person_names WHERE pnamesuffix <> ''),
     cuts AS (SELECT DISTINCT v.l, k.s, trim(regexp_replace(trim(substr(v.l, 1, length(v.l) - length(k.s) - 1)), ',$', '')) AS kept
-        FROM (SELECT DISTINCT l FROM v) v JOIN known k ON suffix(v.l, ' ' || k.s) OR suffix(v.l, ',' || k.s)
+        FROM (SELECT DISTINCT l FROM v) v JOIN known k ON ends_with(v.l, ' ' || k.s) OR ends_with(v.l, ',' || k.s)
       UNION SELECT DISTINCT v.l, k.s, trim(regexp_replace(trim(substr(v.l, 1, length(v.l) - length(k.s))), ',$', ''))
-        FROM (SELECT DISTINCT l FROM v) v JOIN known k ON suffix(v.l, k.s) WHERE k.s IN ('JR', 'III', 'VIII')),
+        FROM (SELECT DISTINCT l FROM v) v JOIN known k ON ends_with(v.l, k.s) WHERE k.s IN ('JR', 'III', 'VIII')),
     best AS (SELECT l, max((length(s), s, kept)) AS b FROM cuts GROUP BY 1),
     w AS (SELECT npi, f, mid, CASE WHEN b IS NULL THEN v.l ELSE b[3] END AS l, CASE WHEN b IS NULL THEN v.s ELSE b[2] END AS s
-      FROM v LEFT JOIN best ON v.l = best.l), {_NAMED.replace('{src}', 'w')} SELECT * FROM outn""".replace(
-          "suffix(", "ends_with("))
+      FROM v LEFT JOIN best ON v.l = best.l), {_NAMED.replace('{src}', 'w')}"""
+
+
+@query("d24_suffix", ["person_names"], f"WITH {_VARIANTS}, {_SUFFIXED} SELECT * FROM outn")
 def _(t):
     return N.expand_names(t.person_names, "npi", "pfname", "pmname", "plname", "pnamesuffix",
                           suffix_in_last=True)
 
 
+@query("d23_expanded_fullnames", _FULL_USES, f"""WITH {_FULL}, {_PURGED}, {_CLEAN},
+    person_names AS (SELECT npi, pfname, pmname, plname, pnamesuffix FROM c4), {_VARIANTS}, {_SUFFIXED} SELECT * FROM outn""")
+def _(t):
+    """Cleaned full names spelled out, suffixes taken out of last names."""
+    return N.expand_names(N.clean_full_names(_full(t)), "npi", "pfname", "pmname", "plname",
+                          "pnamesuffix", suffix_in_last=True)
+
+
 @query("l11_reconcat", ["person_names"], """
     WITH n AS (SELECT npi, pfname, pmname, plname, pnamesuffix, string_split(trim(regexp_replace(pfname || ' ' || pmname || ' ' || plname, ' +', ' ', 'g')), ' ') AS a FROM person_names)
     SELECT npi, pfname, pmname, plname, pnamesuffix, a[1] AS pfname_r, array_to_string(a[2:len(a) - 1], ' ') AS pmname_r, a[-1] AS plname_r FROM n""")

@@ -67,16 +67,24 @@ def clean_matches(left: DataFrame, right: DataFrame, id_use: str, id_target: str
     return only_unique(sure, [id_target])
 
 
+def _free(df: DataFrame, found: DataFrame | None, id_column: str) -> DataFrame:
+    if found is None:
+        return df
+    return anti_join(df, found.select(id_column), on=[id_column], null_equal=False)
+
+
 def match_by_order(listed: DataFrame, target: DataFrame, id_use: str, id_target: str,
                    keys: Sequence[str], orders: Sequence[int],
-                   found: DataFrame | None) -> DataFrame:
+                   found: DataFrame | None = None) -> DataFrame:
     """Clean matches for each name priority in turn; each round blocks the
     ids the rounds before matched. ``found`` grows by (ids, ``order``)."""
+    listed, target = _free(listed, found, id_use), _free(target, found, id_target)
+    new = None
     for o in orders:
-        new = clean_matches(listed.where(F.col("order") == o), target, id_use, id_target,
-                            keys, found).withColumn("order", F.lit(o))
-        found = cut(new if found is None else found.unionByName(new))
-    return found
+        m = clean_matches(listed.where(F.col("order") == o), target, id_use, id_target,
+                          keys, new).withColumn("order", F.lit(o))
+        new = cut(m if new is None else new.unionByName(m))
+    return new if found is None else found.unionByName(new)
 
 
 class TieredLinkage:
@@ -111,11 +119,21 @@ class TieredLinkage:
                             attributes)
             if "practitioner_type" in attributes:
                 there = there.where(F.col("practitioner_type").isin(self.types))
-            # only keys both sides hold can match: the rounds read those alone
-            there = cut(semi_join(there, mine[shared].select(*keys).distinct(), on=keys))
-            close = cut(semi_join(mine[shared], there.select(*keys).distinct(), on=keys))
-            found = match_by_order(close, there, self.listed.id, self.target_id, keys,
-                                   self.orders, found)
+            # only free ids under keys both sides hold can match: the rounds
+            # read those alone
+            theirs = _free(there, found, self.target_id)
+            ours = _free(mine[shared], found, self.listed.id)
+            theirs = cut(semi_join(theirs, mine[shared].select(*keys).distinct(), on=keys))
+            ours = cut(semi_join(ours, theirs.select(*keys).distinct(), on=keys))
+            present = {r[0] for r in ours.select("order").distinct().collect()}
+            orders = [o for o in self.orders if o in present]
+            if orders:
+                new = match_by_order(ours, theirs, self.listed.id, self.target_id, keys, orders)
+                found = cut(new if found is None else found.unionByName(new))
+        if found is None:
+            empty = mine[shared].limit(0)
+            found = empty.select(self.listed.id, F.lit(None).cast(
+                theirs.schema[self.target_id].dataType).alias(self.target_id), "order")
         return found
 
     def run(self, chained: Sequence[Sequence[str]] = S.CHAINED_TIERS,

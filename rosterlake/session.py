@@ -64,5 +64,7 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = work_path(spark, "cut")
     untyped = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NullType)]
-    df.withColumns({c: df[c].cast("string") for c in untyped}).write.parquet(path)
-    return spark.read.parquet(path)
+    df = df.withColumns({c: df[c].cast("string") for c in untyped}) if untyped else df
+    df.write.parquet(path)
+    # the schema is known, so no job reads it back from the files
+    return spark.read.schema(df.schema).parquet(path)
