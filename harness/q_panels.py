@@ -195,8 +195,7 @@ def _(t):
                                 a.select("npi", "month", "ploctel"), "1996-02-01", "1999-01-01")
 
 
-@query("g9_reconcile_types", ["registry_types", "type_creds", "type_listed"], """
-    WITH mdnp AS (SELECT npi, md_do AS md, NP FROM registry_types WHERE md_do + NP > 0),
+_G9 = """mdnp AS (SELECT npi, md_do AS md, NP FROM registry_types WHERE md_do + NP > 0),
     cc AS (SELECT npi, min(cat) AS cat, count(DISTINCT cat) AS n FROM type_creds GROUP BY 1),
     mine AS (SELECT m.*, CASE WHEN n = 1 THEN cat END AS cat FROM mdnp m LEFT JOIN cc ON m.npi = cc.npi),
     theirs AS (SELECT npi, max((credential IN ('MD', 'DO', 'MD/DO') AND credential IS NOT NULL)::INT) AS md,
@@ -213,7 +212,10 @@ def _(t):
     rest AS (SELECT * FROM sums WHERE npi NOT IN (SELECT npi FROM p2) AND npi NOT IN (SELECT npi FROM two)),
     p3 AS (SELECT npi, CASE WHEN md > NP THEN 'MD/DO' WHEN md < NP THEN 'NP' ELSE 'both' END AS cat FROM rest),
     p4 AS (SELECT npi, 'both' AS cat FROM two),
-    allp AS (SELECT * FROM p1 UNION ALL SELECT * FROM p2 UNION ALL SELECT * FROM p3 UNION ALL SELECT * FROM p4)
+    allp AS (SELECT * FROM p1 UNION ALL SELECT * FROM p2 UNION ALL SELECT * FROM p3 UNION ALL SELECT * FROM p4)"""
+
+
+@query("g9_reconcile_types", ["registry_types", "type_creds", "type_listed"], f"""WITH {_G9}
     SELECT npi, CAST((cat <> 'NP')::INT AS INT) AS "MD/DO", CAST((cat <> 'MD/DO')::INT AS INT) AS "NP", cat FROM allp""")
 def _(t):
     return P.reconcile_types(t.registry_types.withColumnRenamed("md_do", "MD/DO"), t.type_creds,
@@ -412,7 +414,35 @@ def _(t):
     return out.withColumns({c: F.round(c, 4) for c in ("gradyear_lo", "gradyear_hi")})
 
 
-@query("g15_waiver_analysis", ["types"], None)
+_G15 = ", ".join([
+    _G1.replace("IN (1998, 1999, 2000)", "IN (2018, 2019, 2020)"),
+    _G2.replace("SELECT * FROM directory", "SELECT * FROM gknown UNION ALL SELECT * FROM gmiss", 1),
+    _G9, """ty AS (SELECT npi, (cat <> 'NP')::INT AS md_do, (cat <> 'MD/DO')::INT AS NP, cat FROM allp),
+    adr AS (SELECT * FROM addresses WHERE npi IN (SELECT npi FROM allp) AND month >= DATE '1995-01-01' AND month < DATE '2002-01-01'),
+    lcs AS (SELECT DISTINCT s.npi, s.plocstatename, z.ploczip, h.ploctel, CAST(date_trunc('quarter', s.month) AS DATE) AS quarter
+      FROM adr s JOIN adr z ON s.npi = z.npi AND s.month = z.month JOIN adr h ON s.npi = h.npi AND s.month = h.month)""",
+    _G3[len(_G2) + 2:].replace("FROM locations", "FROM lcs").replace("DATE '1996-01-01', DATE '1998-04-01'", "DATE '1900-01-01'"),
+    _G4.replace("group_rows", "allrows").replace("JOIN types y", "JOIN ty y"),
+    """copr AS (SELECT c.npi, quarter, state, max("MDDO_gppid") AS "MDDO_gppid", max("NP_gppid") AS "NP_gppid", max("MDDO_mgi") AS "MDDO_mgi",
+      max("NP_mgi") AS "NP_mgi", max("MDDO_mginpi") AS "MDDO_mginpi", max("NP_mginpi") AS "NP_mginpi"
+      FROM counts c JOIN ty y ON c.npi = y.npi WHERE cat = 'MD/DO' AND state IS NOT NULL GROUP BY 1, 2, 3),
+    edges AS (SELECT unnest(quantile_cont(c_custkey, [i / 20.0 FOR i IN range(21)])) AS v FROM customer),
+    bins AS (SELECT c_custkey AS npi, greatest(count(*) FILTER (WHERE v < c_custkey), 1) AS bin FROM customer, edges GROUP BY 1),
+    wv AS (SELECT npi, State AS state, min(CASE WHEN WaiverType = 30 THEN Date END) AS date_30, min(CASE WHEN WaiverType = 100 THEN Date END) AS date_100,
+      min(CASE WHEN WaiverType = 275 THEN Date END) AS date_275 FROM waivers x JOIN crosswalk k ON x.samhsa_id = k.samhsa_id GROUP BY 1, 2),
+    fa AS (SELECT p.*, CAST(bin AS INT) AS gradyear, CASE WHEN p.npi % 2 = 0 THEN 'F' ELSE 'M' END AS pgender, date_30, date_100, date_275
+      FROM copr p JOIN bins ON p.npi = bins.npi LEFT JOIN wv ON p.npi = wv.npi AND p.state = wv.state),
+    up AS (SELECT DISTINCT r.npi, r.quarter, r.state, r.zip FROM allrows r JOIN fa ON r.npi = fa.npi AND r.quarter = fa.quarter AND r.state = fa.state),
+    ua AS (SELECT DISTINCT npi, quarter, state, NCHSUR2013 AS cls FROM up JOIN urban ON substr(zip, 1, 5) = ZCTA5),
+    ub AS (SELECT DISTINCT npi, quarter, state, NCHSUR2013 AS cls FROM up JOIN urban ON substr(zip, 1, 4) = substr(ZCTA5, 1, 4)
+      WHERE NOT EXISTS (SELECT 1 FROM ua WHERE ua.npi = up.npi AND ua.quarter = up.quarter AND ua.state = up.state)),
+    uk AS (SELECT npi, quarter, state, """ + ", ".join(
+        f'max((cls = {i})::INT) AS "NCHSUR2013_{i}"' for i in range(1, 7)) + """ FROM (SELECT * FROM ua UNION ALL SELECT * FROM ub) GROUP BY 1, 2, 3)"""])
+
+
+@query("g15_waiver_analysis", ["directory", "registry_types", "type_creds", "type_listed", "addresses", "urban", "waivers", "crosswalk"],
+       f"WITH {_G15} SELECT fa.*, " + ", ".join(f'CAST(coalesce("NCHSUR2013_{i}", 0) AS INT) AS "NCHSUR2013_{i}"' for i in range(1, 7)) +
+       " FROM fa LEFT JOIN uk ON fa.npi = uk.npi AND fa.quarter = uk.quarter AND fa.state = uk.state")
 def _(t):
     """The whole chain, from directory and registry to the final panel."""
     a = t.addresses
@@ -425,4 +455,4 @@ def _(t):
         a.select("npi", "month", "ploctel"), t.urban, educ, genders, t.waivers, t.crosswalk,
         people.withColumn("penumdate", F.lit("2005-01-01").cast("date")), t.code_panel,
         start="1995-01-01", end="2002-01-01")
-    return out["final"]
+    return out["final"].drop("medical_school", "graduation_year", "gradyear_lo", "gradyear_hi")
