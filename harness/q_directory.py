@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from harness.q_registry import _SUFFIXED, _VARIANTS
 from harness.registry import query
 from rosterlake.operators import impute as I
 from rosterlake.plans import claims as C
@@ -131,16 +132,12 @@ def _(t):
     return I.backfill_periods(t.directory.select("npi", "date", "group_id"), _PAIRS, "date")
 
 
-@query("m1_directory_names", ["person_names"], """
-    WITH b AS (SELECT DISTINCT npi, trim(pfname) AS f, trim(pmname) AS mid, trim(split_part(plname, ',', 1)) AS l,
-      CASE WHEN npi % 5 = 0 THEN 'SR' ELSE '' END AS s FROM person_names WHERE npi % 20 IN (0, 6, 7, 8, 9, 10)),
-    m AS (SELECT * FROM b UNION SELECT npi, f, substr(mid, 1, 1), l, s FROM b UNION SELECT npi, f, '', l, s FROM b),
-    v AS (SELECT * FROM m UNION SELECT npi, replace(f, '.', ''), replace(mid, '.', ''), l, s FROM m),
-    n AS (SELECT *, CASE WHEN mid = '' THEN f || ' ' || l ELSE f || ' ' || mid || ' ' || l END AS nm FROM v)
-    SELECT npi, f AS first_name, mid AS middle_name, l AS last_name, '' AS suffix, nm AS name FROM n
-    UNION SELECT npi, f, mid, l, s, nm || ' ' || s FROM n WHERE s <> ''""")
+@query("m1_directory_names", ["person_names"], f"""
+    WITH src AS (SELECT DISTINCT npi, pfname, pmname, plname, CASE WHEN npi % 5 = 0 THEN 'SR' ELSE '' END AS pnamesuffix FROM person_names),
+    {_VARIANTS.replace('FROM person_names', 'FROM src')}, {_SUFFIXED.replace('FROM person_names', 'FROM src')}
+    SELECT npi, pfname AS first_name, pmname AS middle_name, plname AS last_name, pnamesuffix AS suffix, name FROM outn""")
 def _(t):
-    d = t.person_names.where((F.col("npi") % 20).isin(0, 6, 7, 8, 9, 10)).select(
+    d = t.person_names.select(
         "npi", F.concat(F.lit(" "), "pfname").alias("first_name"),
         F.nullif("pmname", F.lit("")).alias("middle_name"), F.col("plname").alias("last_name"),
         F.when(F.col("npi") % 5 == 0, "S.R.").alias("suffix"))
@@ -149,10 +146,10 @@ def _(t):
 
 @query("m4_engagement", [], """
     WITH d AS (SELECT l_suppkey AS npi, min(year(l_shipdate)) a, max(year(l_shipdate)) b FROM lineitem
-        WHERE l_suppkey % 3 <> 0 AND (l_suppkey % 2 = 0 OR year(l_shipdate) < 2000) GROUP BY 1),
-    o AS (SELECT o_custkey AS npi, min(year(o_orderdate)) a, max(year(o_orderdate)) b FROM orders WHERE o_custkey % 4 <> 0 GROUP BY 1),
+        WHERE l_returnflag = 'R' AND l_discount > 0.08 GROUP BY 1),
+    o AS (SELECT o_custkey AS npi, min(year(o_orderdate)) a, max(year(o_orderdate)) b FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
     c AS (SELECT l_partkey AS npi, min(year(l_shipdate)) a, max(year(l_shipdate)) b FROM lineitem
-        WHERE l_partkey % 5 <> 0 AND (l_partkey % 2 = 0 OR year(l_shipdate) < 1999) GROUP BY 1),
+        WHERE l_linestatus = 'F' AND l_linenumber > 5 GROUP BY 1),
     k AS (SELECT npi FROM d UNION SELECT npi FROM o UNION SELECT npi FROM c)
     SELECT k.npi, CAST(c.a AS INT) AS "PC_Min_Year", CAST(c.b AS INT) AS "PC_Max_Year", CAST(d.a AS INT) AS "PartD_Min_Year",
       CAST(d.b AS INT) AS "PartD_Max_Year", CAST(o.a AS INT) AS "PartB_Min_Year", CAST(o.b AS INT) AS "PartB_Max_Year",
@@ -161,13 +158,13 @@ def _(t):
       coalesce(c.b = 2001, false) AS active_2001
     FROM k LEFT JOIN d ON k.npi = d.npi LEFT JOIN o ON k.npi = o.npi LEFT JOIN c ON k.npi = c.npi""")
 def _(t):
-    y = F.year("l_shipdate")
-    d = (t.lineitem.where((F.col("l_suppkey") % 3 != 0) & ((F.col("l_suppkey") % 2 == 0) | (y < 2000)))
-         .select(F.col("l_suppkey").alias("npi"), y.alias("Year")))
-    o = (t.orders.where(F.col("o_custkey") % 4 != 0)
+    y = F.year("l_shipdate").alias("Year")
+    d = (t.lineitem.where("l_returnflag = 'R' and l_discount > 0.08")
+         .select(F.col("l_suppkey").alias("npi"), y))
+    o = (t.orders.where("o_orderstatus = 'P'")
          .select(F.col("o_custkey").alias("npi"), F.year("o_orderdate").alias("Year")))
-    c = (t.lineitem.where((F.col("l_partkey") % 5 != 0) & ((F.col("l_partkey") % 2 == 0) | (y < 1999)))
-         .select(F.col("l_partkey").alias("npi"), y.alias("Year")))
+    c = (t.lineitem.where("l_linestatus = 'F' and l_linenumber > 5")
+         .select(F.col("l_partkey").alias("npi"), y))
     return D.program_engagement(d, o, c, directory_last=2001, claims_last=2000)
 
 
@@ -219,13 +216,13 @@ def _(t):
 
 
 @query("m7_part_b", ["services"], """
-    WITH s AS (SELECT npi, Year, count(*) * 3 AS beneficiaries FROM services WHERE npi % 6 <> 0 GROUP BY 1, 2),
+    WITH s AS (SELECT npi, Year, count(*) * 3 AS beneficiaries FROM services WHERE hcpcs_code = 'A' GROUP BY 1, 2),
     d AS (SELECT npi, Year, CAST(sum(beneficiaries) AS BIGINT) AS beneficiaries_detail FROM services WHERE beneficiaries IS NOT NULL GROUP BY 1, 2)
     SELECT coalesce(s.npi, d.npi) AS npi, coalesce(s.Year, d.Year) AS Year, beneficiaries, beneficiaries_detail,
       CASE WHEN s.npi IS NULL THEN 'right_only' WHEN d.npi IS NULL THEN 'left_only' ELSE 'both' END AS _merge
     FROM s FULL JOIN d ON s.npi = d.npi AND s.Year = d.Year""")
 def _(t):
-    s = (t.services.where("npi % 6 <> 0").groupBy("npi", "Year")
+    s = (t.services.where("hcpcs_code = 'A'").groupBy("npi", "Year")
          .agg((F.count(F.lit(1)) * 3).alias("beneficiaries")))
     return C.part_b_info(s, t.services)["joined"]
 
@@ -240,8 +237,7 @@ def _(t):
 
 @query("s8_part_d_scan", ["claims_detail"], """
     SELECT CAST(npi AS VARCHAR) AS npi, Year, CAST(drug_name AS VARCHAR) AS drug_name,
-      CAST(total_claim_count AS VARCHAR) AS total_claim_count FROM claims_detail WHERE Year BETWEEN 1996 AND 1999""".replace(
-          "1996 AND 1999", "1996 AND 1999"))
+      CAST(total_claim_count AS VARCHAR) AS total_claim_count FROM claims_detail WHERE Year BETWEEN 1996 AND 1999""")
 def _(t):
     """Land yearly tab-separated files, scan some years and columns."""
     from rosterlake.session import work_path

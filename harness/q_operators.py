@@ -484,9 +484,8 @@ def _(t):
 
 @query("r7_coverage_matrix", ["panel"], """
     WITH w AS (SELECT month, max((status IS NOT DISTINCT FROM 'F')::INT) AS F, max((status IS NOT DISTINCT FROM 'O')::INT) AS O,
-        max((status IS NOT DISTINCT FROM 'P')::INT) AS P FROM panel WHERE rid % 97 = month_part GROUP BY 1)
-    SELECT month, F, O, P, F + O + P AS total, ((F + O + P) < 3)::INT AS incomplete FROM w""".replace(
-        "WHERE rid % 97 = month_part ", ""))
+        max((status IS NOT DISTINCT FROM 'P')::INT) AS P FROM panel GROUP BY 1)
+    SELECT month, F, O, P, F + O + P AS total, ((F + O + P) < 3)::INT AS incomplete FROM w""")
 def _(t):
     return R.coverage(t.panel, ["month"], "status", ["F", "O", "P"], complete_at=3)
 

@@ -158,7 +158,7 @@ def _(t):
 
 
 @query("g6_urban", ["group_rows", "urban"], """
-    WITH fin AS (SELECT DISTINCT npi, quarter, state FROM group_rows WHERE state IS NOT NULL AND npi % 3 > 0),
+    WITH fin AS (SELECT DISTINCT npi, quarter, state FROM group_rows WHERE state IS NOT NULL),
     p AS (SELECT DISTINCT g.npi, g.quarter, g.state, zip FROM group_rows g JOIN fin USING (npi, quarter, state)),
     a AS (SELECT DISTINCT npi, quarter, state, NCHSUR2013 AS u FROM p JOIN (SELECT DISTINCT substr(ZCTA5, 1, 5) z, NCHSUR2013 FROM urban) ON substr(zip, 1, 5) = z),
     b AS (SELECT DISTINCT p.npi, p.quarter, p.state, NCHSUR2013 AS u FROM p LEFT JOIN (SELECT DISTINCT npi, quarter, state FROM a) x USING (npi, quarter, state)
@@ -169,7 +169,7 @@ def _(t):
         f'CAST(coalesce(max((u = {i})::INT), 0) AS INT) AS "NCHSUR2013_{i}"' for i in range(1, 7)) + """
     FROM fin LEFT JOIN k ON fin.npi = k.npi AND fin.quarter = k.quarter AND fin.state = k.state GROUP BY 1, 2, 3""")
 def _(t):
-    final = (t.group_rows.where("state is not null and npi % 3 > 0")
+    final = (t.group_rows.where("state is not null")
              .select("npi", "quarter", "state").distinct())
     return P.urban_classes(t.group_rows, final, t.urban)
 
@@ -391,7 +391,7 @@ def _(t):
 
 @query("g14_final_analysis", ["waivers", "crosswalk"], """
     WITH f AS (SELECT DISTINCT o_custkey AS npi, 'S' || CAST(o_custkey % 4 AS VARCHAR) AS state, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS quarter FROM orders),
-    g AS (SELECT c_custkey AS npi, CASE WHEN c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS pgender FROM customer WHERE c_custkey % 10 <> 0),
+    g AS (SELECT c_custkey AS npi, CASE WHEN c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS pgender FROM customer WHERE c_acctbal > 0),
     e AS (SELECT c_custkey AS npi, 'SCHOOL' AS medical_school, CAST(c_custkey AS BIGINT) AS graduation_year FROM customer),
     q AS (SELECT quantile_cont(graduation_year, [i / 20.0 FOR i IN range(21)]) AS ed FROM e),
     u AS (SELECT unnest(range(21)) AS i, unnest(ed) AS v FROM q),
@@ -406,7 +406,7 @@ def _(t):
     final = t.orders.select(F.col("o_custkey").alias("npi"),
                             F.concat(F.lit("S"), (F.col("o_custkey") % 4).cast("string")).alias("state"),
                             F.date_trunc("quarter", "o_orderdate").cast("date").alias("quarter")).distinct()
-    genders = (t.customer.where("c_custkey % 10 <> 0")
+    genders = (t.customer.where("c_acctbal > 0")
                .select(F.col("c_custkey").alias("npi"), F.when(F.col("c_nationkey") % 2 == 0, "F").otherwise("M").alias("pgender")))
     educ = t.customer.select(F.col("c_custkey").alias("npi"), F.lit("SCHOOL").alias("medical_school"),
                              F.col("c_custkey").alias("graduation_year"))

@@ -276,10 +276,10 @@ def _(t):
 
 
 @query("d30_numbered_codes", ["code_panel", "entity", "taxonomy"], f"""WITH {_CODES},
-    k AS (SELECT *, row_number() OVER (PARTITION BY npi ORDER BY ptaxcode) AS n FROM detailed WHERE npi % 2 = 0 OR true)
+    k AS (SELECT *, row_number() OVER (PARTITION BY npi ORDER BY ptaxcode) AS n FROM detailed)
     SELECT npi, max(CASE WHEN n = 1 THEN ptaxcode END) AS ptaxcode1, max(CASE WHEN n = 1 THEN Type END) AS Type1,
       max(CASE WHEN n = 1 THEN Classification END) AS Classification1, max(CASE WHEN n = 1 THEN Specialization END) AS Specialization1,
-      count(*) AS n_codes FROM k GROUP BY 1""".replace(" WHERE npi % 2 = 0 OR true", ""))
+      count(*) AS n_codes FROM k GROUP BY 1""")
 def _(t):
     from rosterlake.operators.reshape import widest
     codes = G.taxonomy_codes(t.code_panel, t.entity, 1, t.taxonomy)

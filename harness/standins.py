@@ -54,7 +54,7 @@ STANDINS: dict[str, str] = {
         SELECT c_custkey AS npi,
                CAST(DATE '1996-01-01' + CAST(c_custkey % 60 AS INT) * INTERVAL 1 MONTH AS DATE)
                    AS npideactdate
-        FROM {customer} WHERE c_custkey % 3 = 0""",
+        FROM {customer} WHERE c_acctbal < 3000""",
     "weekly": """
         SELECT user_id AS npi, CAST(date_trunc('week', ts) AS DATE) AS week,
                CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_type END AS value
@@ -62,7 +62,7 @@ STANDINS: dict[str, str] = {
     "monthly": """
         SELECT DISTINCT user_id AS npi, CAST(date_trunc('month', ts) AS DATE) AS month,
                'stored' AS value
-        FROM {events} WHERE user_id % 2 = 0""",
+        FROM {events} WHERE value > 20""",
     "slots": """
         SELECT c_custkey AS npi,
                CASE WHEN c_custkey % 2 = 0 THEN 'A' || CAST(c_nationkey AS STRING) END AS code_1,
@@ -93,27 +93,27 @@ STANDINS: dict[str, str] = {
         SELECT o_custkey AS npi, {_PANEL_MONTH} AS month,
                CASE WHEN o_orderkey % 23 = 0 THEN '390200000X'
                     ELSE 'T' || CAST(o_orderkey % 60 AS STRING) END AS ptaxcode
-        FROM {{orders}} WHERE o_custkey % 10 <> 9""",
+        FROM {{orders}}""",
     "cred_panel": f"""
         SELECT o_custkey AS npi, {_PANEL_MONTH} AS month,
                CASE o_custkey % 8 WHEN 0 THEN 'M.D.' WHEN 1 THEN 'md, PhD' WHEN 2 THEN 'N.P., RN'
                     WHEN 3 THEN 'D.O.' WHEN 4 THEN NULL WHEN 5 THEN 'fnp-bc'
                     WHEN 6 THEN 'P A, Esq.' ELSE 'R.N.' END AS pcredential
-        FROM {{orders}} WHERE o_custkey % 5 <> 0""",
+        FROM {{orders}}""",
     "credoth_panel": f"""
         SELECT o_custkey AS npi, {_PANEL_MONTH} AS month,
                CASE WHEN o_custkey % 6 = 1 THEN 'CRNA' WHEN o_custkey % 6 = 2 THEN 'DDS'
                     WHEN o_custkey % 6 = 3 THEN 'NP' END AS pcredentialoth
-        FROM {{orders}} WHERE o_custkey % 5 <> 0""",
+        FROM {{orders}}""",
     "licence_state": f"""
         SELECT o_custkey AS npi, {_PANEL_MONTH} AS month, CAST(1 + o_orderkey % 3 AS INT) AS seq,
                max('S' || CAST(o_orderkey % 7 AS STRING)) AS PLICSTATE
-        FROM {{orders}} WHERE o_orderkey % 4 <> 0
+        FROM {{orders}} WHERE o_orderstatus <> 'P'
         GROUP BY 1, 2, 3""",
     "licence_number": f"""
         SELECT o_custkey AS npi, {_PANEL_MONTH} AS month, CAST(1 + o_orderkey % 3 AS INT) AS seq,
                max('L' || CAST(o_custkey AS STRING)) AS PLICNUM
-        FROM {{orders}} WHERE o_orderkey % 5 <> 0
+        FROM {{orders}} WHERE o_orderpriority <> '5-LOW'
         GROUP BY 1, 2, 3""",
     "phone_panel": f"""
         SELECT o_custkey AS npi, {_PANEL_MONTH} AS month, o_orderkey AS rid,
@@ -126,11 +126,11 @@ STANDINS: dict[str, str] = {
     "other_ids": f"""
         SELECT DISTINCT o_custkey AS npi, {_PANEL_MONTH} AS month, CAST(1 AS INT) AS seq,
                'X' || CAST(o_custkey AS STRING) AS OTHPID
-        FROM {{orders}} WHERE o_custkey % 2 = 0""",
+        FROM {{orders}} WHERE o_orderstatus = 'F'""",
     "other_id_states": f"""
         SELECT DISTINCT o_custkey AS npi, {_PANEL_MONTH} AS month, CAST(1 AS INT) AS seq,
                CASE WHEN o_custkey % 3 = 0 THEN 'IL' ELSE 'WI' END AS OTHPIDST
-        FROM {{orders}} WHERE o_custkey % 4 <> 0""",
+        FROM {{orders}} WHERE o_orderpriority <> '5-LOW'""",
     "other_id_types": f"""
         SELECT DISTINCT o_custkey AS npi, {_PANEL_MONTH} AS month, CAST(1 AS INT) AS seq,
                CASE WHEN o_custkey % 6 IN (0, 2) THEN 5 ELSE 1 END AS OTHPIDTY
@@ -148,14 +148,14 @@ STANDINS: dict[str, str] = {
     "waiver_dates": f"""
         SELECT c_custkey AS npi, CAST(DATE '1997-03-10' + CAST(c_custkey % 400 AS INT)
                * INTERVAL 1 DAY AS DATE) AS Date
-        FROM {{customer}} WHERE c_custkey % 2 = 1""",
+        FROM {{customer}} WHERE c_acctbal > 2000""",
     # ---------------------------------------------------------------- names
     "n_first": """
         SELECT p_partkey AS npi, CASE WHEN p_partkey % 11 = 0 THEN NULL
                ELSE upper(split_part(p_name, ' ', 1)) END AS pfname FROM {part}
         UNION ALL
         SELECT p_partkey, 'AL' || upper(split_part(p_name, ' ', 1)) FROM {part}
-        WHERE p_partkey % 4 = 0""",
+        WHERE p_size < 12""",
     "n_middle": """
         SELECT p_partkey AS npi, CASE WHEN p_partkey % 3 = 0 THEN NULL
                WHEN p_partkey % 3 = 1 THEN 'Q.' ELSE upper(p_type) END AS pmname FROM {part}""",
@@ -167,20 +167,20 @@ STANDINS: dict[str, str] = {
                ELSE upper(split_part(p_name, ' ', 2)) END AS plname FROM {part}
         UNION ALL
         SELECT p_partkey, upper(split_part(p_name, ' ', 2)) || '+' FROM {part}
-        WHERE p_partkey % 6 = 0""",
+        WHERE p_size > 42""",
     "n_suffix": """
         SELECT p_partkey AS npi, CASE WHEN p_partkey % 10 = 0 THEN 'JR'
                WHEN p_partkey % 10 = 5 THEN 'III' END AS pnamesuffix FROM {part}""",
     "o_first": """
         SELECT p_partkey AS npi, 'EX' || upper(split_part(p_name, ' ', 1)) AS pfnameoth
-        FROM {part} WHERE p_partkey % 5 = 1""",
+        FROM {part} WHERE p_type = 'ECONOMY'""",
     "o_middle": """
-        SELECT p_partkey AS npi, 'Z' AS pmnameoth FROM {part} WHERE p_partkey % 5 IN (1, 2)""",
+        SELECT p_partkey AS npi, 'Z' AS pmnameoth FROM {part} WHERE p_type IN ('ECONOMY', 'LARGE')""",
     "o_last": """
         SELECT p_partkey AS npi, upper(split_part(p_name, ' ', 2)) AS plnameoth
-        FROM {part} WHERE p_partkey % 5 IN (2, 3)""",
+        FROM {part} WHERE p_type IN ('LARGE', 'MEDIUM')""",
     "o_suffix": """
-        SELECT p_partkey AS npi, 'SR' AS pnamesuffixoth FROM {part} WHERE p_partkey % 25 = 2""",
+        SELECT p_partkey AS npi, 'SR' AS pnamesuffixoth FROM {part} WHERE p_type = 'LARGE' AND p_size < 10""",
     "person_names": """
         SELECT p_partkey AS npi, upper(split_part(p_name, ' ', 1)) AS pfname,
                CASE WHEN p_partkey % 3 = 0 THEN '' WHEN p_partkey % 3 = 1 THEN 'Q.'
@@ -238,11 +238,13 @@ STANDINS: dict[str, str] = {
         FROM {lineitem}""",
     "schools": """
         SELECT l_partkey AS npi,
-               CASE WHEN l_orderkey % 5 = 0 THEN NULL WHEN l_orderkey % 2 = 0 THEN 'OTHER'
+               CASE WHEN l_partkey % 3 = 0 THEN 'OTHER' WHEN l_partkey % 3 = 1 AND l_suppkey % 2 = 0
+                    THEN NULL WHEN l_partkey % 3 = 1 OR l_orderkey % 2 = 0 THEN 'OTHER'
                     ELSE 'SCHOOL ' || CAST(l_suppkey % 9 AS STRING) END AS medical_school,
-               CASE WHEN l_orderkey % 7 = 0 THEN NULL
-                    ELSE CAST(1960 + l_suppkey % 50 AS BIGINT) END AS graduation_year
-        FROM {lineitem} WHERE l_linenumber <= 1 + l_partkey % 3""",
+               CASE WHEN l_partkey % 3 = 0 AND l_partkey % 2 = 0 THEN 1980
+                    WHEN l_partkey % 3 = 0 OR l_orderkey % 7 = 0 THEN NULL
+                    ELSE 1960 + l_suppkey % 50 END AS graduation_year
+        FROM {lineitem}""",
     "specialty_rows": """
         SELECT DISTINCT l_partkey AS npi, CAST(date_trunc('year', l_shipdate) AS DATE) AS date,
                'SPEC ' || CAST(l_suppkey % 7 AS STRING) AS primary_specialty,
@@ -264,7 +266,7 @@ STANDINS: dict[str, str] = {
                CASE WHEN c_custkey % 3 IN (0, 2) THEN 1 ELSE 0 END AS md_do,
                CASE WHEN c_custkey % 3 IN (1, 2) THEN 1 ELSE 0 END AS NP,
                CASE c_custkey % 3 WHEN 0 THEN 'MD/DO' WHEN 1 THEN 'NP' ELSE 'both' END AS cat
-        FROM {customer} WHERE c_custkey % 7 <> 0""",
+        FROM {customer} WHERE c_acctbal > 0""",
     "registry_types": """
         SELECT c_custkey AS npi, CASE WHEN c_custkey % 4 IN (0, 2) THEN 1 ELSE 0 END AS md_do,
                CASE WHEN c_custkey % 4 IN (1, 2) THEN 1 ELSE 0 END AS NP
@@ -294,11 +296,11 @@ STANDINS: dict[str, str] = {
     "urban": """
         SELECT lpad(CAST(p_partkey * 3 AS STRING), 5, '1') AS ZCTA5,
                CAST(1 + p_partkey % 6 AS INT) AS NCHSUR2013
-        FROM {part} WHERE p_partkey % 20 < 8
+        FROM {part} WHERE p_size < 20
         UNION ALL
         SELECT lpad(CAST(p_partkey * 3 + 1 AS STRING), 5, '1'),
                CAST(1 + (p_partkey + 1) % 6 AS INT)
-        FROM {part} WHERE p_partkey % 20 < 8""",
+        FROM {part} WHERE p_size < 20""",
     "members": f"""
         SELECT DISTINCT l_partkey AS npi, {_QUARTER} AS quarter,
                CAST({_DIR_G} AS STRING) AS group_quarter_loc_id,
@@ -320,7 +322,8 @@ STANDINS: dict[str, str] = {
                          BETWEEN 1 AND 10 THEN NULL
                     ELSE count(CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 1 END)
                END AS opioid_claim_count
-        FROM {lineitem} WHERE l_suppkey % 10 <> 3 GROUP BY 1, 2""",
+        FROM {lineitem} WHERE l_discount < 0.05 AND l_linenumber < 3 GROUP BY 1, 2
+        HAVING sum(l_quantity) > 150""",
     "services": """
         SELECT o_custkey AS npi, CAST(year(o_orderdate) AS INT) AS Year, l_returnflag AS hcpcs_code,
                l_linestatus AS place_of_service,
@@ -383,7 +386,7 @@ STANDINS: dict[str, str] = {
         SELECT c_custkey AS npi,
                CAST(DATE '2000-03-01' + CAST(c_custkey % 250 AS INT) * INTERVAL 1 DAY AS DATE)
                    AS npideactdate
-        FROM {customer} WHERE c_custkey % 4 <> 0""",
+        FROM {customer} WHERE c_acctbal > 0""",
     "death_states": """
         SELECT c_custkey AS npi, CASE WHEN c_custkey % 3 = 0 THEN 'IL' ELSE 'FL' END AS plocstatename
         FROM {customer}""",
@@ -394,7 +397,7 @@ STANDINS: dict[str, str] = {
                CAST(o_orderdate AS DATE) AS Date, 'S' || CAST(o_custkey % 4 AS STRING) AS State
         FROM {orders}""",
     "crosswalk": """
-        SELECT o_orderkey AS samhsa_id, o_custkey AS npi FROM {orders} WHERE o_orderkey % 2 = 0""",
+        SELECT o_orderkey AS samhsa_id, o_custkey AS npi FROM {orders} WHERE o_orderstatus = 'F'""",
     "licence_rows": """
         SELECT o_orderkey AS rid,
                'person ' || CAST(o_custkey AS STRING) AS NameFull,
