@@ -38,16 +38,22 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return configure(builder.getOrCreate())
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     A folder of our own is made only where the session names none (tests).
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = tempfile.mkdtemp(prefix="rosterlake-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named
+    app = context.applicationId
+    if app not in _OWN_DIRS:
+        _OWN_DIRS[app] = tempfile.mkdtemp(prefix="rosterlake-")
+    return _OWN_DIRS[app]
 
 
 def work_path(spark: SparkSession, label: str) -> str:
