@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rosterlake.functions.dates import month_start
+from rosterlake.session import cut
 
 _R = "__right_"
 _SPREAD = "__spread"
@@ -159,21 +160,17 @@ def nearest_month(targets: DataFrame, panel: DataFrame, key: str, date: str,
 
 def count_copresent(members: DataFrame, person: str, place: Sequence[str],
                     period: Sequence[str], focal: Column, other: Column,
-                    out: str = "n_others") -> DataFrame:
+                    out: str = "n_others", listed_places: int = 64) -> DataFrame:
     """Distinct other-role persons sharing any place with each focal person.
 
     No person pairs are made. Others seen at one place in the period are
     counted per place and added up; only others seen at several places need
     their places compared, and focal persons with the same set of places share
-    one answer.
+    one answer. A set of at most ``listed_places`` places is named by its
+    sorted places; a person with more has a set of their own.
     """
     period, place = list(period), list(place)
     spot = [*period, *place]
-    # two independent 64-bit sums name a set of places
-    sig = ["__h1", "__h2", "__places"]
-    h1 = F.xxhash64(*place).cast("decimal(20,0)")
-    h2 = F.xxhash64(F.lit(17), *place).cast("decimal(20,0)")
-
     others = members.where(other).select(person, *spot).distinct()
     others = with_group_stats(others, [person, *period], __n=F.count(F.lit(1)))
     single = (others.where("__n = 1").groupBy(*spot)
@@ -181,21 +178,30 @@ def count_copresent(members: DataFrame, person: str, place: Sequence[str],
     roaming = others.where("__n > 1").select(person, *spot)
 
     mine = members.where(focal).select(person, *spot).distinct()
-    sets = mine.groupBy(person, *period).agg(
-        F.sum(h1).alias("__h1"), F.sum(h2).alias("__h2"),
-        F.count(F.lit(1)).alias("__places"))
-    set_places = (join_group_stats(mine, sets, [person, *period])
-                  .select(*period, *sig, *place).distinct())
+    mine = cut(with_group_stats(mine, [person, *period], __n=F.count(F.lit(1))))
+    few, many = (mine.where(F.col("__n") <= listed_places),
+                 mine.where(F.col("__n") > listed_places))
+    no_one = F.lit(None).cast(mine.schema[person].dataType).alias("__who")
+    listed = (few.groupBy(person, *period)
+              .agg(F.array_sort(F.collect_list(F.struct(*place))).alias("__set"))
+              .select(person, *period, "__set", no_one))
+    no_set = F.lit(None).cast(listed.schema["__set"].dataType).alias("__set")
+    own = many.select(person, *period).distinct().select(
+        person, *period, no_set, F.col(person).alias("__who"))
+    sets, name = listed.unionByName(own), [*period, "__set", "__who"]
+
+    set_places = (listed.select(*name).distinct().select(*name, F.explode("__set").alias("__p"))
+                  .select(*name, *[F.col(f"__p.{c}").alias(c) for c in place])
+                  .unionByName(many.select(*period, no_set, F.col(person).alias("__who"), *place)))
     alone = (natural_join(set_places, single, "left", on=spot)
-             .groupBy(*period, *sig).agg(F.sum("__single").alias("__a")))
+             .groupBy(*name).agg(F.sum("__single").alias("__a")))
     shared = (natural_join(set_places, roaming, on=spot)
-              .select(*period, *sig, person).distinct()
-              .groupBy(*period, *sig).agg(F.count(F.lit(1)).alias("__b")))
-    per_set = natural_join(alone, shared, "left", on=[*period, *sig])
+              .select(*name, person).distinct()
+              .groupBy(*name).agg(F.count(F.lit(1)).alias("__b")))
+    per_set = natural_join(alone, shared, "left", on=name)
     total = (F.coalesce("__a", F.lit(0)) + F.coalesce("__b", F.lit(0))).cast("long")
-    per_set = per_set.select(*period, *sig, total.alias(out))
-    return (join_group_stats(sets, per_set, [*period, *sig])
-            .select(person, *period, out))
+    per_set = per_set.select(*name, total.alias(out))
+    return join_group_stats(sets, per_set, name).select(person, *period, out)
 
 
 def prefix_fallback(df: DataFrame, dim: DataFrame, code: str, dim_code: str,

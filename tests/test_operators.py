@@ -106,14 +106,15 @@ def test_copresent_counts_against_all_pairs(spark):
     role = {p: (p % 2 == 0, p % 3 == 0) for p in range(31)}
     df = frame(spark, [(p, f"L{g}", q, *role[p]) for p, g, q in data],
                "p int, place string, q int, md boolean, np boolean")
-    got = {(r.p, r.q): r.n_others for r in J.count_copresent(
-        df, "p", ["place"], ["q"], F.col("md"), F.col("np")).collect()}
     want = {}
     for p, g, q in data:
         if role[p][0]:
             want.setdefault((p, q), set()).update(
                 o for o, g2, q2 in data if g2 == g and q2 == q and role[o][1])
-    assert got == {k: len(v) for k, v in want.items()}
+    for listed in (64, 2, 0):
+        got = {(r.p, r.q): r.n_others for r in J.count_copresent(
+            df, "p", ["place"], ["q"], F.col("md"), F.col("np"), listed_places=listed).collect()}
+        assert got == {k: len(v) for k, v in want.items()}
 
 
 def test_prefix_fallback(spark):
