@@ -145,6 +145,10 @@ def _walk(last: bool):
         seed = (row[order[0]] * 31 + len(p)) if order else 0
         flight(p, size, Chance(seed))
         if last:
+            # documents decided just now help too, where there were no blocks
+            near = [i for i in range(len(p)) if not fixed[i] and p[i] in (0.0, 1.0)]
+            for i in near[:POOL * POOL_BLOCKS]:
+                flag[i] = 1
             land(p, size, [bool(f) for f in flag])
             flag = [0] * len(p)
         else:
