@@ -11,8 +11,11 @@ badly filled are dealt into blocks again and packed together.
 
 from __future__ import annotations
 
+import os
 import random
+import sys
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -31,7 +34,8 @@ EPOCHS = 2
 POPULATION = 4
 CHILDREN = 6              # per island and epoch
 FULL = 0.98               # filled to this share a sequence is final
-CACHE = 400_000
+CACHE = 1_000_000         # plain runs a worker remembers
+STRETCH = 1000            # texts whose runs are encoded together
 _PIECE = "doc_id long, row long, piece int, start long, length int, ids_crc32 long"
 
 
@@ -40,39 +44,50 @@ class Words(dict):
 
     The tokenizer drops white space and never joins across it, so a text is
     the chain of its runs. Letters closed by punctuation are two runs to it,
-    and case is folded, so most runs are found under a plainer one.
+    and case is folded, so most runs are found under a plainer one. The runs
+    that are left are encoded together, once for a stretch of texts.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"   # tasks are the parallel unit
         from tokenizers import Tokenizer
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
 
-    def __missing__(self, run: str) -> bytes:
-        if len(self) > CACHE:
-            self.clear()
+    @staticmethod
+    def parts(run: str) -> tuple[str, ...]:
+        """Plainer runs that give the same ids; the run itself if none do."""
         if run.isascii():
             folded = run.lower()
             stem = folded.rstrip(".,;:!?|#$%&*")
-            if folded != run and folded.isalpha():
-                ids = self[folded]
-            elif stem and stem != folded and stem.isalpha():
-                ids = self[stem] + self[folded[len(stem):]]
-            else:
-                ids = self.encode(run)
+            if stem.isalpha():
+                return (stem, folded[len(stem):]) if len(stem) < len(folded) else (folded,)
         elif run[-1] in ".,;:!?" and run[:-1].isalpha():
-            ids = self[run[:-1]] + self[run[-1]]
-        else:
-            ids = self.encode(run)
-        self[run] = ids
-        return ids
+            return run[:-1], run[-1]
+        return (run,)
 
-    def encode(self, run: str) -> bytes:
-        ids = self.tokenizer.encode(run, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def text(self, text: str) -> bytes:
-        return b"".join([self[w] for w in text.split()])
+    def runs(self, texts: list[list[str]]) -> dict[str, bytes]:
+        """The ids of all runs of the texts. Only plain runs are remembered."""
+        if len(self) > CACHE:
+            self.clear()
+        split = {run: self.parts(run) for run in set().union(*texts)}
+        fresh = {p for parts in split.values() for p in parts}.difference(self)
+        # letters are one word to the tokenizer, so many can be told apart in one text;
+        # one capital of this range folds to more than letters
+        letters = sorted(w for w in fresh if w.isalpha() and ord(max(w)) < 0x250
+                         and "\u0130" not in w)
+        lists = [letters[at:at + 64] for at in range(0, len(letters), 64)]
+        for words, made in zip(lists, self.tokenizer.encode_batch(
+                [" ".join(w) for w in lists], add_special_tokens=False)):
+            ids: list[array] = [array("I") for _ in words]
+            for i, k in zip(made.ids, made.word_ids):
+                ids[k].append(i)
+            self.update(zip(words, [i.tobytes() for i in ids]))
+        rest = sorted(fresh.difference(letters))
+        for run, made in zip(rest, self.tokenizer.encode_batch_fast(
+                rest, add_special_tokens=False)):
+            self[run] = array("I", made.ids).tobytes()
+        return {run: b"".join([self[p] for p in parts]) for run, parts in split.items()}
 
 
 _words: dict[str, Words] = {}
@@ -80,23 +95,29 @@ _words: dict[str, Words] = {}
 
 def _tokenize(path: str, capacity: int):
     step = 4 * capacity
+    if array("I").itemsize != 4 or sys.byteorder != "little":
+        raise RuntimeError("ids are taken as little-endian unsigned 32-bit numbers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _words:
             _words[path] = Words(path)
         words = _words[path]
-        close = np.array([END_ID], "<u4").tobytes()
+        close = array("I", [END_ID]).tobytes()
         for batch in batches:
             row, piece, start, length, crc = [], [], [], [], []
-            for i, text in enumerate(batch.column(2).to_pylist()):
-                ids = words.text(text or "") + close
-                for k, at in enumerate(range(0, len(ids), step)):
-                    part = ids[at:at + step]
-                    row.append(i)
-                    piece.append(k)
-                    start.append(at // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
+            column = batch.column(2)
+            for first in range(0, batch.num_rows, STRETCH):
+                texts = [(t or "").split() for t in column.slice(first, STRETCH).to_pylist()]
+                known = words.runs(texts)
+                for i, runs in enumerate(texts, first):
+                    ids = b"".join([known[w] for w in runs]) + close
+                    for k, at in enumerate(range(0, len(ids), step)):
+                        part = ids[at:at + step]
+                        row.append(i)
+                        piece.append(k)
+                        start.append(at // 4)
+                        length.append(len(part) // 4)
+                        crc.append(zlib.crc32(part))
             take = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(take), batch.column(1).take(take), pa.array(piece, pa.int32()),
