@@ -200,7 +200,7 @@ def _part_d(t):
     return C.part_d_info(s, t.claims_shown, s.where("opioid_claim_count is null or opioid_claim_count <> 11"))
 
 
-@query("m6_part_d_zero_in_detail", ["claims_summary", "claims_shown"], """
+@query("m6_part_d_null_in_detail", ["claims_summary", "claims_shown"], """
     SELECT CASE WHEN d.npi IS NULL THEN 'left_only' ELSE 'both' END AS _merge, count(*) AS n
     FROM (SELECT DISTINCT npi, Year FROM claims_summary WHERE opioid_claim_count IS NULL) s
     LEFT JOIN (SELECT DISTINCT npi, Year FROM claims_shown) d ON s.npi = d.npi AND s.Year = d.Year GROUP BY 1""")

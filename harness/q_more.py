@@ -15,7 +15,7 @@ from rosterlake.operators import reshape as R
 from rosterlake.plans import directory as Dir
 from rosterlake.plans import names as N
 from rosterlake.plans import registry as G
-from rosterlake.session import work_path
+from rosterlake.session import cut, work_path
 from rosterlake.sources import files as Fi
 
 
@@ -42,6 +42,78 @@ def _(t):
     return read_months(t.spark, root, "pgender")
 
 
+def _months(t, root, flags):
+    c = t.customer.select(F.col("c_custkey").alias("NPI"))
+    for (folder, day), value in flags.items():
+        _land(c.withColumn(S.SINGLE_HEADERS["pgender"], F.lit(value)),
+              f"{root}/NPPES_Data_Dissemination_{folder}_2014/npidata_20050523-2014{day}.csv")
+
+
+_AUG, _SEP, _OCT = ("August", "0810"), ("September", "0907"), ("October", "1012")
+
+
+@query("d4_full_rebuild", [], "SELECT c_custkey AS npi, DATE '2014-09-01' AS month, 'g' AS pgender FROM customer")
+def _(t):
+    """A full rebuild leaves nothing of months that are not landed any more."""
+    from rosterlake.plans.refresh import refresh_variable
+    from rosterlake.sources.panels import read_panel
+    root = work_path(t.spark, "rebuild")
+    _months(t, f"{root}/old", {_AUG: "m", _SEP: "f"})
+    _months(t, f"{root}/new", {_SEP: "g"})
+    for folder in ("old", "new"):
+        refresh_variable(t.spark, f"{root}/{folder}", f"{root}/panels", "pgender", update=False)
+    return read_panel(t.spark, f"{root}/panels", "pgender").select("npi", "month", "pgender")
+
+
+@query("d4_incremental", [], """SELECT c_custkey AS npi, DATE '2014-08-01' AS month, 'm' AS pgender FROM customer
+    UNION ALL SELECT c_custkey, DATE '2014-09-01', 'g' FROM customer UNION ALL SELECT c_custkey, DATE '2014-10-01', 'h' FROM customer""")
+def _(t):
+    """An update rebuilds the last months from what is landed and adds new ones."""
+    from rosterlake.plans.refresh import refresh_variable
+    from rosterlake.sources.panels import read_panel
+    root = work_path(t.spark, "update")
+    _months(t, f"{root}/old", {_AUG: "m", _SEP: "f"})
+    _months(t, f"{root}/new", {_AUG: "m", _SEP: "g", _OCT: "h"})
+    refresh_variable(t.spark, f"{root}/old", f"{root}/panels", "pgender", update=False)
+    refresh_variable(t.spark, f"{root}/new", f"{root}/panels", "pgender")
+    return read_panel(t.spark, f"{root}/panels", "pgender").select("npi", "month", "pgender")
+
+
+_LOCATION = """CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_name END AS ploc2line1, CAST(NULL AS {text}) AS ploc2line2,
+    c_mktsegment AS ploc2cityname, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE substr(c_mktsegment, 1, 2) END AS ploc2statename,
+    CAST(c_custkey % 50 AS {text}) AS ploc2zip, CAST(c_custkey AS {text}) AS ploc2tel"""
+
+
+@query("d19_landed_locations", [], f"""SELECT CAST(c_nationkey AS BIGINT) AS npi, DATE '2014-09-01' AS month, {_LOCATION.format(text="VARCHAR")}
+    FROM customer""")
+def _(t):
+    """Six variables of one landed file share their row numbers, so joined they
+    give the rows that were landed."""
+    from rosterlake.sources.panels import read_months
+    root = work_path(t.spark, "locations")
+    rows = t.spark.sql(f"SELECT c_nationkey AS NPI, {_LOCATION.format(text='STRING')} FROM {{c}}", c=t.customer)
+    _land(rows.withColumnsRenamed(S.SECONDARY_HEADERS),
+          f"{root}/NPPES_Data_Dissemination_September_2014/pl_pfile_20050523-20140907.csv")
+    parts = [cut(read_months(t.spark, root, v)) for v in S.SECONDARY_HEADERS]
+    return G.secondary_locations(parts).drop("seq")
+
+
+@query("d2_fewer_slots", [], """SELECT l_orderkey AS npi, DATE '1996-01-01' AS month, l_linenumber AS seq,
+      CASE WHEN l_orderkey % 2 = 0 AND l_linenumber = 1 THEN l_returnflag ELSE l_linestatus END AS value
+    FROM (SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, min(l_returnflag) AS l_returnflag, min(l_linestatus) AS l_linestatus
+          FROM lineitem GROUP BY 1, 2) QUALIFY l_orderkey % 2 = 1 OR l_linenumber = 1 OR min(l_linenumber) OVER (PARTITION BY l_orderkey) > 1""")
+def _(t):
+    """The latest weekly record replaces a provider's slots, also by fewer."""
+    from rosterlake.plans.refresh import with_weeks
+    rows = t.lineitem.groupBy(F.col("l_orderkey").alias("npi"), F.col("l_linenumber").cast("int").alias("seq")).agg(
+        F.min("l_linestatus").alias("value"), F.min("l_returnflag").alias("flag"))
+    monthly = rows.select("npi", F.lit("1996-01-01").cast("date").alias("month"), "seq", "value")
+    seen = rows.where("npi % 2 = 0")
+    weekly = (seen.select("npi", F.lit("1996-01-08").cast("date").alias("week"), "seq", "value").unionByName(
+        seen.where("seq = 1").select("npi", F.lit("1996-01-15").cast("date").alias("week"), "seq", F.col("flag").alias("value"))))
+    return with_weeks(monthly, weekly, "value")
+
+
 @query("s6_weekly_files", ["weekly"], """
     SELECT DISTINCT npi, DATE '2014-09-15' AS week, value AS pgender FROM weekly WHERE npi % 2 = 1""")
 def _(t):

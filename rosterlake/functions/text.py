@@ -14,10 +14,6 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def upper_trim(c: Column | str) -> Column:
-    return F.trim(F.upper(_c(c)))
-
-
 def drop_chars(c: Column | str, chars: str) -> Column:
     """Delete every listed character, literally."""
     return F.translate(_c(c), chars, "")
@@ -30,10 +26,6 @@ def blank_to_null(c: Column | str, *tokens: str) -> Column:
     return out
 
 
-def is_blank(c: Column | str) -> Column:
-    return _c(c).isNull()
-
-
 def drop_lone_initial_period(c: Column | str) -> Column:
     """``A.`` becomes ``A``; anything longer is left alone."""
     return F.regexp_replace(_c(c), r"^([A-Za-z]?)\.$", "$1")
@@ -80,11 +72,6 @@ def full_name(first: Column | str, middle: Column | str, last: Column | str) ->
     return F.when(m == "", F.concat(f, sp, la)).otherwise(F.concat(f, sp, m, sp, la))
 
 
-def spaced_forms(tokens: Sequence[str]) -> list[str]:
-    """``JR`` also as ``J R``."""
-    return list(tokens) + [" ".join(t) for t in tokens]
-
-
 def group_location_id(group: Column | str, quarter: Column | str, state: Column | str,
                       zip_code: Column | str, phone: Column | str) -> Column:
     """``group-2015Q2-state-zip-phone``; null when any part is null."""

@@ -77,31 +77,6 @@ def batch_fill(df: DataFrame, ids: Sequence[str], targets: Sequence[str],
     return out.distinct() if distinct else out
 
 
-def window_fill(df: DataFrame, ids: Sequence[str], targets: Sequence[str],
-                blank_ids: Sequence[str] = ()) -> DataFrame:
-    """``batch_fill`` by windows, for data whose keys are known to be small.
-
-    Passes that share a leading id keep one partitioning, so a chain of them
-    shuffles once.
-    """
-    w = Window.partitionBy(*ids)
-    usable = _filled(ids, blank_ids)
-    return df.withColumns({
-        t: F.coalesce(F.col(t), F.when(usable & (F.min(t).over(w) == F.max(t).over(w)),
-                                       F.max(t).over(w))) for t in targets})
-
-
-def window_fill_tuple(df: DataFrame, ids: Sequence[str], targets: Sequence[str]) -> DataFrame:
-    """Fill from ``consistent_tuple`` by windows; same condition on the data."""
-    w = Window.partitionBy(*ids)
-    known = reduce(lambda a, b: a | b, [F.col(t).isNotNull() for t in targets])
-    packed = F.when(known, F.struct(*targets))
-    out = df.withColumns({"__lo": F.min(packed).over(w), "__hi": F.max(packed).over(w)})
-    same = F.col("__lo").eqNullSafe(F.col("__hi"))
-    return out.withColumns({t: F.coalesce(F.col(t), F.when(same, F.col(f"__hi.{t}")))
-                            for t in targets}).drop("__lo", "__hi")
-
-
 def purge_nulls(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
     """Drop a null row only where its key has a value elsewhere."""
     seen = with_group_stats(df, keys, __known=F.max(F.col(column).isNotNull()))

@@ -34,11 +34,11 @@ def require_one_to_one(df: DataFrame, left: str, right: str) -> DataFrame:
     return require_id(df, [right])
 
 
-def checked_cast(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
-    """Tolerant casts, with the source kept beside each as ``__raw_<name>``."""
-    return df.select(*df.columns, *[
-        F.col(c).alias(f"__raw_{c}") for c in types]).withColumns(
-        {c: F.col(f"__raw_{c}").try_cast(t) for c, t in types.items()})
+def value_or_error(text: Column, value: Column, what: str) -> Column:
+    """``value``, null for blank text; text that gave none is an error."""
+    lost = F.raise_error(F.concat(F.lit(f"not readable: {what}: "), text))
+    return F.when(F.trim(F.coalesce(text, F.lit(""))) == "", None).otherwise(
+        F.coalesce(value, lost))
 
 
 def cast_audit(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

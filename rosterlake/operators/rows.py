@@ -84,25 +84,6 @@ def frequent_values(df: DataFrame, value: str, more_than: int) -> DataFrame:
             .where(F.col("__n") > more_than).drop("__n"))
 
 
-# A key with more rows than this is never gathered into one task.
-KEY_ROWS = 1_000_000
-
-
-def split_by_key_size(df: DataFrame, keys: Sequence[str], limit: int | None = None
-                      ) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of keys of at most ``limit`` rows, rows of bigger keys or None).
-
-    There are at most rows / limit big keys, so their list may be broadcast.
-    """
-    limit = KEY_ROWS if limit is None else limit
-    big = cut(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-              .where(F.col("__n") > limit).select(*keys))
-    if big.isEmpty():
-        return df, None
-    big = F.broadcast(big)
-    return (natural_join(df, big, "left_anti", on=keys), natural_join(df, big, "left_semi", on=keys))
-
-
 def _sorted_slices(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
     """Range-partitioned, sorted, numbered and written; ``__slice`` and
     ``__pos`` say where each row lies. A hot key is spread over several slices

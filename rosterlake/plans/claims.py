@@ -74,8 +74,3 @@ def part_b_info(summary: DataFrame, detail: DataFrame) -> Mapping[str, DataFrame
         "null_rows": detail.where(F.col("beneficiaries").isNull()),
         "joined": summary_with_detail(summary, known, key, ["beneficiaries"]),
     }
-
-
-def only_listed(df: DataFrame, keys: DataFrame) -> DataFrame:
-    """Claims of the listed providers."""
-    return semi_join(df, keys.select("npi"), on=["npi"], null_equal=False)

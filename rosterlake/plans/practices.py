@@ -8,7 +8,7 @@ value where phones identify (two blanks match), never a value to copy.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,39 +16,32 @@ from rosterlake import schemas as S
 from rosterlake.functions.dates import quarter_start
 from rosterlake.functions.text import group_location_id
 from rosterlake.operators.impute import (backfill_periods, batch_fill, consistent_tuple,
-                                         consistent_value, fill_from, window_fill,
-                                         window_fill_tuple)
+                                         consistent_value, fill_from)
 from rosterlake.operators.joins import (anti_join, count_copresent, join_group_stats,
                                         natural_join, provenance_join, semi_join,
                                         with_group_stats)
 from rosterlake.operators.reshape import first_date_by_type, indicators, to_long
 from rosterlake.operators.rows import (frequent_values, last_non_null, quantile_bins,
-                                       split_by_key_size, surrogate_id)
+                                       surrogate_id)
 from rosterlake.session import cut
 
 DIRECTORY = ["npi", "date", "org_name", "group_id", "group_size", "state", "zip", "phone"]
 
 
-def infer_groups(directory: DataFrame, late_years: Sequence[int] = (2018, 2019, 2020),
-                 person_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+def infer_groups(directory: DataFrame, late_years: Sequence[int] = (2018, 2019, 2020)
+                 ) -> tuple[DataFrame, DataFrame]:
     """(rows with a group, rows without), after ten ordered fill passes.
 
     ``directory`` is already repaired. The first five kinds of pass look at
-    one person at a time: persons of ordinary size go through them on one
-    partitioning, persons with more than ``person_rows`` rows by aggregates
-    joined back. The two eras are kept apart by an extra id instead of two
-    copies of the data.
+    one person at a time, as aggregates joined back. The two eras are kept
+    apart by an extra id instead of two copies of the data.
     """
     rows = directory.select(*DIRECTORY).distinct()
     rows = with_group_stats(rows, ["npi"], __grouped=F.max(F.col("group_id").isNotNull()))
     late = F.coalesce(F.year("date").isin(list(late_years)), F.lit(False))
     rows = cut(rows.withColumn("__late", late))
     missing = rows.where("not __grouped").select(*DIRECTORY)
-    small, big = split_by_key_size(rows.where("__grouped").drop("__grouped"), ["npi"],
-                                   person_rows)
-    known = _person_passes(small.repartition("npi"), window_fill, window_fill_tuple)
-    if big is not None:
-        known = known.unionByName(_person_passes(big, _joined_fill, _joined_fill_tuple))
+    known = _person_passes(rows.where("__grouped").drop("__grouped"))
     known = cut(known.drop("__late").distinct())
 
     spot = ["date", "state", "zip", "phone"]
@@ -64,16 +57,16 @@ def infer_groups(directory: DataFrame, late_years: Sequence[int] = (2018, 2019,
             rest.where(F.col("group_id").isNull()))
 
 
-def _person_passes(rows: DataFrame, fill: Callable, fill_tuple: Callable) -> DataFrame:
+def _person_passes(rows: DataFrame) -> DataFrame:
     """The passes within a person, in order. Copies a pass makes do no harm
     to the next, so they are only folded at the end."""
     place = ["npi", "state", "zip", "phone"]
     details = ["zip", "org_name", "group_size", "state", "phone"]
-    rows = fill(rows, place, ["group_id"], ["phone"])
-    rows = fill(rows, ["npi", "group_id"], details)
-    rows = fill(rows, ["npi", "group_id", "__late"], details)
-    rows = fill(rows, [*place, "__late"], ["group_id"], ["phone"])
-    return fill_tuple(rows, ["npi", "state", "zip", "__late"], ["org_name", "phone", "group_id"])
+    rows = _joined_fill(rows, place, ["group_id"], ["phone"])
+    rows = _joined_fill(rows, ["npi", "group_id"], details)
+    rows = _joined_fill(rows, ["npi", "group_id", "__late"], details)
+    rows = _joined_fill(rows, [*place, "__late"], ["group_id"], ["phone"])
+    return _joined_fill_tuple(rows, ["npi", "state", "zip", "__late"], ["org_name", "phone", "group_id"])
 
 
 def _joined_fill(rows: DataFrame, ids: Sequence[str], targets: Sequence[str],

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterlake import schemas as S
 from rosterlake.functions.dates import month_start
-from rosterlake.operators.joins import provenance_join
+from rosterlake.operators.joins import anti_join, with_group_stats
 from rosterlake.operators.quality import require_id, require_update
 from rosterlake.operators.rows import replace_tail
 from rosterlake.session import cut
@@ -20,20 +20,22 @@ def panel_keys(columns: Sequence[str]) -> list[str]:
 
 
 def fold_weeks(weekly: DataFrame, value: str) -> DataFrame:
-    """Per provider and month (and slot) the value of the latest week."""
-    rows = weekly.where(F.col(value).isNotNull()).withColumn("month", month_start("week"))
+    """Per provider and month the values of the latest week that has any; its
+    slots replace those of all earlier weeks."""
+    rows = weekly.where(F.col(value).isNotNull() & F.col("npi").isNotNull()).withColumn(
+        "month", month_start("week"))
     keys = panel_keys(rows.columns)
-    return (rows.where(F.col("npi").isNotNull()).groupBy(*keys)
-            .agg(F.max_by(value, F.struct("week", value)).alias(value)))
+    latest = with_group_stats(rows, ["npi", "month"], __week=F.max("week"))
+    return (latest.where(F.col("week") == F.col("__week")).groupBy(*keys)
+            .agg(F.max(value).alias(value)))
 
 
 def with_weeks(monthly: DataFrame, weekly: DataFrame, value: str) -> DataFrame:
-    """Monthly rows overridden and extended by folded weekly values."""
-    keys = panel_keys(monthly.columns)
-    new = fold_weeks(weekly, value).withColumnRenamed(value, "__new")
-    both = provenance_join(monthly, new, on=keys)
-    value_now = F.when(F.col("_merge") == "left_only", F.col(value)).otherwise(F.col("__new"))
-    return both.withColumn(value, value_now).select(*monthly.columns)
+    """Monthly rows, those of a provider and month seen in a weekly file
+    replaced by its folded rows."""
+    new = cut(fold_weeks(weekly, value))
+    kept = anti_join(monthly, new.select("npi", "month").distinct(), on=["npi", "month"])
+    return kept.unionByName(new.select(*monthly.columns))
 
 
 def refreshed(old: DataFrame, remade: DataFrame, tolerance: float = 0.001) -> DataFrame:
@@ -64,7 +66,7 @@ def refresh_variable(spark: SparkSession, folder: str, root: str, variable: str,
     if not update:
         write_panel(require_id(cut(rebuilt_months(spark, folder, variable)),
                                panel_keys(S.panel_schema(variable).fieldNames())),
-                    root, variable)
+                    root, variable, replace=True)
         return
     old = read_panel(spark, root, variable)
     since = old.agg(F.add_months(F.max("month"), -window_months)).first()[0]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -38,22 +37,22 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return configure(builder.getOrCreate())
 
 
-_OWN_DIRS: dict[str, str] = {}
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
+    """The folder every executor can reach, as the session names it.
 
-    A folder of our own is made only where the session names none (tests).
+    The checkpoint folder, else a folder in the warehouse. A warehouse that is
+    a local path is an error unless driver and executors are one machine.
     """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    named = (spark.conf.get("spark.checkpoint.dir", None)
+             or spark.sparkContext.getCheckpointDir())
     if named:
         return named
-    app = context.applicationId
-    if app not in _OWN_DIRS:
-        _OWN_DIRS[app] = tempfile.mkdtemp(prefix="rosterlake-")
-    return _OWN_DIRS[app]
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    local = warehouse.startswith("file:") or ":/" not in warehouse
+    if local and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to storage that all executors share; "
+                         f"the warehouse is the local path {warehouse}")
+    return warehouse
 
 
 def work_path(spark: SparkSession, label: str) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterlake import schemas as S
 from rosterlake.functions.dates import detect_date
+from rosterlake.operators.quality import value_or_error
 from rosterlake.sources.files import (harmonize, list_files, read_text_table,
                                       union_vintages, whole_files)
 
@@ -61,10 +62,12 @@ def read_vintage(spark: SparkSession, path: str, date: str | None) -> DataFrame:
 
 
 def typed_directory(df: DataFrame) -> DataFrame:
-    """Canonical types. Blank tokens in the integer columns become null."""
+    """Canonical types. Blank text in the integer columns is null, any other
+    that is no integer an error."""
     longs = [c for c in S.DIRECTORY_LONGS if c in df.columns]
-    return df.withColumns({c: F.regexp_replace(F.trim(c), r"\.0$", "").try_cast("long")
-                           for c in longs})
+    return df.withColumns({c: value_or_error(
+        F.col(c), F.regexp_replace(F.trim(c), r"\.0$", "").try_cast("long"), f"{c} as long")
+        for c in longs})
 
 
 def read_directory(spark: SparkSession, root: str, columns: Sequence[str],

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from rosterlake import schemas as S
 from rosterlake.operators.joins import semi_join
+from rosterlake.operators.quality import value_or_error
 from rosterlake.operators.reshape import slots_to_long
 from rosterlake.operators.rows import sequence_in_group
 from rosterlake.sources.files import (harmonize, list_files, locate, paths_of, read_each,
@@ -25,11 +26,11 @@ def read_panel(spark: SparkSession, root: str, variable: str,
     return semi_join(panel, npis.select("npi").distinct(), on=["npi"], null_equal=False)
 
 
-def write_panel(panel: DataFrame, root: str, variable: str) -> None:
-    """Write months; months not in the frame stay. Rows are spread so that a
-    big month becomes several files."""
+def write_panel(panel: DataFrame, root: str, variable: str, replace: bool = False) -> None:
+    """Write months; months not in the frame stay unless the whole dataset is
+    replaced. Rows are spread so that a big month becomes several files."""
     (panel.hint("rebalance", "month").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("month")
+     .option("partitionOverwriteMode", "static" if replace else "dynamic").partitionBy("month")
      .parquet(f"{root}/{variable}"))
 
 
@@ -43,11 +44,17 @@ def months_with_code(panel: DataFrame, code: str = S.STUDENT_CODE) -> DataFrame:
 
 
 def typed(c: Column, variable: str) -> Column:
-    """Text to the variable's type. Snapshots write dates month first."""
+    """Text to the variable's type. Snapshots write dates month first.
+
+    Blank text is null; any other text that is no value of the type ends the
+    job, so no value is lost without a word.
+    """
     kind = S.variable_type(variable).simpleString()
-    if kind == "date":
-        return F.coalesce(F.try_to_date(c, "MM/dd/yyyy"), F.try_to_date(c, "yyyy-MM-dd"))
-    return c.try_cast(kind) if kind != "string" else c
+    if kind == "string":
+        return c
+    value = (F.coalesce(F.try_to_date(c, "MM/dd/yyyy"), F.try_to_date(c, "yyyy-MM-dd"))
+             if kind == "date" else c.try_cast(kind))
+    return value_or_error(c, value, f"{variable} as {kind}")
 
 
 def snapshot_to_panel(wide: DataFrame, variable: str,
@@ -63,9 +70,10 @@ def snapshot_to_panel(wide: DataFrame, variable: str,
         slots = [h for h in S.headers_of(variable) if h in base.columns]
         out = slots_to_long(base, keep, slots, variable)
     elif variable in S.SECONDARY_HEADERS:
-        header = S.headers_of(variable)[0]
-        rows = base.select(*keep, F.col(f"`{header}`").alias(variable))
-        out = sequence_in_group(rows, keep, [variable], "seq")
+        # numbered by the whole row, so that all six variables share a number
+        heads = {v: h for v, h in S.SECONDARY_HEADERS.items() if h in base.columns}
+        rows = base.select(*keep, *[F.col(f"`{h}`").alias(v) for v, h in heads.items()])
+        out = sequence_in_group(rows, keep, list(heads), "seq").select(*keep, "seq", variable)
     else:
         header = S.headers_of(variable)[0]
         out = base.select(*keep, F.col(f"`{header}`").alias(variable))
@@ -74,8 +82,11 @@ def snapshot_to_panel(wide: DataFrame, variable: str,
 
 def read_snapshots(spark: SparkSession, paths: Sequence[str], variable: str,
                    period: Mapping[str, Column]) -> DataFrame:
-    """Wide files, each by its own header, pruned to the variable's columns."""
-    names = {h: h for h in ["NPI", *S.headers_of(variable)]}
+    """Wide files, each by its own header, pruned to the variable's columns; a
+    secondary location needs its whole row for its number."""
+    heads = (list(S.SECONDARY_HEADERS.values()) if variable in S.SECONDARY_HEADERS
+             else S.headers_of(variable))
+    names = {h: h for h in ["NPI", *heads]}
 
     def read(path: str) -> DataFrame:
         table = read_text_table(spark, path)

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rosterlake.functions.dates import month_start
-from rosterlake.operators.joins import semi_join
 from rosterlake.plans.refresh import panel_keys
 from rosterlake.session import cut
 
@@ -33,7 +32,9 @@ def upsert_weeks(batch: DataFrame, root: str, variable: str) -> None:
     schema = new.schema
     try:
         old = spark.read.schema(schema).parquet(target)
-        old = semi_join(old, new.select("month").distinct(), on=["month"], null_equal=False)
+        # the weeks of one batch touch few months; listed, they prune partitions
+        months = [r[0] for r in new.select("month").distinct().collect()]
+        old = old.where(F.col("month").isin(months))
         new = new.unionByName(old.select(*cols))
     except Exception as e:  # first batch: nothing stored yet
         if "PATH_NOT_FOUND" not in str(e):

@@ -169,13 +169,6 @@ def test_quantile_bins_refuse_repeated_edges(spark):
         W.quantile_bins(frame(spark, [(1.0,)] * 5, "v double"), "v", 4, "b")
 
 
-def test_split_by_key_size(spark):
-    df = frame(spark, [(1,)] * 5 + [(2,)], "k int")
-    small, big = W.split_by_key_size(df, ["k"], 3)
-    assert (small.count(), big.count()) == (1, 5)
-    assert W.split_by_key_size(df, ["k"], 9)[1] is None
-
-
 def test_modes_keep_ties(spark):
     df = frame(spark, [(1, "a"), (1, "b"), (2, "c"), (2, "c"), (2, "d")], "k int, v string")
     assert rows(W.modes(df, ["k"], "v"), "k", "v") == [(1, "a"), (1, "b"), (2, "c")]
@@ -207,8 +200,7 @@ def test_fills_agree_with_brute_force(spark):
     df = frame(spark, [(r["a"], r["b"], r["s"], r["u"]) for r in data], "a int, b string, s string, u int")
     want = sorted({(r["a"], r["b"], r["s"], r["u"]) for r in _brute_fill(data, ["a", "b"], ["s", "u"])},
                   key=str)
-    for fill in (I.batch_fill, I.window_fill):
-        assert sorted({tuple(r) for r in fill(df, ["a", "b"], ["s", "u"]).collect()}, key=str) == want
+    assert sorted({tuple(r) for r in I.batch_fill(df, ["a", "b"], ["s", "u"]).collect()}, key=str) == want
 
 
 def test_fill_never_touches_known_cells(spark):
@@ -224,11 +216,10 @@ def test_blank_phone_may_identify_but_null_state_may_not(spark):
     assert rows(out) == [(None, "1", None), (None, "1", 8), ("MA", None, 7), ("MA", None, 7)]
 
 
-def test_tuple_fill_two_ways(spark):
+def test_tuple_fill_copies_whole_tuples(spark):
     df = frame(spark, [(1, None, "x", 5), (1, None, None, None), (2, "s", "x", None), (2, "s", None, 6)],
                "k int, t string, a string, b int")
     joined = I.fill_from(df, I.consistent_tuple(df, ["k", "t"], ["a", "b"]), ["k", "t"])
-    assert rows(joined) == rows(I.window_fill_tuple(df, ["k", "t"], ["a", "b"]))
     assert rows(joined).count((1, None, "x", 5)) == 2
 
 

@@ -179,3 +179,53 @@ def test_weekly_stream_keeps_latest_week(spark, tmp_path):
     got = spark.read.schema("npi long, week date, pgender string, month date").parquet(f"{root}/pgender")
     assert rows(got, "npi", "month", "pgender") == [
         (1, date(2020, 2, 1), "F"), (2, date(2020, 1, 1), "M"), (2, date(2020, 2, 1), "M")]
+
+
+def test_secondary_location_rows_stay_together(spark):
+    """All variables of a file number its rows alike."""
+    heads = S.SECONDARY_HEADERS
+    names = ["ploc2line1", "ploc2cityname"]
+    data = [("1", "ZED ST", "ALBANY"), ("1", "ASH ST", "YONKERS"), ("1", None, "BOSTON"), ("1", None, "BOSTON")]
+    wide = spark.createDataFrame(data, "NPI string, " + ", ".join(f"`{heads[n]}` string" for n in names))
+    parts = [panels.snapshot_to_panel(wide, n, {"month": F.lit("2020-01-01").cast("date")}) for n in names]
+    joined = parts[0].join(parts[1], ["npi", "month", "seq"])
+    assert rows(joined, *names) == sorted([d[1:] for d in data], key=lambda r: tuple((v is not None, str(v)) for v in r))
+
+
+def test_unreadable_values_are_errors(spark):
+    h = S.SINGLE_HEADERS["penumdate"]
+    wide = spark.createDataFrame([("1", "13/45/2014")], f"NPI string, `{h}` string")
+    with pytest.raises(Exception, match="not readable: penumdate"):
+        panels.snapshot_to_panel(wide, "penumdate").collect()
+    blank = spark.createDataFrame([("1", " "), ("2", "01/31/2014"), ("3", None)], f"NPI string, `{h}` string")
+    assert rows(panels.snapshot_to_panel(blank, "penumdate"), "npi", "penumdate") == [
+        (1, None), (2, date(2014, 1, 31)), (3, None)]
+
+
+def test_shared_folder_is_what_the_session_names(spark):
+    from rosterlake import session
+
+    class Fake:
+        def __init__(self, conf, master, checkpoint=None):
+            self.conf, self.sparkContext, self.master = conf, self, master
+            self.getCheckpointDir = lambda: checkpoint
+
+    assert session.shared_dir(Fake({"spark.checkpoint.dir": "s3a://a"}, "yarn", "s3a://b")) == "s3a://a"
+    assert session.shared_dir(Fake({}, "yarn", "s3a://b")) == "s3a://b"
+    assert session.shared_dir(Fake({"spark.sql.warehouse.dir": "file:/w"}, "local[2]")) == "file:/w"
+    assert session.shared_dir(Fake({"spark.sql.warehouse.dir": "s3a://w"}, "yarn")) == "s3a://w"
+    for folder in ("file:/w", "/w"):
+        with pytest.raises(ValueError):
+            session.shared_dir(Fake({"spark.sql.warehouse.dir": folder}, "yarn"))
+
+
+def test_stream_reads_only_touched_months(spark, tmp_path, monkeypatch):
+    plans = []
+    cut = weekly.cut
+    monkeypatch.setattr(weekly, "cut", lambda df: plans.append(
+        df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    for week in (date(2020, 1, 6), date(2020, 2, 3)):
+        batch = spark.createDataFrame([(1, week, "M")], "npi long, week date, pgender string")
+        weekly.upsert_weeks(batch, str(tmp_path), "pgender")
+    line = next(x for x in plans[-1].splitlines() if "PartitionFilters" in x)
+    assert "month" in line.split("PartitionFilters:")[1].split("]")[0] and "2020-02-01" in plans[-1]
