@@ -74,6 +74,7 @@ def detect_date(path: Column | str) -> Column:
         found = F.array_distinct(F.regexp_extract_all(p, F.lit(pattern), F.lit(group)))
         return F.when(F.size(found) == 1, found[0])
 
+    # fixed values: the file-name patterns
     iso = F.try_to_date(single(r"20[0-9]{2}-[0-9]{2}-[0-9]{2}"), "yyyy-MM-dd")
     year = single(r"20[0-9]?[0-9]?").try_cast("int")
     hits = F.array_compact(F.array(*[
