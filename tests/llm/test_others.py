@@ -136,6 +136,16 @@ def test_backoff_edge_cases(spark):
     assert ngram_lm.backoff_scores(no_docs(spark)).collect() == []
 
 
+def test_packed_numbers_come_back():
+    rng = np.random.default_rng(3)
+    keys = np.unique(np.append(rng.integers(0, 2**64, 5000, np.uint64), np.array([0, 2**64 - 1], np.uint64)))
+    sent = ngram_lm.squeeze(np.diff(keys, prepend=np.uint64(0)))
+    assert (np.cumsum(ngram_lm.unsqueeze(sent, len(keys), np.uint64), dtype=np.uint64) == keys).all()
+    for kind, most in ((np.uint32, 2**32), (np.int64, 2**63)):
+        values = rng.integers(0, most, 777, kind)
+        assert (ngram_lm.unsqueeze(ngram_lm.squeeze(values), 777, kind) == values).all()
+
+
 PAGES = "page_id long, url string, html string, payload string, record_type int"
 
 
