@@ -145,11 +145,9 @@ def _(t):
 
 
 @query("m4_engagement", [], """
-    WITH d AS (SELECT l_suppkey AS npi, min(year(l_shipdate)) a, max(year(l_shipdate)) b FROM lineitem
-        WHERE l_returnflag = 'R' AND l_discount > 0.08 GROUP BY 1),
-    o AS (SELECT o_custkey AS npi, min(year(o_orderdate)) a, max(year(o_orderdate)) b FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
-    c AS (SELECT l_partkey AS npi, min(year(l_shipdate)) a, max(year(l_shipdate)) b FROM lineitem
-        WHERE l_linestatus = 'F' AND l_linenumber > 5 GROUP BY 1),
+    WITH d AS (SELECT l_suppkey AS npi, min(year(l_shipdate)) - l_suppkey % 3 a, max(year(l_shipdate)) - l_suppkey % 3 b FROM lineitem GROUP BY 1),
+    o AS (SELECT o_custkey AS npi, min(year(o_orderdate)) - o_custkey % 4 a, max(year(o_orderdate)) - o_custkey % 4 b FROM orders GROUP BY 1),
+    c AS (SELECT l_partkey AS npi, min(year(l_shipdate)) - l_partkey % 5 a, max(year(l_shipdate)) - l_partkey % 5 b FROM lineitem GROUP BY 1),
     k AS (SELECT npi FROM d UNION SELECT npi FROM o UNION SELECT npi FROM c)
     SELECT k.npi, CAST(c.a AS INT) AS "PC_Min_Year", CAST(c.b AS INT) AS "PC_Max_Year", CAST(d.a AS INT) AS "PartD_Min_Year",
       CAST(d.b AS INT) AS "PartD_Max_Year", CAST(o.a AS INT) AS "PartB_Min_Year", CAST(o.b AS INT) AS "PartB_Max_Year",
@@ -158,13 +156,10 @@ def _(t):
       coalesce(c.b = 2001, false) AS active_2001
     FROM k LEFT JOIN d ON k.npi = d.npi LEFT JOIN o ON k.npi = o.npi LEFT JOIN c ON k.npi = c.npi""")
 def _(t):
-    y = F.year("l_shipdate").alias("Year")
-    d = (t.lineitem.where("l_returnflag = 'R' and l_discount > 0.08")
-         .select(F.col("l_suppkey").alias("npi"), y))
-    o = (t.orders.where("o_orderstatus = 'P'")
-         .select(F.col("o_custkey").alias("npi"), F.year("o_orderdate").alias("Year")))
-    c = (t.lineitem.where("l_linestatus = 'F' and l_linenumber > 5")
-         .select(F.col("l_partkey").alias("npi"), y))
+    d, o, c = (df.selectExpr(f"{key} AS npi", f"CAST(year({day}) - {key} % {k} AS INT) AS Year")
+               for df, key, day, k in ((t.lineitem, "l_suppkey", "l_shipdate", 3),
+                                       (t.orders, "o_custkey", "o_orderdate", 4),
+                                       (t.lineitem, "l_partkey", "l_shipdate", 5)))
     return D.program_engagement(d, o, c, directory_last=2001, claims_last=2000)
 
 
@@ -235,58 +230,57 @@ def _(t):
     return C.part_b_info(t.services.select("npi", "Year", "beneficiaries"), t.services)["detail_profile"]
 
 
+def _years_of(df):
+    return sorted(r.Year for r in df.select("Year").distinct().collect())
+
+
 @query("s8_part_d_scan", ["claims_detail"], """
-    SELECT CAST(npi AS VARCHAR) AS npi, Year, CAST(drug_name AS VARCHAR) AS drug_name,
-      CAST(total_claim_count AS VARCHAR) AS total_claim_count FROM claims_detail WHERE Year BETWEEN 1996 AND 1999""")
+    SELECT CAST(npi AS VARCHAR) AS npi, Year + 18 AS Year, CAST(drug_name AS VARCHAR) AS drug_name,
+      CAST(total_claim_count AS VARCHAR) AS total_claim_count FROM claims_detail""")
 def _(t):
-    """Land yearly tab-separated files, scan some years and columns."""
+    """Land yearly tab-separated files, find them by name, scan some columns."""
     from rosterlake.session import work_path
-    from rosterlake.sources.files import read_each, read_text_table
-    root = work_path(t.spark, "claims")
-    years = range(1996, 2000)
-    (t.claims_detail.where(F.col("Year").isin(list(years))).write.partitionBy("Year")
-     .option("sep", "\t").option("header", "true").csv(root))
-    return read_each([f"{root}/Year={y}" for y in years], lambda p: read_text_table(
-        t.spark, p, sep="\t").select("npi", "drug_name", "total_claim_count").withColumn(
-            "Year", F.lit(int(p[-4:]))))
+    from rosterlake.sources.claims import part_d
+    root, years = work_path(t.spark, "claims"), _years_of(t.claims_detail)
+    for year in years:
+        (t.claims_detail.where(F.col("Year") == year).drop("Year").write.option("sep", "\t")
+         .option("header", "true").csv(f"{root}/PartD_Prescriber_PUF_NPI_DRUG_{year + 18}.txt"))
+    return part_d(t.spark, root, columns=["npi", "drug_name", "total_claim_count"],
+                  years=[y + 18 for y in years])
 
 
 @query("s10_part_b_headers", ["services"], """
     SELECT CAST(npi AS VARCHAR) AS "National Provider Identifier", hcpcs_code AS "HCPCS Code",
-      CAST(beneficiaries AS VARCHAR) AS "Number of Medicare Beneficiaries", Year FROM services WHERE Year IN (1997, 1998)""")
+      CAST(beneficiaries AS VARCHAR) AS "Number of Medicare Beneficiaries", Year + 18 AS Year FROM services""")
 def _(t):
-    """Two years with different headers made one."""
+    """Years with different headers made one."""
     from rosterlake.session import work_path
-    from rosterlake.sources.claims import part_b_names
-    from rosterlake.sources.files import harmonize, read_text_table, union_vintages
+    from rosterlake.sources.claims import PART_B_DETAIL, part_b
     wanted = ["National Provider Identifier", "HCPCS Code", "Number of Medicare Beneficiaries"]
-    headers = {1997: ["NPI", "HCPCS_CODE", "BENE_UNIQUE_CNT"],
-               1998: ["National Provider Identifier ", "HCPCS Code", " Number of Medicare Beneficiaries"]}
-    frames = []
-    for year, names in headers.items():
-        path = work_path(t.spark, f"partb{year}")
-        (t.services.where(F.col("Year") == year)
-         .select(*[F.col(c).alias(n) for c, n in zip(["npi", "hcpcs_code", "beneficiaries"], names)])
-         .write.option("header", "true").csv(path))
-        frames.append(harmonize(read_text_table(t.spark, path), part_b_names(), wanted)
-                      .withColumn("Year", F.lit(year)))
-    return union_vintages(frames)
+    headers = [["National Provider Identifier ", "HCPCS Code", " Number of Medicare Beneficiaries"],
+               ["NPI", "HCPCS_CODE", "BENE_UNIQUE_CNT"]]
+    root, years = work_path(t.spark, "partb"), _years_of(t.services)
+    for year in years:
+        (t.services.where(F.col("Year") == year).select(*[
+            F.col(c).alias(n) for c, n in zip(["npi", "hcpcs_code", "beneficiaries"], headers[year % 2])])
+         .write.option("header", "true").csv(f"{root}/{PART_B_DETAIL}{year + 18}.csv"))
+    return part_b(t.spark, root, columns=wanted, years=[y + 18 for y in years])
 
 
 @query("s11_directory_scan", ["directory"], """
-    SELECT DISTINCT npi, zip, group_id, CASE WHEN year(date) = 1997 THEN NULL ELSE phone END AS phone,
-      CASE WHEN year(date) = 1997 THEN DATE '2014-12-01' ELSE DATE '2016-03-01' END AS date
-    FROM directory WHERE year(date) IN (1997, 1998)""")
+    SELECT DISTINCT npi, zip, group_id, CASE WHEN year(date) % 2 = 1 THEN NULL ELSE phone END AS phone,
+      CASE WHEN year(date) % 2 = 1 THEN DATE '2014-12-01' ELSE DATE '2016-03-01' END AS date
+    FROM directory""")
 def _(t):
     """Two snapshots of different layout, one without phones."""
     from rosterlake.session import work_path
     from rosterlake.sources.directory import read_directory
     root = work_path(t.spark, "directory")
     d = t.directory
-    (d.where(F.year("date") == 1997).select(F.col("npi").alias("NPI"), F.col("zip").alias("Zip Code"),
+    (d.where("year(date) % 2 = 1").select(F.col("npi").alias("NPI"), F.col("zip").alias("Zip Code"),
                                            F.coalesce(F.col("group_id").cast("string"), F.lit(" ")).alias("Group Practice PAC ID"))
      .write.option("header", "true").option("ignoreTrailingWhiteSpace", "false").csv(f"{root}/2014-12-01/Directory_2014-12-01.csv"))
-    (d.where(F.year("date") == 1998).select(F.col("npi").alias(" NPI"), F.col("zip"), F.col("group_id").alias("org_pac_id"),
+    (d.where("year(date) % 2 = 0").select(F.col("npi").alias(" NPI"), F.col("zip"), F.col("group_id").alias("org_pac_id"),
                                            F.col("phone").alias("phn_numbr"), F.col("state").alias("unused"))
      .write.option("header", "true").csv(f"{root}/x/National_Mar_2016.csv"))
     return read_directory(t.spark, root, ["zip", "group_id", "phone"], with_date=True)

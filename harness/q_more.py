@@ -128,26 +128,28 @@ def _(t):
 
 
 @query("s9_opioid_scan", ["claims_summary"], """
-    SELECT CAST(npi AS VARCHAR) AS "NPI", CAST(opioid_claim_count AS VARCHAR) AS "Opioid Claim Count", CAST(2015 AS INT) AS "Year"
-    FROM claims_summary WHERE Year = 1998""")
+    SELECT CAST(npi AS VARCHAR) AS "NPI", CAST(opioid_claim_count AS VARCHAR) AS "Opioid Claim Count", Year + 18 AS "Year"
+    FROM claims_summary""")
 def _(t):
-    """A yearly opioid file, two columns of it."""
+    """Yearly opioid files, two columns of them."""
     from rosterlake.sources.claims import OPIOID, part_d_opioid
     root = work_path(t.spark, "opioid")
-    d = t.claims_summary.where("Year = 1998").select(
-        F.col("npi").alias("NPI"), F.col("opioid_claim_count").alias("Opioid Claim Count"), F.lit("x").alias("unused"))
-    _land(d, f"{root}/{OPIOID}2015.csv")
-    return part_d_opioid(t.spark, root, ["NPI", "Opioid Claim Count"])
+    years = sorted(r.Year for r in t.claims_summary.select("Year").distinct().collect())
+    d = t.claims_summary.select("Year", F.col("npi").alias("NPI"), F.col("opioid_claim_count").alias(
+        "Opioid Claim Count"), F.lit("x").alias("unused"))
+    for year in years:
+        _land(d.where(F.col("Year") == year).drop("Year"), f"{root}/{OPIOID}{year + 18}.csv")
+    return part_d_opioid(t.spark, root, ["NPI", "Opioid Claim Count"], [y + 18 for y in years])
 
 
 @query("s12_headerless_vintage", ["directory"], """
-    SELECT DISTINCT npi, zip, phone FROM directory WHERE year(date) = 1999""")
+    SELECT DISTINCT npi, zip, phone FROM directory""")
 def _(t):
     """A directory file without header, read by position."""
     from rosterlake.sources.directory import read_directory
     root = work_path(t.spark, "vintage")
     named = {v: k for k, v in S.DIRECTORY_COLUMNS.items()}
-    d = t.directory.where(F.year("date") == 1999).select("npi", "zip", "phone").withColumnsRenamed(named)
+    d = t.directory.select("npi", "zip", "phone").withColumnsRenamed(named)
     full = d.select(*[F.col(f"`{c}`") if c in d.columns else F.lit("x").alias(c) for c in S.DIRECTORY_COLUMNS])
     full.write.csv(f"{root}/a/Directory_2014-03-01.csv")
     return read_directory(t.spark, root, ["zip", "phone"])

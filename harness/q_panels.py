@@ -176,9 +176,9 @@ def _(t):
 
 @query("g7_first_working_quarter", ["code_panel"], """
     SELECT npi, CAST(min(date_trunc('quarter', month)) AS DATE) AS quarter FROM code_panel
-    WHERE ptaxcode <> '390200000X' AND npi IN (SELECT c_custkey FROM customer WHERE c_nationkey < 20) GROUP BY 1""")
+    WHERE ptaxcode <> '390200000X' AND npi IN (SELECT c_custkey + 50 FROM customer) GROUP BY 1""")
 def _(t):
-    people = t.customer.where("c_nationkey < 20").select(F.col("c_custkey").alias("npi"))
+    people = t.customer.select((F.col("c_custkey") + 50).alias("npi"))
     spans = t.panel.groupBy("npi").agg(F.min("month").alias("quarter_x"), F.max("month").alias("quarter_y"))
     return P.enrollment_dates(people, spans, spans, t.code_panel)[2]
 
@@ -391,7 +391,7 @@ def _(t):
 
 @query("g14_final_analysis", ["waivers", "crosswalk"], """
     WITH f AS (SELECT DISTINCT o_custkey AS npi, 'S' || CAST(o_custkey % 4 AS VARCHAR) AS state, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS quarter FROM orders),
-    g AS (SELECT c_custkey AS npi, CASE WHEN c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS pgender FROM customer WHERE c_acctbal > 0),
+    g AS (SELECT c_custkey + 50 AS npi, CASE WHEN c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS pgender FROM customer),
     e AS (SELECT c_custkey AS npi, 'SCHOOL' AS medical_school, CAST(c_custkey AS BIGINT) AS graduation_year FROM customer),
     q AS (SELECT quantile_cont(graduation_year, [i / 20.0 FOR i IN range(21)]) AS ed FROM e),
     u AS (SELECT unnest(range(21)) AS i, unnest(ed) AS v FROM q),
@@ -406,8 +406,8 @@ def _(t):
     final = t.orders.select(F.col("o_custkey").alias("npi"),
                             F.concat(F.lit("S"), (F.col("o_custkey") % 4).cast("string")).alias("state"),
                             F.date_trunc("quarter", "o_orderdate").cast("date").alias("quarter")).distinct()
-    genders = (t.customer.where("c_acctbal > 0")
-               .select(F.col("c_custkey").alias("npi"), F.when(F.col("c_nationkey") % 2 == 0, "F").otherwise("M").alias("pgender")))
+    genders = (t.customer
+               .select((F.col("c_custkey") + 50).alias("npi"), F.when(F.col("c_nationkey") % 2 == 0, "F").otherwise("M").alias("pgender")))
     educ = t.customer.select(F.col("c_custkey").alias("npi"), F.lit("SCHOOL").alias("medical_school"),
                              F.col("c_custkey").alias("graduation_year"))
     out = P.final_analysis(final, educ, genders, t.waivers, t.crosswalk)

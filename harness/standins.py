@@ -51,18 +51,18 @@ STANDINS: dict[str, str] = {
         SELECT user_id AS npi, CAST(ts AS DATE) AS npireactdate FROM {events}
         WHERE event_type = 'signup'""",
     "ends": """
-        SELECT c_custkey AS npi,
+        SELECT c_custkey * 2 AS npi,
                CAST(DATE '1996-01-01' + CAST(c_custkey % 60 AS INT) * INTERVAL 1 MONTH AS DATE)
                    AS npideactdate
-        FROM {customer} WHERE c_acctbal < 3000""",
+        FROM {customer}""",
     "weekly": """
         SELECT user_id AS npi, CAST(date_trunc('week', ts) AS DATE) AS week,
                CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_type END AS value
         FROM {events}""",
     "monthly": """
-        SELECT DISTINCT user_id AS npi, CAST(date_trunc('month', ts) AS DATE) AS month,
+        SELECT DISTINCT user_id + 40 AS npi, CAST(date_trunc('month', ts) AS DATE) AS month,
                'stored' AS value
-        FROM {events} WHERE value > 20""",
+        FROM {events}""",
     "slots": """
         SELECT c_custkey AS npi,
                CASE WHEN c_custkey % 2 = 0 THEN 'A' || CAST(c_nationkey AS STRING) END AS code_1,
@@ -108,12 +108,12 @@ STANDINS: dict[str, str] = {
     "licence_state": f"""
         SELECT o_custkey AS npi, {_PANEL_MONTH} AS month, CAST(1 + o_orderkey % 3 AS INT) AS seq,
                max('S' || CAST(o_orderkey % 7 AS STRING)) AS PLICSTATE
-        FROM {{orders}} WHERE o_orderstatus <> 'P'
+        FROM {{orders}}
         GROUP BY 1, 2, 3""",
     "licence_number": f"""
-        SELECT o_custkey AS npi, {_PANEL_MONTH} AS month, CAST(1 + o_orderkey % 3 AS INT) AS seq,
+        SELECT o_custkey AS npi, {_PANEL_MONTH} AS month, CAST(1 + o_orderkey % 4 AS INT) AS seq,
                max('L' || CAST(o_custkey AS STRING)) AS PLICNUM
-        FROM {{orders}} WHERE o_orderpriority <> '5-LOW'
+        FROM {{orders}}
         GROUP BY 1, 2, 3""",
     "phone_panel": f"""
         SELECT o_custkey AS npi, {_PANEL_MONTH} AS month, o_orderkey AS rid,
@@ -124,13 +124,13 @@ STANDINS: dict[str, str] = {
                     ELSE '555-' || lpad(CAST(o_custkey % 10000 AS STRING), 7, '0') END AS ploctel
         FROM {{orders}}""",
     "other_ids": f"""
-        SELECT DISTINCT o_custkey AS npi, {_PANEL_MONTH} AS month, CAST(1 AS INT) AS seq,
+        SELECT DISTINCT o_custkey AS npi, {_PANEL_MONTH} AS month, CAST(1 + o_orderkey % 2 AS INT) AS seq,
                'X' || CAST(o_custkey AS STRING) AS OTHPID
-        FROM {{orders}} WHERE o_orderstatus = 'F'""",
+        FROM {{orders}}""",
     "other_id_states": f"""
-        SELECT DISTINCT o_custkey AS npi, {_PANEL_MONTH} AS month, CAST(1 AS INT) AS seq,
+        SELECT DISTINCT o_custkey AS npi, {_PANEL_MONTH} AS month, CAST(1 + o_orderkey % 3 AS INT) AS seq,
                CASE WHEN o_custkey % 3 = 0 THEN 'IL' ELSE 'WI' END AS OTHPIDST
-        FROM {{orders}} WHERE o_orderpriority <> '5-LOW'""",
+        FROM {{orders}}""",
     "other_id_types": f"""
         SELECT DISTINCT o_custkey AS npi, {_PANEL_MONTH} AS month, CAST(1 AS INT) AS seq,
                CASE WHEN o_custkey % 6 IN (0, 2) THEN 5 ELSE 1 END AS OTHPIDTY
@@ -146,9 +146,9 @@ STANDINS: dict[str, str] = {
                CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE {_phone(_LOC_G)} END AS ploctel
         FROM {{orders}}""",
     "waiver_dates": f"""
-        SELECT c_custkey AS npi, CAST(DATE '1997-03-10' + CAST(c_custkey % 400 AS INT)
+        SELECT c_custkey * 2 AS npi, CAST(DATE '1997-03-10' + CAST(c_custkey % 400 AS INT)
                * INTERVAL 1 DAY AS DATE) AS Date
-        FROM {{customer}} WHERE c_acctbal > 2000""",
+        FROM {{customer}}""",
     # ---------------------------------------------------------------- names
     "n_first": """
         SELECT p_partkey AS npi, CASE WHEN p_partkey % 11 = 0 THEN NULL
@@ -172,15 +172,15 @@ STANDINS: dict[str, str] = {
         SELECT p_partkey AS npi, CASE WHEN p_partkey % 10 = 0 THEN 'JR'
                WHEN p_partkey % 10 = 5 THEN 'III' END AS pnamesuffix FROM {part}""",
     "o_first": """
-        SELECT p_partkey AS npi, 'EX' || upper(split_part(p_name, ' ', 1)) AS pfnameoth
-        FROM {part} WHERE p_type = 'ECONOMY'""",
+        SELECT p_partkey * 4 AS npi, 'EX' || upper(split_part(p_name, ' ', 1)) AS pfnameoth
+        FROM {part}""",
     "o_middle": """
-        SELECT p_partkey AS npi, 'Z' AS pmnameoth FROM {part} WHERE p_type IN ('ECONOMY', 'LARGE')""",
+        SELECT p_partkey * 3 AS npi, 'Z' AS pmnameoth FROM {part}""",
     "o_last": """
-        SELECT p_partkey AS npi, upper(split_part(p_name, ' ', 2)) AS plnameoth
-        FROM {part} WHERE p_type IN ('LARGE', 'MEDIUM')""",
+        SELECT p_partkey * 2 AS npi, upper(split_part(p_name, ' ', 2)) AS plnameoth
+        FROM {part}""",
     "o_suffix": """
-        SELECT p_partkey AS npi, 'SR' AS pnamesuffixoth FROM {part} WHERE p_type = 'LARGE' AND p_size < 10""",
+        SELECT p_partkey * 30 AS npi, 'SR' AS pnamesuffixoth FROM {part}""",
     "person_names": """
         SELECT p_partkey AS npi, upper(split_part(p_name, ' ', 1)) AS pfname,
                CASE WHEN p_partkey % 3 = 0 THEN '' WHEN p_partkey % 3 = 1 THEN 'Q.'
@@ -262,11 +262,11 @@ STANDINS: dict[str, str] = {
                CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE {_phone(_LOC_G)} END AS ploctel
         FROM {{orders}}""",
     "types": """
-        SELECT c_custkey AS npi,
+        SELECT c_custkey + 5 AS npi,
                CASE WHEN c_custkey % 3 IN (0, 2) THEN 1 ELSE 0 END AS md_do,
                CASE WHEN c_custkey % 3 IN (1, 2) THEN 1 ELSE 0 END AS NP,
                CASE c_custkey % 3 WHEN 0 THEN 'MD/DO' WHEN 1 THEN 'NP' ELSE 'both' END AS cat
-        FROM {customer} WHERE c_acctbal > 0""",
+        FROM {customer}""",
     "registry_types": """
         SELECT c_custkey AS npi, CASE WHEN c_custkey % 4 IN (0, 2) THEN 1 ELSE 0 END AS md_do,
                CASE WHEN c_custkey % 4 IN (1, 2) THEN 1 ELSE 0 END AS NP
@@ -316,14 +316,11 @@ STANDINS: dict[str, str] = {
     "claims_shown": """
         SELECT * FROM {claims_detail} WHERE total_claim_count >= 11""",
     "claims_summary": """
-        SELECT l_suppkey AS npi, CAST(year(l_shipdate) AS INT) AS Year,
+        SELECT l_suppkey + 3 AS npi, CAST(year(l_shipdate) AS INT) AS Year,
                CAST(sum(l_quantity) AS BIGINT) AS total_claim_count,
-               CASE WHEN count(CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 1 END)
-                         BETWEEN 1 AND 10 THEN NULL
-                    ELSE count(CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN 1 END)
-               END AS opioid_claim_count
-        FROM {lineitem} WHERE l_discount < 0.05 AND l_linenumber < 3 GROUP BY 1, 2
-        HAVING sum(l_quantity) > 150""",
+               CASE WHEN count(CASE WHEN l_orderkey % 40 = 0 THEN 1 END) BETWEEN 1 AND 10 THEN NULL
+                    ELSE count(CASE WHEN l_orderkey % 40 = 0 THEN 1 END) END AS opioid_claim_count
+        FROM {lineitem} GROUP BY 1, 2""",
     "services": """
         SELECT o_custkey AS npi, CAST(year(o_orderdate) AS INT) AS Year, l_returnflag AS hcpcs_code,
                l_linestatus AS place_of_service,
@@ -383,10 +380,10 @@ STANDINS: dict[str, str] = {
                  || CAST(CAST(floor(c_custkey / 30) AS BIGINT) AS STRING) AS plname
         FROM {customer}""",
     "death_removed": """
-        SELECT c_custkey AS npi,
+        SELECT c_custkey * 2 AS npi,
                CAST(DATE '2000-03-01' + CAST(c_custkey % 250 AS INT) * INTERVAL 1 DAY AS DATE)
                    AS npideactdate
-        FROM {customer} WHERE c_acctbal > 0""",
+        FROM {customer}""",
     "death_states": """
         SELECT c_custkey AS npi, CASE WHEN c_custkey % 3 = 0 THEN 'IL' ELSE 'FL' END AS plocstatename
         FROM {customer}""",
@@ -397,7 +394,7 @@ STANDINS: dict[str, str] = {
                CAST(o_orderdate AS DATE) AS Date, 'S' || CAST(o_custkey % 4 AS STRING) AS State
         FROM {orders}""",
     "crosswalk": """
-        SELECT o_orderkey AS samhsa_id, o_custkey AS npi FROM {orders} WHERE o_orderstatus = 'F'""",
+        SELECT o_orderkey * 2 AS samhsa_id, o_custkey AS npi FROM {orders}""",
     "licence_rows": """
         SELECT o_orderkey AS rid,
                'person ' || CAST(o_custkey AS STRING) AS NameFull,
