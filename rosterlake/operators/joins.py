@@ -158,50 +158,48 @@ def nearest_month(targets: DataFrame, panel: DataFrame, key: str, date: str,
     return natural_join(t, panel, on=[key, month], null_equal=False)
 
 
+def _place_sets(rows: DataFrame, person: str, period: Sequence[str], place: Sequence[str],
+                side: str) -> tuple[DataFrame, DataFrame]:
+    """(person, period, set) and the places of every distinct set.
+
+    A set is named by its size and two 64-bit sums of hashes, combined on the
+    map side, so no person's places are gathered, however many. Hashes skip
+    nulls, so each column's null mark is hashed too.
+    """
+    marks = [F.col(c).isNull() for c in place]
+    name = [f"__{side}{i}" for i in range(3)]
+    people = rows.groupBy(person, *period).agg(
+        F.count(F.lit(1)).alias(name[0]),
+        F.bit_xor(F.xxhash64(*place, *marks)).alias(name[1]),
+        F.bit_xor(F.xxhash64(F.lit(side), *place, *marks)).alias(name[2]))
+    places = (join_group_stats(rows, people, [person, *period], how="inner")
+              .select(*period, *name, *place).distinct())
+    return people, places
+
+
 def count_copresent(members: DataFrame, person: str, place: Sequence[str],
                     period: Sequence[str], focal: Column, other: Column,
-                    out: str = "n_others", listed_places: int = 64) -> DataFrame:
+                    out: str = "n_others") -> DataFrame:
     """Distinct other-role persons sharing any place with each focal person.
 
-    No person pairs are made. Others seen at one place in the period are
-    counted per place and added up; only others seen at several places need
-    their places compared, and focal persons with the same set of places share
-    one answer. A set of at most ``listed_places`` places is named by its
-    sorted places; a person with more has a set of their own.
+    No persons are paired: those with the same set of places in a period are
+    one set with a count, on both sides, and sets meet at their places. All
+    who are seen at one place alone are one set, so a hot place costs its
+    distinct sets, not its people.
     """
     period, place = list(period), list(place)
-    spot = [*period, *place]
-    others = members.where(other).select(person, *spot).distinct()
-    others = with_group_stats(others, [person, *period], __n=F.count(F.lit(1)))
-    single = (others.where("__n = 1").groupBy(*spot)
-              .agg(F.count(F.lit(1)).alias("__single")))
-    roaming = others.where("__n > 1").select(person, *spot)
-
-    mine = members.where(focal).select(person, *spot).distinct()
-    mine = cut(with_group_stats(mine, [person, *period], __n=F.count(F.lit(1))))
-    few, many = (mine.where(F.col("__n") <= listed_places),
-                 mine.where(F.col("__n") > listed_places))
-    no_one = F.lit(None).cast(mine.schema[person].dataType).alias("__who")
-    listed = (few.groupBy(person, *period)
-              .agg(F.array_sort(F.collect_list(F.struct(*place))).alias("__set"))
-              .select(person, *period, "__set", no_one))
-    no_set = F.lit(None).cast(listed.schema["__set"].dataType).alias("__set")
-    own = many.select(person, *period).distinct().select(
-        person, *period, no_set, F.col(person).alias("__who"))
-    sets, name = listed.unionByName(own), [*period, "__set", "__who"]
-
-    set_places = (listed.select(*name).distinct().select(*name, F.explode("__set").alias("__p"))
-                  .select(*name, *[F.col(f"__p.{c}").alias(c) for c in place])
-                  .unionByName(many.select(*period, no_set, F.col(person).alias("__who"), *place)))
-    alone = (natural_join(set_places, single, "left", on=spot)
-             .groupBy(*name).agg(F.sum("__single").alias("__a")))
-    shared = (natural_join(set_places, roaming, on=spot)
-              .select(*name, person).distinct()
-              .groupBy(*name).agg(F.count(F.lit(1)).alias("__b")))
-    per_set = natural_join(alone, shared, "left", on=name)
-    total = (F.coalesce("__a", F.lit(0)) + F.coalesce("__b", F.lit(0))).cast("long")
-    per_set = per_set.select(*name, total.alias(out))
-    return join_group_stats(sets, per_set, name).select(person, *period, out)
+    mine, my_places = _place_sets(
+        members.where(focal).select(person, *period, *place).distinct(), person, period, place, "f")
+    others, their_places = _place_sets(
+        members.where(other).select(person, *period, *place).distinct(), person, period, place, "o")
+    me, them = (["__f0", "__f1", "__f2"], ["__o0", "__o1", "__o2"])
+    counts = others.groupBy(*period, *them).agg(F.count(F.lit(1)).alias("__n"))
+    their_places = join_group_stats(their_places, counts, [*period, *them], how="inner")
+    met = (natural_join(my_places, their_places, on=[*period, *place])
+           .select(*period, *me, *them, "__n").distinct())
+    per_set = met.groupBy(*period, *me).agg(F.sum("__n").alias(out))
+    found = join_group_stats(mine, per_set, [*period, *me])
+    return found.select(person, *period, F.coalesce(out, F.lit(0)).cast("long").alias(out))
 
 
 def prefix_fallback(df: DataFrame, dim: DataFrame, code: str, dim_code: str,

@@ -111,10 +111,22 @@ def test_copresent_counts_against_all_pairs(spark):
         if role[p][0]:
             want.setdefault((p, q), set()).update(
                 o for o, g2, q2 in data if g2 == g and q2 == q and role[o][1])
-    for listed in (64, 2, 0):
-        got = {(r.p, r.q): r.n_others for r in J.count_copresent(
-            df, "p", ["place"], ["q"], F.col("md"), F.col("np"), listed_places=listed).collect()}
-        assert got == {k: len(v) for k, v in want.items()}
+    got = {(r.p, r.q): r.n_others for r in J.count_copresent(
+        df, "p", ["place"], ["q"], F.col("md"), F.col("np")).collect()}
+    assert got == {k: len(v) for k, v in want.items()}
+
+
+def test_copresent_hot_and_null_places(spark):
+    # everyone is at the hot place or at none; two-part places differ in which part is null
+    data = [(p, "hot", None, p % 2 == 0) for p in range(400)]
+    data += [(p, None, None, p % 2 == 0) for p in range(300, 600)]
+    data += [(700, "a", None, True), (701, None, "a", False), (702, "a", None, False)]
+    df = frame(spark, [(p, a, b, 1, m, not m) for p, a, b, m in data],
+               "p int, a string, b string, q int, md boolean, np boolean")
+    out = J.count_copresent(df, "p", ["a", "b"], ["q"], F.col("md"), F.col("np"))
+    got = {r.p: r.n_others for r in out.collect()}
+    want = {p: 200 if p < 300 else 300 if p < 400 else 150 for p in range(0, 600, 2)}
+    assert got == {**want, 700: 1}
 
 
 def test_prefix_fallback(spark):
