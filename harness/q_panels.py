@@ -389,6 +389,33 @@ def _(t):
     return P.specialty_indicators(_allspec(t), t.ends, {"DENTIST": "dentist", "ADULT": "adult"})
 
 
+def _cells(wide):
+    """The counts of an indicator table that are not 0, one row each."""
+    names = [F.col(f"`{c}`") for c in wide.columns if c != "npi"]
+    return wide.unpivot(["npi"], names, "spec", "n").where("n > 0")
+
+
+@query("g14_panel_specialties", ["specialty_rows", "code_panel", "taxonomy", "ends"], f"""WITH {_ALLSPEC}
+    SELECT npi, spec, CAST(k AS INT) AS n FROM (SELECT npi, spec, count(*) AS k, sum(count(*)) OVER (PARTITION BY spec) AS held FROM alls GROUP BY 1, 2)
+    WHERE held > 20""")
+def _(t):
+    """One column per specialty that the data hold often enough."""
+    return _cells(P.panel_specialties(t.specialty_rows, t.code_panel, t.taxonomy, t.ends, 20)[1])
+
+
+@query("g13_practitioners", ["type_listed", "registry_types"], """
+    WITH r AS (SELECT l.npi, credential AS c, primary_specialty AS p, md_do, NP FROM type_listed l LEFT JOIN registry_types y ON l.npi = y.npi)
+    SELECT DISTINCT npi, 'physician' AS role FROM r WHERE c IN ('MD/DO', 'MD', 'DO') OR md_do = 1
+    UNION ALL SELECT DISTINCT npi, 'nurse' FROM r WHERE c = 'NP' OR p = 'NURSE PRACTITIONER' OR NP = 1""")
+def _(t):
+    """Physicians and nurse practitioners from directory and registry together."""
+    from rosterlake.operators.reshape import indicators_to_long
+    types = indicators_to_long(t.registry_types.withColumnRenamed("md_do", "MD/DO"), ["npi"],
+                               ["MD/DO", "NP"], "PractitionerType")
+    mds, nps = P.listed_and_registered(t.type_listed.withColumnRenamed("credential", "Credential"), types)
+    return mds.withColumn("role", F.lit("physician")).unionAll(nps.withColumn("role", F.lit("nurse")))
+
+
 @query("g14_final_analysis", ["waivers", "crosswalk"], """
     WITH f AS (SELECT DISTINCT o_custkey AS npi, 'S' || CAST(o_custkey % 4 AS VARCHAR) AS state, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS quarter FROM orders),
     g AS (SELECT c_custkey + 50 AS npi, CASE WHEN c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS pgender FROM customer),
@@ -445,14 +472,27 @@ _G15 = ", ".join([
        " FROM fa LEFT JOIN uk ON fa.npi = uk.npi AND fa.quarter = uk.quarter AND fa.state = uk.state")
 def _(t):
     """The whole chain, from directory and registry to the final panel."""
+    return _panel(t)["final"].drop("medical_school", "graduation_year", "gradyear_lo", "gradyear_hi")
+
+
+@query("g15_specializations", ["directory", "registry_types", "type_creds", "type_listed", "addresses", "urban", "waivers", "crosswalk",
+                               "specialty_rows", "code_panel", "taxonomy"],
+       f"WITH {_G15}, {_ALLSPEC.replace('FROM ends', 'FROM fa')}" + """
+    SELECT npi, spec, CAST(k AS INT) AS n FROM (SELECT npi, spec, count(*) AS k, sum(count(*)) OVER (PARTITION BY spec) AS held FROM alls GROUP BY 1, 2)
+    WHERE held > 20""")
+def _(t):
+    """The whole chain's specialties of the panel's people, as columns."""
+    return _cells(_panel(t)["specializations"])
+
+
+def _panel(t):
     a = t.addresses
     people = t.customer.select(F.col("c_custkey").alias("npi"))
     educ = people.select("npi", F.lit("SCHOOL").alias("medical_school"), F.col("npi").alias("graduation_year"))
     genders = people.select("npi", F.when(F.col("npi") % 2 == 0, "F").otherwise("M").alias("pgender"))
-    out = P.waiver_analysis(
+    return P.waiver_analysis(
         t.directory, t.registry_types.withColumnRenamed("md_do", "MD/DO"), t.type_creds, t.type_listed,
         a.select("npi", "month", "plocstatename"), a.select("npi", "month", "ploczip"),
         a.select("npi", "month", "ploctel"), t.urban, educ, genders, t.waivers, t.crosswalk,
         people.withColumn("penumdate", F.lit("2005-01-01").cast("date")), t.code_panel,
-        start="1995-01-01", end="2002-01-01")
-    return out["final"].drop("medical_school", "graduation_year", "gradyear_lo", "gradyear_hi")
+        t.specialty_rows, t.taxonomy, more_than=20, start="1995-01-01", end="2002-01-01")

@@ -67,9 +67,24 @@ def indicators(df: DataFrame, ids: Sequence[str], column: str,
     for value, name in values.items():
         hit = F.when(F.col(column) == F.lit(value), 1).otherwise(0)
         aggs.append((F.sum(hit) if count else F.max(hit)).cast("int").alias(name))
+    if not aggs:
+        return df.select(*ids).distinct()
     return df.groupBy(*ids).agg(*aggs)
 
 
+def value_columns(df: DataFrame, column: str, most: int = 1000) -> dict[str, str]:
+    """Every value of a column as the name of its own column, in order.
+
+    A plan must name its columns, so the distinct values come to the driver;
+    more than ``most`` of them is an error, never a cut.
+    """
+    found = (df.where(F.col(column).isNotNull()).select(F.col(column).cast("string").alias("v"))
+             .distinct().limit(most + 1).collect())
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values; they do not fit as columns")
+    return {v: v for v in sorted(r.v for r in found)}
+
+
 def indicators_to_long(df: DataFrame, ids: Sequence[str], types: Sequence[str],
                        name: str) -> DataFrame:
     """Set indicator columns back to rows, for the listed types only."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from rosterlake import schemas as S
 from rosterlake.functions.dates import quarter_start
@@ -20,7 +20,7 @@ from rosterlake.operators.impute import (backfill_periods, batch_fill, consisten
 from rosterlake.operators.joins import (anti_join, count_copresent, join_group_stats,
                                         natural_join, provenance_join, semi_join,
                                         with_group_stats)
-from rosterlake.operators.reshape import first_date_by_type, indicators, to_long
+from rosterlake.operators.reshape import first_date_by_type, indicators, to_long, value_columns
 from rosterlake.operators.rows import (frequent_values, last_non_null, quantile_bins,
                                        surrogate_id)
 from rosterlake.session import cut
@@ -430,18 +430,29 @@ def extreme_practices(groups: DataFrame, mds: DataFrame, nps: DataFrame) -> Data
                                         for c in ["np_count", *carried]])
 
 
+def _column(name: str) -> Column:
+    """A column by its exact name, whatever characters a value brought in."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def analysis_dataset(directory: DataFrame, mds: DataFrame, nps: DataFrame, genders: DataFrame,
-                     people: DataFrame, crosswalk: DataFrame, secondary_values: Mapping[str, str],
+                     people: DataFrame, crosswalk: DataFrame,
+                     secondary_values: Mapping[str, str] | None = None,
                      bins: int = 20) -> DataFrame:
     """Physician-date panel: extreme practices, specialties, education,
-    gender and waiver dates."""
+    gender and waiver dates. Secondary specialties become columns: all that
+    occur, or those of ``secondary_values`` under the names given there."""
     out = extreme_practices(sole_practices(directory), mds, nps)
     primary, secondary = specialties(directory, mds)
+    if secondary_values is None:
+        secondary_values = value_columns(secondary, "secondary_spec")
     out = natural_join(out, primary, on=["npi", "date"], null_equal=False)
     if secondary_values:
         flags = indicators(secondary, ["npi", "date"], "secondary_spec", secondary_values)
-        out = (natural_join(out, flags, "left", on=["npi", "date"], null_equal=False)
-               .na.fill(0, list(secondary_values.values())))
+        out = natural_join(out, flags, "left", on=["npi", "date"], null_equal=False)
+        named = set(secondary_values.values())
+        out = out.select(*[F.coalesce(_column(c), F.lit(0)).alias(c) if c in named else _column(c)
+                           for c in out.columns])
     years = last_non_null(directory, ["npi"], ["date"], ["graduation_year"], first=True)
     out = cut(natural_join(out, years, on=["npi"], null_equal=False))
     out = quantile_bins(out, "graduation_year", bins, "gradyear").drop("graduation_year")
@@ -481,11 +492,36 @@ def frequent_specialties(specialties_long: DataFrame, more_than: int = 500) -> D
 
 
 def specialty_indicators(specialties_long: DataFrame, people: DataFrame,
-                         values: Mapping[str, str]) -> DataFrame:
-    """One column per listed specialty for everyone in the panel."""
-    flags = indicators(specialties_long, ["npi"], "spec", values, count=True)
-    return (natural_join(people.select("npi").distinct(), flags, "left", on=["npi"],
-                         null_equal=False).na.fill(0, list(values.values())))
+                         values: Mapping[str, str] | None = None) -> DataFrame:
+    """One count per specialty for everyone in the panel, 0 for who has none:
+    a column for every value, or for those of ``values`` as named there."""
+    if values is None:
+        values = value_columns(specialties_long, "spec")
+    rows = natural_join(people.select("npi").distinct(), specialties_long.select("npi", "spec"),
+                        "left", on=["npi"], null_equal=False)
+    return indicators(rows, ["npi"], "spec", values, count=True)
+
+
+def panel_specialties(directory: DataFrame, codes: DataFrame, taxonomy: DataFrame,
+                      people: DataFrame, more_than: int = 500) -> tuple[DataFrame, DataFrame]:
+    """(every specialty of the panel's people, one column per specialty held
+    more than ``more_than`` times)."""
+    every = cut(long_specialties(directory, codes, taxonomy, people))
+    return every, specialty_indicators(frequent_specialties(every, more_than), people)
+
+
+def listed_and_registered(listed: DataFrame, types: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(physicians, nurse practitioners): ids of the directory that say so
+    there or in the registry. Directory: npi, Credential, primary_specialty;
+    registry: npi, PractitionerType. An id may be both."""
+    rows = natural_join(listed.select("npi", "Credential", "primary_specialty").distinct(),
+                        types.select("npi", "PractitionerType").distinct(), "left", on=["npi"],
+                        null_equal=False)
+    # fixed values
+    physician = F.col("Credential").isin("MD/DO", "MD", "DO") | (F.col("PractitionerType") == "MD/DO")
+    nurse = ((F.col("primary_specialty") == "NURSE PRACTITIONER") | (F.col("Credential") == "NP")
+             | (F.col("PractitionerType") == "NP"))
+    return tuple(rows.where(who).select("npi").distinct() for who in (physician, nurse))
 
 
 def final_analysis(final: DataFrame, education: DataFrame, genders: DataFrame,
@@ -506,8 +542,13 @@ def waiver_analysis(directory: DataFrame, registry_types: DataFrame, creds: Data
                     phones: DataFrame, urban: DataFrame, education: DataFrame,
                     genders: DataFrame, people: DataFrame, crosswalk: DataFrame,
                     enumeration: DataFrame, codes_over_time: DataFrame,
-                    bins: int = 20, **period: str) -> dict[str, DataFrame]:
-    """The whole panel: groups, types, locations, counts, urban classes."""
+                    specialty_rows: DataFrame, taxonomy: DataFrame,
+                    bins: int = 20, more_than: int = 500, **period: str) -> dict[str, DataFrame]:
+    """The whole panel: groups, types, locations, counts, urban classes, and
+    the specialties of its people, long and as columns.
+
+    ``specialty_rows``: npi, primary_specialty, secondary_specialty_1 to 4.
+    """
     known, missing = infer_groups(directory)
     inferred, by_listed, by_own = impute_groups(known, missing)
     subset, types = reconcile_types(registry_types, creds, listed_types)
@@ -517,8 +558,11 @@ def waiver_analysis(directory: DataFrame, registry_types: DataFrame, creds: Data
     rows = cut(rows)
     final = copractices(role_counts(rows, types), types)
     final = cut(final_analysis(final, education, genders, people, crosswalk, bins))
+    long, wide = panel_specialties(specialty_rows, codes_over_time, taxonomy,
+                                   final.select("npi").distinct(), more_than)
     enumerated, spans, first = enrollment_dates(final, all_dates, enumeration, codes_over_time)
-    return {"final": urban_classes(rows, final, urban), "enumeration": enumerated,
+    return {"final": urban_classes(rows, final, urban), "specialties": long,
+            "specializations": wide, "enumeration": enumerated,
             "spans": spans, "first_working_quarter": first,
             "members_by_listed_group": by_listed, "members_by_own_group": by_own,
             "members_by_registry_group": by_registry, "directory_dates": directory_dates}

@@ -9,6 +9,7 @@ from rosterlake.operators import joins as J
 from rosterlake.operators import quality as Q
 from rosterlake.operators import reshape as R
 from rosterlake.operators import rows as W
+from rosterlake.plans import practices as P
 from tests.conftest import rows
 
 
@@ -349,3 +350,16 @@ def test_date_rule(spark):
                "d date, g date, c date")
     got = [r[0] for r in df.select(Q.exactly_one_date_rule("d", "g", "c")).collect()]
     assert got == [True, True, False, False]
+
+
+def test_values_as_columns_are_bounded(spark):
+    df = frame(spark, [(1, "ST. X"), (1, "ST. X"), (2, "A`B"), (3, None)], "npi long, spec string")
+    assert list(R.value_columns(df, "spec")) == ["A`B", "ST. X"]
+    with pytest.raises(ValueError):
+        R.value_columns(df, "spec", most=1)
+    people = frame(spark, [(1,), (2,), (3,), (4,), (4,)], "npi long")
+    wide = P.specialty_indicators(df, people)
+    assert wide.columns == ["npi", "A`B", "ST. X"]
+    assert sorted(map(tuple, wide.collect())) == [(1, 0, 2), (2, 1, 0), (3, 0, 0), (4, 0, 0)]
+    none = P.specialty_indicators(df.where("false"), people)
+    assert none.columns == ["npi"] and none.count() == 4
