@@ -15,12 +15,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.common import BLANKS, mix, ready, slices, spread_join, whole_text
+from rosterlake.llm.common import BLANKS, mix, ready, row_key, slices, spread_join, whole_text
 from rosterlake.session import cut
 
 TREES = 100
 TREE_ROWS = 256
-SAMPLE_ROWS = 4096        # documents the trees are grown on, those of smallest hash
+SAMPLE_ROWS = 4096        # documents the trees are grown on, those of smallest row hash
 GOOD_LOST = 0.005         # share of well labelled rows a threshold may reject
 BINS = 1000
 SYMBOLS = b"#*$%&|<>"     # fixed value
@@ -89,12 +89,12 @@ def _statistics(keep: list[str]):
 
 
 def rule_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, base counts, base_failed and features per document."""
+    """doc_id, row, base counts, base_failed and features per document."""
     ready(docs.sparkSession)
-    schema = ("doc_id long, " + ", ".join(f"{c} long" for c in _BASE) + ", base_failed boolean, "
+    schema = ("doc_id long, row long, " + ", ".join(f"{c} long" for c in _BASE) + ", base_failed boolean, "
               + ", ".join(f"{c} float" for c in FEATURES))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       whole_text().alias("text")).mapInArrow(_statistics(["doc_id"]), schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("row"),
+                       whole_text().alias("text")).mapInArrow(_statistics(["doc_id", "row"]), schema)
 
 
 def path_left(n: int) -> float:
@@ -151,12 +151,20 @@ class Forest:
         return 2.0 ** (-total / len(self.trees) / max(path_left(self.size), 1.0))
 
 
+def sample_rows(stats: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """Features of at most ``rows`` documents that pass the fixed rules, those
+    of smallest hash, so reruns agree. The hash is of the row and its number
+    among rows repeated in full: every document has the same chance."""
+    copies = (stats.where("NOT base_failed").groupBy("row", *FEATURES)
+              .agg(F.count(F.lit(1)).alias("__n")))
+    one = copies.select("row", *FEATURES, F.explode(F.sequence(F.lit(1).cast("long"), "__n")).alias("__k"))
+    return (one.withColumn("__h", F.xxhash64("row", "__k")).orderBy("__h", "row", "__k").limit(rows)
+            .select(*FEATURES))
+
+
 def grow_forest(stats: DataFrame, rows: int = SAMPLE_ROWS) -> Forest:
-    """Trees on at most ``rows`` documents that pass the fixed rules. The
-    sample is the smallest hashes of the features, so reruns agree."""
-    sample = (stats.where("NOT base_failed").select(*FEATURES)
-              .withColumn("__h", F.xxhash64(*FEATURES)).orderBy("__h", *FEATURES).limit(rows))
-    return Forest(np.array([[r[c] for c in FEATURES] for r in sample.collect()],
+    """Trees on a bounded sample."""
+    return Forest(np.array([[r[c] for c in FEATURES] for r in sample_rows(stats, rows).collect()],
                            np.float64).reshape(-1, len(FEATURES)))
 
 

@@ -120,6 +120,20 @@ def test_forest_rejects_noise_and_keeps_the_rest(spark):
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {i for i in kept if kept[i]}
 
 
+def test_forest_sample_keeps_the_shares(spark):
+    n = 3000                 # equal vectors of the first kind, all others noisy
+    stats = spark.range(n).select(
+        F.col("id").alias("doc_id"), F.xxhash64("id", F.lit("t")).alias("row"), F.lit(False).alias("base_failed"),
+        *[F.when(F.col("id") % 4 == 0, F.col("id") / n).otherwise(0).cast("float").alias(c)
+          for c in quality.FEATURES])
+    for rows in (200, 600):
+        made = quality.sample_rows(stats, rows).collect()
+        assert len(made) == rows and 0.15 < sum(any(r) for r in made) / rows < 0.35
+    same = stats.where("doc_id = 4").crossJoin(spark.range(n)).drop("id")
+    made = quality.sample_rows(same.unionByName(stats.where("doc_id % 4 > 0")), 400).collect()
+    assert 0.4 < sum(any(r) for r in made) / 400 < 0.75
+
+
 # ----------------------------------------------------------------- backoff, WARC, preference
 
 def against_sql(df, name, **tables):
