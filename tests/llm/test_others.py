@@ -120,6 +120,28 @@ def test_forest_rejects_noise_and_keeps_the_rest(spark):
     assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == {i for i in kept if kept[i]}
 
 
+def test_every_rule_statistic_can_reject(spark):
+    import random
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(400):
+        text = prose(rng, 120)
+        rows.append(doc(i, text.replace(" ", "### ") if i % 10 == 0 else text))
+        labels.append((i, 0 if i % 10 == 0 else 1, None, "x"))
+    w = prose(rng, 400).split()
+    solid = "".join(w).replace(",", "").replace(".", "")
+    odd = ["\n".join(" ".join(w[i:i + 5]) + "\nread more" for i in range(0, 300, 5)),
+           " ".join(w[:300] + w[:50]), " ".join(solid[i:i + 40] for i in range(0, 1600, 40)),
+           " ".join(str(rng.randint(0, 10 ** 7)) for _ in range(300)), " ".join(w).upper(), ". , ; : ".join(w)]
+    rows += [doc(1000 + i, text) for i, text in enumerate(odd)]
+    docs, marks = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS)
+    got = {r.doc_id: r for r in quality.judge(docs, marks).collect()}
+    assert not any(got[1000 + i].base_failed for i in range(len(odd)))
+    assert [i for i in range(len(odd)) if got[1000 + i].kept] == []
+    assert all(got[i].kept == (i % 10 > 0) for i in range(400))
+    assert all((r.anomaly < 1) == r.kept for r in got.values() if not r.base_failed)
+
+
 def test_forest_sample_keeps_the_shares(spark):
     n = 3000                 # equal vectors of the first kind, all others noisy
     stats = spark.range(n).select(
