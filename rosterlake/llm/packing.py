@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from rosterlake.llm.common import ready, row_key, whole_text
+from rosterlake.operators.rows import surrogate_id
 from rosterlake.session import cut
 
 CAPACITY = 4096
@@ -297,9 +298,10 @@ def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, islands
     out, number = [], 0
     whole = items.where(F.col("length") == capacity)
     base = lambda n: F.lit(n).cast("long") * F.lit(1 << 56)
-    out.append(whole.select("doc_id", "row", "piece", "start", "length", "ids_crc32",
-                            F.shiftrightunsigned(F.xxhash64("doc_id", "row", "piece"), 9)
-                            .alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
+    # a number each: rows repeated in full and copies of the mix have nothing else apart
+    out.append(surrogate_id(whole, ["row", "doc_id", "piece"], "sequence_id").select(
+        "doc_id", "row", "piece", "start", "length", "ids_crc32",
+        F.col("sequence_id").cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
     rest = items.where(F.col("length") < capacity)
     while True:
         number += 1

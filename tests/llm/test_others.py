@@ -297,6 +297,20 @@ def test_packing_edge_cases(spark):
     assert packing.packed_documents(no_docs(spark), queries.tokenizer_path()).collect() == []
 
 
+def test_copies_of_long_documents_lie_apart(spark):
+    long_ = "one two three four " * 3000
+    docs = spark.createDataFrame([doc(1, long_), doc(2, "five six " * 40), doc(3, long_)] + [doc(4, long_)] * 2
+                                 + [doc(5 + i, "seven " * 900, "b") for i in range(110)], DOCS)
+    mixed = mixing.mixed_documents(docs)
+    assert mixed.groupBy("doc_id").count().where("doc_id IN (1, 3) AND count > 1").count() == 2
+    for table in (mixed, docs):
+        made = packing.packed_documents(table, queries.tokenizer_path()).collect()
+        assert sum(r.piece == 0 for r in made) == table.count()
+        check_packing(made, {}, packing.CAPACITY)
+        whole = [r.sequence_id for r in made if r.length == packing.CAPACITY]
+        assert len(whole) == len(set(whole)) >= 8
+
+
 def test_packing_in_several_blocks(spark):
     import random
     rng = random.Random(6)
