@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import random
+import re
 import sys
 import zlib
 from array import array
@@ -40,6 +41,16 @@ STRETCH = 1000            # texts whose runs are encoded together
 _PIECE = "doc_id long, row long, piece int, start long, length int, ids_crc32 long"
 
 
+# white space to Python, but not to the tokenizer
+SOLID = re.compile("[\x1c-\x1f]")
+RUN = re.compile(r"[\S\x1c-\x1f]+")
+
+
+def non_blanks(text: str) -> list[str]:
+    """The runs between what the tokenizer's ``\\s`` matches."""
+    return RUN.findall(text) if SOLID.search(text) else text.split()
+
+
 class Words(dict):
     """Token ids of a run of non-blanks, as little-endian bytes.
 
@@ -108,7 +119,7 @@ def _tokenize(path: str, capacity: int):
             row, piece, start, length, crc = [], [], [], [], []
             column = batch.column(2)
             for first in range(0, batch.num_rows, STRETCH):
-                texts = [(t or "").split() for t in column.slice(first, STRETCH).to_pylist()]
+                texts = [non_blanks(t or "") for t in column.slice(first, STRETCH).to_pylist()]
                 known = words.runs(texts)
                 for i, runs in enumerate(texts, first):
                     ids = b"".join([known[w] for w in runs]) + close

@@ -297,6 +297,17 @@ def test_packing_edge_cases(spark):
     assert packing.packed_documents(no_docs(spark), queries.tokenizer_path()).collect() == []
 
 
+def test_packing_splits_where_the_tokenizer_does(spark):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(queries.tokenizer_path())
+    blanks = [c for c in map(chr, range(0x110000)) if c.isspace()]
+    texts = [f"ab{c}cd {c}ef. Gh{c} {c}{c} 12{c}" for c in blanks]
+    texts += ["".join(f"ab{c}cd" for c in blanks), "\x1c", "one\x1ftwo\u2003three\x85\x1d " * 2000]
+    docs = spark.createDataFrame([doc(i, x) for i, x in enumerate(texts)], DOCS)
+    ids = {i: [*t.encode(x, add_special_tokens=False).ids, 1] for i, x in enumerate(texts)}
+    check_packing(packing.packed_documents(docs, queries.tokenizer_path()).collect(), ids, packing.CAPACITY)
+
+
 def test_copies_of_long_documents_lie_apart(spark):
     long_ = "one two three four " * 3000
     docs = spark.createDataFrame([doc(1, long_), doc(2, "five six " * 40), doc(3, long_)] + [doc(4, long_)] * 2
