@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rosterlake.llm import (
-    mixing, ngram_lm, packing, preference, quality, simhash, suffixes, toxicity, warc, winnow)
+    centroids, mixing, ngram_lm, packing, preference, private, quality, simhash, suffixes, toxicity, turns,
+    warc, winnow)
 from rosterlake.llm.sql import SQL
 from rosterlake.session import configure
 
@@ -63,11 +64,22 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = _table(spark, sf_dir, "conversations")
-    return preference.format_pairs(preference.swapped_answers(turns))
+    return preference.format_pairs(preference.swapped_answers(_table(spark, sf_dir, "conversations")))
+
+
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repaired_conversations(_table(spark, sf_dir, "conversations"))
+
+
+def op13_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.personal_data(_table(spark, sf_dir, "documents"))
 
 
 SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_fingerprints, op2_simhash, op3_mix, op4_repeats, op5_quality, op6_backoff, op7_warc,
-        op8_toxicity, op9_packing, op10_preference)}
+        op8_toxicity, op9_packing, op10_preference, op11_centroids, op12_turns, op13_private)}
