@@ -2,8 +2,8 @@
 
 A solution is a list of sequences, and the sequences are its genes. Crossover
 injects the well-filled sequences of one parent whole into the other, takes out
-the sequences that hold documents a second time, and best-fits what they
-displace. Documents are dealt into blocks of bounded size; each block is
+the sequences that hold documents a second time, lets displaced documents take
+the place of others where that fills a sequence better, and best-fits the rest. Documents are dealt into blocks of bounded size; each block is
 evolved on several islands in separate tasks, and between epochs an island's
 elite moves to the next island of the block. Documents of sequences that stay
 badly filled are dealt into blocks again and packed together.
@@ -35,27 +35,33 @@ ISLANDS = 2
 EPOCHS = 2
 POPULATION = 4
 CHILDREN = 6              # per island and epoch
+DEALS = 7                 # rounds of dealing into blocks, at most
 FULL = 0.98               # filled to this share a sequence is final
 CACHE = 1_000_000         # plain runs a worker remembers
+TRIES = 200               # sequences an exchange looks at
+RUN_CACHE = 600_000       # runs as they stand a worker remembers
 STRETCH = 1000            # texts whose runs are encoded together
 _PIECE = "doc_id long, row long, piece int, start long, length int, ids_crc32 long"
 
 
 # white space to Python, but not to the tokenizer
-SOLID = re.compile("[\x1c-\x1f]")
+SOLID = "\x1c\x1d\x1e\x1f"
 RUN = re.compile(r"[\S\x1c-\x1f]+")
 
 
 def non_blanks(text: str) -> list[str]:
     """The runs between what the tokenizer's ``\\s`` matches."""
-    return RUN.findall(text) if SOLID.search(text) else text.split()
+    # four scans for one character are far cheaper than one for a set
+    a, b, c, d = SOLID
+    return RUN.findall(text) if a in text or b in text or c in text or d in text else text.split()
 
 
 class Words(dict):
     """Token ids of a run of non-blanks, as little-endian bytes.
 
     The tokenizer drops white space and never joins across it, so a text is
-    the chain of its runs. Letters closed by punctuation are two runs to it,
+    the chain of its runs. Runs are remembered as they stand, and plain ones
+    beside them for longer. Letters closed by punctuation are two runs to it,
     and case is folded, so most runs are found under a plainer one. The runs
     that are left are encoded together, once for a stretch of texts.
     """
@@ -64,6 +70,7 @@ class Words(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # tasks are the parallel unit
         from tokenizers import Tokenizer
         super().__init__()
+        self.plain: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
 
     @staticmethod
@@ -78,12 +85,16 @@ class Words(dict):
             return run[:-1], run[-1]
         return (run,)
 
-    def runs(self, texts: list[list[str]]) -> dict[str, bytes]:
-        """The ids of all runs of the texts. Only plain runs are remembered."""
-        if len(self) > CACHE:
+    def learn(self, texts: list[list[str]]) -> None:
+        """Get to know all runs of the texts; a run known already costs one look."""
+        if len(self) > RUN_CACHE:
             self.clear()
-        split = {run: self.parts(run) for run in set().union(*texts)}
-        fresh = {p for parts in split.values() for p in parts}.difference(self)
+        if len(self.plain) > CACHE:
+            self.plain.clear()
+        plain = self.plain
+        new = set().union(*texts).difference(self)
+        split = {run: self.parts(run) for run in new}
+        fresh = {p for parts in split.values() for p in parts}.difference(plain)
         # letters are one word to the tokenizer, so many can be told apart in one text;
         # one capital of this range folds to more than letters
         letters = sorted(w for w in fresh if w.isalpha() and ord(max(w)) < 0x250
@@ -94,12 +105,13 @@ class Words(dict):
             ids: list[array] = [array("I") for _ in words]
             for i, k in zip(made.ids, made.word_ids):
                 ids[k].append(i)
-            self.update(zip(words, [i.tobytes() for i in ids]))
+            plain.update(zip(words, [i.tobytes() for i in ids]))
         rest = sorted(fresh.difference(letters))
         for run, made in zip(rest, self.tokenizer.encode_batch_fast(
                 rest, add_special_tokens=False)):
-            self[run] = array("I", made.ids).tobytes()
-        return {run: b"".join([self[p] for p in parts]) for run, parts in split.items()}
+            plain[run] = array("I", made.ids).tobytes()
+        for run, parts in split.items():
+            self[run] = plain[parts[0]] if len(parts) == 1 else b"".join([plain[p] for p in parts])
 
 
 _words: dict[str, Words] = {}
@@ -120,9 +132,9 @@ def _tokenize(path: str, capacity: int):
             column = batch.column(2)
             for first in range(0, batch.num_rows, STRETCH):
                 texts = [non_blanks(t or "") for t in column.slice(first, STRETCH).to_pylist()]
-                known = words.runs(texts)
+                words.learn(texts)
                 for i, runs in enumerate(texts, first):
-                    ids = b"".join([known[w] for w in runs]) + close
+                    ids = b"".join(map(words.__getitem__, runs)) + close
                     for k, at in enumerate(range(0, len(ids), step)):
                         part = ids[at:at + step]
                         row.append(i)
@@ -149,10 +161,11 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
 Solution = list[list[int]]
 
 
-def best_fit(bins: Solution, items: list[int], size: list[int], capacity: int) -> None:
-    """Put each item, the largest first, where it leaves least room."""
+def best_fit(bins: Solution, items: list[int], size: list[int], capacity: int,
+             order: dict[int, float] | None = None) -> None:
+    """Put each item, the largest first or by ``order``, where it leaves least room."""
     rooms = sorted((capacity - sum(size[i] for i in b), k) for k, b in enumerate(bins))
-    for i in sorted(items, key=lambda i: (-size[i], i)):
+    for i in sorted(items, key=lambda i: (-(order[i] if order else size[i]), i)):
         at = bisect_left(rooms, (size[i], -1))
         if at < len(rooms):
             room, k = rooms.pop(at)
@@ -164,6 +177,33 @@ def best_fit(bins: Solution, items: list[int], size: list[int], capacity: int) -
             insort(rooms, (room - size[i], k))
 
 
+def exchange(bins: Solution, displaced: list[int], size: list[int], capacity: int,
+             rng: random.Random, tries: int = TRIES) -> list[int]:
+    """Displaced items that fill a sequence better take the place of one of its
+    own: one for one, or two for one. Returns what is displaced afterwards."""
+    free = sorted((size[i], i) for i in displaced)
+    for k in rng.sample(range(len(bins)), min(tries, len(bins))):
+        room = capacity - sum(size[i] for i in bins[k])
+        for i in sorted(bins[k], key=lambda i: size[i]):
+            if not room or not free:
+                break
+            own, most = size[i], size[i] + room
+            at = bisect_left(free, (most + 1, -1)) - 1
+            pick = [at] if at >= 0 and free[at][0] > own else []
+            filled = free[at][0] if pick else own
+            for x in range(min(len(free), 16)):
+                small = x * len(free) // min(len(free), 16)
+                y = bisect_left(free, (most - free[small][0] + 1, -1)) - 1
+                if y > small and free[small][0] + free[y][0] > filled:
+                    pick, filled = [small, y], free[small][0] + free[y][0]
+            if pick:
+                came = [free.pop(p)[1] for p in sorted(pick, reverse=True)]
+                bins[k] = [j for j in bins[k] if j != i] + came
+                insort(free, (own, i))
+                room = most - filled
+    return [i for _, i in free]
+
+
 def fitness(bins: Solution, size: list[int], capacity: int) -> tuple[int, float]:
     """Fewer sequences first, then fuller ones; smaller is better."""
     return len(bins), -sum((sum(size[i] for i in b) / capacity) ** 2 for b in bins)
@@ -184,6 +224,7 @@ def crossover(keep: Solution, give: Solution, size: list[int], capacity: int,
         else:
             displaced += [i for i in b if i not in held]
     child += gift
+    displaced = exchange(child, displaced, size, capacity, rng)
     best_fit(child, displaced, size, capacity)
     return child
 
@@ -194,13 +235,26 @@ def shaken(bins: Solution, size: list[int], capacity: int, rng: random.Random) -
     n = max(2, len(bins) // 20)
     gone = set(order[:n]) | set(rng.sample(range(len(bins)), min(n, len(bins))))
     child = [list(b) for k, b in enumerate(bins) if k not in gone]
-    best_fit(child, [i for k in gone for i in bins[k]], size, capacity)
+    free = exchange(child, [i for k in gone for i in bins[k]], size, capacity, rng)
+    best_fit(child, free, size, capacity)
     return child
 
 
+def loose(size: list[int], capacity: int, rng: random.Random) -> Solution:
+    """Best fit in a roughly descending order, another one each time."""
+    out: Solution = []
+    order = {i: n * rng.uniform(0.8, 1.25) for i, n in enumerate(size)}
+    best_fit(out, list(range(len(size))), size, capacity, order)
+    return out
+
+
 def evolve(size: list[int], capacity: int, elites: list[Solution], seed: int,
            population: int = POPULATION, children: int = CHILDREN) -> Solution:
-    """The best of some generations that start from elites and random orders."""
+    """The best of some generations that start from elites and random orders.
+
+    One generation of crossover always runs, so that fill still improves where
+    the start has as few sequences as the sizes allow; more run until it does.
+    """
     rng = random.Random(seed)
     pool = [[list(b) for b in e] for e in elites]
     first: Solution = []
@@ -208,11 +262,11 @@ def evolve(size: list[int], capacity: int, elites: list[Solution], seed: int,
     floor_ = -(-sum(size) // capacity)
     pool.append(first)
     while len(pool) < population:
-        pool.append(shaken(rng.choice(pool), size, capacity, rng))
+        pool.append(shaken(pool[0], size, capacity, rng) if len(pool) % 2 else loose(size, capacity, rng))
     rank = lambda b: fitness(b, size, capacity)
     pool.sort(key=rank)
-    for _ in range(children):
-        if len(pool[0]) <= floor_:
+    for generation in range(children):
+        if generation and len(pool[0]) <= floor_:
             break
         a, b = rng.sample(range(len(pool)), 2)
         child = crossover(pool[min(a, b)], pool[max(a, b)], size, capacity, rng)
@@ -281,8 +335,9 @@ def _place(capacity: int, last: bool, full: float):
 def _round(items: DataFrame, blocks: int, capacity: int, last: bool, islands: int, epochs: int,
            full: float) -> DataFrame:
     """One deal of pieces into blocks, evolved on islands; sequence -1: goes on."""
-    dealt = cut(items.withColumn("block", F.pmod(F.xxhash64("row", "doc_id", "piece"),
-                                                 F.lit(blocks)).cast("int")))
+    # rows repeated in full are dealt apart by the running number of the written table
+    dealt = cut(items.withColumn("block", F.pmod(F.xxhash64(
+        "row", "doc_id", "piece", F.monotonically_increasing_id()), F.lit(blocks)).cast("int")))
     spread = dealt.select("block", F.explode(F.sequence(F.lit(0), F.lit(islands - 1))).alias("island"),
                           "row", "doc_id", "piece", "length")
     kind = "block int, island int, n int, worth double, elite binary"
@@ -303,7 +358,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, islands
 
     A piece as long as a sequence fills one alone. Blocks are packed in rounds:
     what lies in sequences filled below ``full`` is dealt anew into fewer
-    blocks until one block holds it; no document is left out.
+    blocks until one block holds it or ``DEALS`` rounds are done; what the last
+    round packs stays where it is, so no document is left out.
     """
     items = cut(items)
     out, number = [], 0
@@ -318,7 +374,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK, islands
         number += 1
         n = rest.count()
         blocks = max(1, -(-n // block))
-        last = blocks == 1 or number > 6
+        last = blocks == 1 or number == DEALS
         placed = _round(rest, blocks, capacity, last, islands, epochs, full)
         out.append(placed.where("sequence >= 0").select(
             "doc_id", "row", "piece", "start", "length", "ids_crc32",

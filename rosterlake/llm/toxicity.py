@@ -2,9 +2,10 @@
 
 A text is the set of its character n-grams (folded to lower case, hashed to
 ``BUCKETS`` numbers). Over all training rows each number's log-count ratio
-between toxic and other texts is counted. The numbers that tell most are the
-features, each scaled by its ratio, and a logistic regression on a bounded,
-documented sample of training rows weighs them.
+between toxic and other texts is counted. The ``features`` numbers that tell most,
+of those in at least ``least`` texts, are the features (both are parameters, see
+the README for what they cost), each scaled by its ratio, and a logistic
+regression on a bounded, documented sample of training rows weighs them.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.common import ready, whole_text
+from rosterlake.llm.common import ready, spread_join, whole_text
 from rosterlake.session import cut
 
 ORDERS = (3, 4, 5)
 BUCKETS = 1 << 20
-FEATURES = 4096
+FEATURES = 4096           # numbers the regression weighs
+LEAST = 3                 # training texts a number must be in; rarer ones say little
 SAMPLE_ROWS = 4000        # training rows of each label the regression is fitted on
 FOLDS = 5
 CHUNK_CHARS = 1 << 18
@@ -102,8 +104,9 @@ def _features(names: np.ndarray):
             sets = [np.concatenate(h) if h else np.zeros(0, np.int32) for h in held]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(batch.schema.get_field_index("toxic")),
+                 batch.column(batch.schema.get_field_index("h")),
                  pa.array([s.astype(np.int32).tobytes() for s in sets], pa.binary())],
-                ["toxic", "features"])
+                ["toxic", "h", "features"])
     return run
 
 
@@ -150,11 +153,26 @@ def fit_regression(sets: list[np.ndarray], labels: np.ndarray, scale: np.ndarray
     return w, b
 
 
-def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS, features: int = FEATURES) -> Model:
-    """``rows``: text, toxic (0 or 1). Ratios use every row; the regression at
-    most ``sample_rows`` of each label, those with the smallest text hash."""
+def _smallest(rows: DataFrame, n: int, limit: int) -> DataFrame:
+    """Of ``n`` rows a set that holds the ``limit`` ones of smallest ``h``.
+
+    The hash is uniform, so a bound on it leaves about ``limit`` rows; a task
+    sends none of the others. Should the bound leave too few, it is dropped.
+    """
+    share = (limit + 8 * limit ** 0.5 + 64) / max(n, 1)
+    if share >= 1:
+        return rows
+    near = rows.where(F.col("h") <= F.lit(int(-(1 << 63) + share * (1 << 64))))
+    return near if near.count() >= limit else rows
+
+
+def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS, features: int = FEATURES,
+          least: int = LEAST) -> Model:
+    """``rows``: doc_id, text, toxic (0 or 1). Ratios use every row; the
+    regression at most ``sample_rows`` of each label, those with the smallest
+    hash of id and text."""
     rows = cut(rows.select("text", F.col("toxic").cast("int").alias("toxic"),
-                           F.xxhash64("text").alias("h")))
+                           F.xxhash64("doc_id", "text").alias("h")))
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     clean, toxic = n.get(0, 0), n.get(1, 0)
     share = (toxic + 1) / (clean + toxic + 2)
@@ -163,19 +181,18 @@ def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS, features: int = FEATU
         return Model(none, none, float(np.log(share / (1 - share))))
     counts = rows.select("text", "toxic").mapInArrow(_counts, "number long, clean long, toxic long")
     counts = counts.groupBy("number").agg(F.sum("clean").alias("c"), F.sum("toxic").alias("t"))
-    # at most BUCKETS rows; a few rare texts say nothing about a number
     ratio = F.log((F.col("t") + 1) / (toxic + 2)) - F.log((F.col("c") + 1) / (clean + 2))
     tells = F.abs(ratio) * F.sqrt(F.col("t") + F.col("c"))
-    best = (counts.where("t + c >= 3").select("number", ratio.alias("ratio"), tells.alias("tells"))
+    # at most BUCKETS rows
+    best = (counts.where(F.col("t") + F.col("c") >= least)
+            .select("number", ratio.alias("ratio"), tells.alias("tells"))
             .orderBy(F.desc("tells"), "number").limit(features).collect())
     names = np.array([r["number"] for r in best], np.int64)
     scale = np.array([r["ratio"] for r in best], np.float64)
-    parts = []
-    for label in (0, 1):
-        parts.append(rows.where(F.col("toxic") == label).orderBy("h").limit(sample_rows)
-                     .select("text", "toxic"))
-    sample = parts[0].unionByName(parts[1]).mapInArrow(_features(names), "toxic int, features binary")
-    got = sample.collect()
+    parts = [_smallest(rows.where(F.col("toxic") == label), n[label], sample_rows)
+             .mapInArrow(_features(names), "toxic int, h long, features binary")
+             .orderBy("h", "features").limit(sample_rows) for label in (0, 1)]
+    got = parts[0].unionByName(parts[1]).collect()
     labels = np.array([r["toxic"] for r in got], np.float64)
     sets = [np.frombuffer(r["features"], np.int32).astype(np.int64) for r in got]
     w, b = fit_regression(sets, labels, scale, share)
@@ -197,20 +214,27 @@ def fold(doc_id: str = "doc_id", folds: int = FOLDS):
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
 
 
-def toxic_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def toxic_scores(docs: DataFrame, labels: DataFrame, features: int = FEATURES,
+                 least: int = LEAST) -> DataFrame:
     """Score and prediction of every document.
 
     Rows whose crc32 of the id is divisible by ``FOLDS`` are held out of
     training, as are rows without an id or label. Empty and null texts score by
-    the intercept; equal texts score alike; other columns are ignored; without
-    labels of both kinds every score is the share of toxic labels.
+    the intercept; equal texts score alike; texts of any length are read whole,
+    in stretches; other columns are ignored; without labels of both kinds every
+    score is the share of toxic labels. Rows that share a labelled id all train,
+    and an id labelled twice trains under each of its labels. In the sample,
+    ties of the hash (rows repeated in full) are taken as they come.
+
+    The labelled texts move once, to meet their labels, by one plan at every
+    size (labels are never broadcast); after that only counts and features do.
     """
     ready(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     marked = labels.where("toxic IN (0, 1)").select(
         F.col("doc_id").cast("long").alias("doc_id"), "toxic").where(fold() != 0)
-    rows = docs.join(marked, "doc_id").select("text", "toxic")
-    model = train(rows)
+    rows = spread_join(docs.where(fold() != 0), marked.hint("merge"), ["doc_id"], "inner")
+    model = train(rows, features=features, least=least)
     held = F.coalesce(fold() == 0, F.lit(True)).alias("held_out")
     return docs.select("doc_id", held, "text").mapInArrow(
         _score(model), "doc_id long, held_out boolean, score double, predicted int")

@@ -251,6 +251,54 @@ def test_toxicity_on_held_out_rows(spark, sf_dir):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got.collect())
 
 
+def test_toxicity_scores_equal_a_plain_model(spark):
+    """Ratios, features and scores by dictionaries, weights by the same regression."""
+    import math
+    import random
+    import numpy as np
+    from tests.llm.helpers import DOCS, doc, prose
+    rng = random.Random(8)
+    rows = [doc(i, prose(rng, 25) + (" vile rotten slur " * rng.randint(1, 2) if i % 3 == 0 else ""))
+            for i in range(90)] + [doc(7, "a second text of one id"), doc(200, None), doc(201, "")]
+    marks = [(i, 1, int(i % 3 == 0), "t") for i in range(90)] + [(5, 1, 1, "t")]
+    got = toxicity.toxic_scores(
+        spark.createDataFrame(rows, DOCS), spark.createDataFrame(marks, LABELS), features=300).collect()
+    grams = lambda t: {int(toxicity.ngram_numbers(np.array([ord(c) for c in g], np.uint64), len(g))[0])
+                       for x in [f" {(t or '').lower()} "] for n in toxicity.ORDERS
+                       for g in (x[i:i + n] for i in range(len(x) - n + 1))}
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    train = [(i, t, y) for i, t, *_ in rows for j, _, y, _ in marks if i == j and not held(i)]
+    n = [sum(y == k for *_, y in train) for k in (0, 1)]
+    count = {}
+    for _, t, y in train:
+        for g in grams(t):
+            count.setdefault(g, [0, 0])[y] += 1
+    ratio = {g: math.log((t + 1) / (n[1] + 2)) - math.log((c + 1) / (n[0] + 2)) for g, (c, t) in count.items()}
+    tells = {g: abs(ratio[g]) * math.sqrt(sum(count[g])) for g in count if sum(count[g]) >= toxicity.LEAST}
+    names = sorted(tells, key=lambda g: (-round(tells[g], 12), g))[:300]
+    place = {g: k for k, g in enumerate(names)}
+    sets = [np.array(sorted(place[g] for g in grams(t) if g in place), np.int64) for _, t, _ in train]
+    scale = np.array([ratio[g] for g in names])
+    w, b = toxicity.fit_regression(sets, np.array([y for *_, y in train], float), scale,
+                                   (n[1] + 1) / (sum(n) + 2))
+    def plain(t):
+        return 1 / (1 + math.exp(-(b + sum(w[place[g]] * ratio[g] for g in grams(t) if g in place))))
+    want = sorted((i, plain(t)) for i, t, *_ in rows)
+    assert [i for i, _ in want] == sorted(r.doc_id for r in got)
+    for (_, x), r in zip(want, sorted(got, key=lambda r: (r.doc_id, r.score))):
+        assert abs(x - r.score) < 2e-3
+
+
+def test_toxicity_sample_is_the_smallest_hashes(spark):
+    df = spark.range(20000).select(F.xxhash64("id").alias("h")).cache()
+    near = toxicity._smallest(df, 20000, 500)
+    assert near.count() < 900
+    first = lambda d: [r.h for r in d.orderBy("h").limit(500).collect()]
+    assert first(near) == first(df)
+    equal = df.select(F.lit(5).cast("long").alias("h"))
+    assert toxicity._smallest(equal, 20000, 500).count() == 20000
+
+
 def test_toxicity_edge_cases(spark):
     none = toxicity.toxic_scores(edge_docs(spark), spark.createDataFrame([], LABELS)).collect()
     assert len(none) == len(edge_rows()) and {r.score for r in none} == {0.5}
@@ -335,6 +383,35 @@ def test_packing_in_several_blocks(spark):
     assert n <= len(first) + 3
 
 
+def test_crossover_and_migration_gain_over_best_fit():
+    """Sizes that best fit packs badly: epochs on two islands pack them better."""
+    import random
+    rng = random.Random(9)
+    size = []
+    for _ in range(40):       # three sizes that fill a sequence, forty times
+        a = rng.randint(380, 490)
+        b = rng.randint(250, (1000 - a) // 2)
+        size += [a, b, 1000 - a - b]
+    rng.shuffle(size)
+    first = []
+    packing.best_fit(first, list(range(120)), size, 1000)
+    elites, best = [[], []], []
+    for epoch in range(packing.EPOCHS):
+        made = [packing.evolve(size, 1000, elites[i], 7 * i + epoch) for i in range(2)]
+        elites = [[made[0], made[1]], [made[1], made[0]]]
+        assert all(sorted(i for b in m for i in b) == list(range(120)) for m in made)
+        best.append(min(packing.fitness(m, size, 1000) for m in made))
+    assert best[-1] <= best[0] and best[-1][0] <= len(first) - 3
+
+
+def test_one_generation_always_runs(monkeypatch):
+    calls = []
+    real = packing.crossover
+    monkeypatch.setattr(packing, "crossover", lambda *a: calls.append(1) or real(*a))
+    size = [50] * 40          # best fit reaches the bound at once
+    assert len(packing.evolve(size, 100, [], 1)) == 20 and len(calls) == 1
+
+
 def test_crossover_keeps_every_document_once():
     import random
     rng = random.Random(2)
@@ -362,5 +439,49 @@ def test_pipeline_stages_by_themselves(spark, sf_dir):
         assert stage[n](spark, docs, sf_dir).columns == docs.columns
 
 
-def test_pipeline_runs(spark, sf_dir):
-    assert corpus_pipeline.run(spark, sf_dir).count() > 0
+def test_pipeline_end_to_end(spark, sf_dir):
+    """What every stage promises, on its own input, written as ``run`` does."""
+    from rosterlake.llm import simhash
+    from rosterlake.session import cut
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before[name] = docs
+        docs = cut(stage(spark, docs, sf_dir))
+        before[f"{name} done"] = docs
+    rows = {n: df.collect() for n, df in before.items()}
+    for name, _ in corpus_pipeline.STAGES:
+        given, made = rows[name], rows[f"{name} done"]
+        assert made and {r.doc_id for r in made} <= {r.doc_id for r in given}
+    groups = simhash.near_copies(before["near copies"]).collect()
+    assert sorted({r.component_id for r in groups}) == sorted(r.doc_id for r in rows["near copies done"])
+    # no passage of 50 words is left in two documents that had it
+    def shingles(table, n=50):
+        owners = {}
+        for r in table:
+            w = (r.text or "").split()
+            for i in range(len(w) - n + 1):
+                owners.setdefault(" ".join(w[i:i + n]), set()).add(r.doc_id)
+        return {k for k, v in owners.items() if len(v) > 1}
+    assert shingles(rows["repeated passages"]) and not shingles(rows["repeated passages done"])
+    once = {r.doc_id: r for r in rows["mixing"]}
+    taken = {}
+    for r in rows["mixing done"]:
+        assert r == once[r.doc_id]
+        taken[r.doc_id] = taken.get(r.doc_id, 0) + 1
+    assert max(taken.values()) <= 3
+    target = {(r.source, r.target) for r in mixing.mix(before["mixing"]).collect()}
+    words = {}
+    for r in rows["mixing done"]:
+        words[r.source] = words.get(r.source, 0) + len((r.text or "").split())
+    longest = max(len((r.text or "").split()) for r in rows["mixing"])
+    assert all(abs(words.get(s, 0) - t) <= longest for s, t in target)
+    at = {}
+    for r in rows["packing done"]:
+        at.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in at.values():
+        end = 0
+        for offset, length in sorted(places):
+            assert offset == end
+            end += length
+        assert end <= packing.CAPACITY
