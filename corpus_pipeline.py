@@ -13,6 +13,10 @@ from rosterlake.llm.queries import tokenizer_path
 from rosterlake.session import configure, cut
 
 
+# bytes of a repeated passage that goes; 50 words of these languages have 239 or more
+PASSAGE_BYTES = 200
+
+
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rules and isolation forest; rejected documents go."""
     return quality.keep_good(docs, configure(spark).read.parquet(f"{sf_dir}/labels.parquet"))
@@ -25,9 +29,9 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes of passages that stand elsewhere too go."""
+    """Bytes of passages of ``PASSAGE_BYTES`` that stand elsewhere too go."""
     configure(spark)
-    return suffixes.remove_repeats(docs)
+    return suffixes.remove_repeats(docs, PASSAGE_BYTES)
 
 
 def mixed_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
