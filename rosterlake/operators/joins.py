@@ -15,6 +15,7 @@ from rosterlake.functions.dates import month_start
 from rosterlake.session import cut
 
 _R = "__right_"
+_SET = ["__set0", "__set1", "__set2"]
 _SPREAD = "__spread"
 
 
@@ -158,8 +159,8 @@ def nearest_month(targets: DataFrame, panel: DataFrame, key: str, date: str,
     return natural_join(t, panel, on=[key, month], null_equal=False)
 
 
-def _place_sets(rows: DataFrame, person: str, period: Sequence[str], place: Sequence[str],
-                side: str) -> tuple[DataFrame, DataFrame]:
+def _place_sets(rows: DataFrame, person: str, period: Sequence[str], place: Sequence[str]
+                ) -> tuple[DataFrame, DataFrame]:
     """(person, period, set) and the places of every distinct set.
 
     A set is named by its size and two 64-bit sums of hashes, combined on the
@@ -167,38 +168,50 @@ def _place_sets(rows: DataFrame, person: str, period: Sequence[str], place: Sequ
     nulls, so each column's null mark is hashed too.
     """
     marks = [F.col(c).isNull() for c in place]
-    name = [f"__{side}{i}" for i in range(3)]
     people = rows.groupBy(person, *period).agg(
-        F.count(F.lit(1)).alias(name[0]),
-        F.bit_xor(F.xxhash64(*place, *marks)).alias(name[1]),
-        F.bit_xor(F.xxhash64(F.lit(side), *place, *marks)).alias(name[2]))
+        F.count(F.lit(1)).alias(_SET[0]),
+        F.bit_xor(F.xxhash64(*place, *marks)).alias(_SET[1]),
+        F.bit_xor(F.xxhash64(F.lit("set"), *place, *marks)).alias(_SET[2]))
     places = (join_group_stats(rows, people, [person, *period], how="inner")
-              .select(*period, *name, *place).distinct())
+              .select(*period, *_SET, *place).distinct())
     return people, places
 
 
+def place_bitmaps(rows: DataFrame, person: str, period: Sequence[str], place: Sequence[str]
+                  ) -> DataFrame:
+    """(period, place, ``__bucket``, ``__map``): who is seen at a place, one bit
+    a person, 32,768 persons to a bucket.
+
+    Persons get dense numbers in the order of one of their places, so those
+    seen together share a bucket and a place has few, mostly one.
+    """
+    from rosterlake.operators.rows import surrogate_id
+    near = rows.groupBy(person).agg(F.min(F.xxhash64(*period, *place)).alias("__near"))
+    numbered = surrogate_id(near, ["__near", person], "__no", 1).select(person, "__no")
+    bits = join_group_stats(rows, numbered, [person], how="inner")
+    return bits.groupBy(*period, *place, F.bitmap_bucket_number("__no").alias("__bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("__no")).alias("__map"))
+
+
 def count_copresent(members: DataFrame, person: str, place: Sequence[str],
                     period: Sequence[str], focal: Column, other: Column,
                     out: str = "n_others") -> DataFrame:
     """Distinct other-role persons sharing any place with each focal person.
 
-    No persons are paired: those with the same set of places in a period are
-    one set with a count, on both sides, and sets meet at their places. All
-    who are seen at one place alone are one set, so a hot place costs its
-    distinct sets, not its people.
+    Focal persons with the same set of places in a period are one set; the
+    others at a place are a bitmap. A set's places bring their bitmaps, which
+    are merged on the map side and counted: the rows are as many as sets have
+    places (times a place's buckets), never pairs of persons or of sets.
     """
     period, place = list(period), list(place)
     mine, my_places = _place_sets(
-        members.where(focal).select(person, *period, *place).distinct(), person, period, place, "f")
-    others, their_places = _place_sets(
-        members.where(other).select(person, *period, *place).distinct(), person, period, place, "o")
-    me, them = (["__f0", "__f1", "__f2"], ["__o0", "__o1", "__o2"])
-    counts = others.groupBy(*period, *them).agg(F.count(F.lit(1)).alias("__n"))
-    their_places = join_group_stats(their_places, counts, [*period, *them], how="inner")
-    met = (natural_join(my_places, their_places, on=[*period, *place])
-           .select(*period, *me, *them, "__n").distinct())
-    per_set = met.groupBy(*period, *me).agg(F.sum("__n").alias(out))
-    found = join_group_stats(mine, per_set, [*period, *me])
+        members.where(focal).select(person, *period, *place).distinct(), person, period, place)
+    maps = place_bitmaps(members.where(other).select(person, *period, *place).distinct(),
+                         person, period, place)
+    met = join_group_stats(my_places, maps, [*period, *place], how="inner")
+    seen = met.groupBy(*period, *_SET, "__bucket").agg(F.bitmap_or_agg("__map").alias("__map"))
+    per_set = seen.groupBy(*period, *_SET).agg(F.sum(F.bitmap_count("__map")).alias(out))
+    found = join_group_stats(mine, per_set, [*period, *_SET])
     return found.select(person, *period, F.coalesce(out, F.lit(0)).cast("long").alias(out))
 
 

@@ -117,6 +117,20 @@ def test_copresent_counts_against_all_pairs(spark):
     assert got == {k: len(v) for k, v in want.items()}
 
 
+def test_copresent_one_place_of_many_sets(spark):
+    """5,000 people with a set of places each meet 5,000 others at one hot
+    place: the rows between stay as many as the places of the sets."""
+    n = 5000
+    rows_ = [(i, 1, "hot") for i in range(2 * n)] + [(i, 1, f"own{i}") for i in range(2 * n)]
+    df = frame(spark, rows_, "p int, q int, a string").withColumn("md", F.col("p") < n)
+    mine, places = J._place_sets(df.where("md").select("p", "q", "a"), "p", ["q"], ["a"])
+    maps = J.place_bitmaps(df.where("NOT md").select("p", "q", "a"), "p", ["q"], ["a"])
+    met = J.join_group_stats(places, maps, ["q", "a"], how="inner")
+    assert places.count() == 2 * n and met.count() <= n * 2
+    out = J.count_copresent(df, "p", ["a"], ["q"], F.col("md"), ~F.col("md"))
+    assert out.count() == n and {r[0] for r in out.select("n_others").distinct().collect()} == {n}
+
+
 def test_copresent_hot_and_null_places(spark):
     # everyone is at the hot place or at none; two-part places differ in which part is null
     data = [(p, "hot", None, p % 2 == 0) for p in range(400)]
