@@ -11,13 +11,21 @@ from rosterlake import schemas as S
 from rosterlake.functions.text import (collapse_spaces, drop_chars, drop_inner_initial_period,
                                        drop_lone_initial_period, full_name)
 from rosterlake.operators.impute import purge_symbols
-from rosterlake.operators.joins import (anti_join, join_group_stats, natural_join,
-                                        natural_join_all)
+from rosterlake.operators.joins import join_group_stats, natural_join
+from rosterlake.session import cut
 
 PARTS = ["pfname", "pmname", "plname", "pnamesuffix"]
 NAME = ["pfname", "pmname", "plname"]
 
 
+def _each_with(rows: Column, values: Column, names: Sequence[str], new: str) -> Column:
+    """Every struct of ``rows`` (its ``names``) with every value, as ``new``."""
+    def extended(row: Column) -> Column:
+        return F.transform(values, lambda v: F.struct(*[row[n].alias(n) for n in names], v["v"].alias(new)))
+
+    return F.flatten(F.transform(rows, extended))
+
+
 def full_names(legal: Mapping[str, DataFrame], other: Mapping[str, DataFrame]) -> DataFrame:
     """Legal names, and alternates that are not already legal (``othflag`` 1).
 
@@ -26,22 +34,48 @@ def full_names(legal: Mapping[str, DataFrame], other: Mapping[str, DataFrame]) -
     name and once left out. (A suffix is completed where the suffix itself is
     missing.)
     """
-    own = natural_join_all([legal[p] for p in ("pfname", "plname", "pmname", "pnamesuffix")],
-                           "outer").select("npi", *PARTS)
-    renamed = {p: other[p].withColumnsRenamed({f"{p}oth": f"__o_{p}"}) for p in PARTS}
-    alt = natural_join_all([renamed[p] for p in ("pfname", "plname", "pmname", "pnamesuffix")],
-                           "outer")
-    alt = natural_join(alt, own, "left", on=["npi"])
-    required = {p: F.coalesce(f"__o_{p}", p) for p in ("pfname", "plname")}
-    optional = ("pmname", "pnamesuffix")
-    filled = {**required, **{p: F.coalesce(f"__o_{p}", p) for p in optional}}
-    bare = {**required, **{p: F.col(f"__o_{p}") for p in optional}}
-    forms = F.array(*[F.struct(*[form[p].alias(p) for p in PARTS]) for form in (filled, bare)])
-    alt = (alt.select("npi", F.explode(forms).alias("__f"))
-           .select("npi", *[F.col(f"__f.{p}").alias(p) for p in PARTS]).distinct())
-    alt = anti_join(alt, own, on=["npi", *PARTS])
-    return (own.withColumn("othflag", F.lit(0))
-            .unionByName(alt.withColumn("othflag", F.lit(1))))
+    # one aggregate gathers a person's values of all eight parts, each as a set;
+    # combining them is work inside the row, with no join
+    kinds = [(0, legal[p].withColumnsRenamed({p: "v"}), p) for p in PARTS] + [
+        (1, other[p].withColumnsRenamed({f"{p}oth": "v"}), p) for p in PARTS]
+    stacked = reduce(lambda x, y: x.unionByName(y), [
+        df.select("npi", F.lit(side).alias("side"), F.lit(part).alias("part"), "v")
+        for side, df, part in kinds])
+    value = F.struct("v")
+
+    def values(side: int, part: str) -> Column:
+        return F.collect_set(F.when((F.col("side") == side) & (F.col("part") == part), value))
+
+    sets = stacked.groupBy("npi").agg(*[values(side, part).alias(f"{side}{part}")
+                                        for side in (0, 1) for part in PARTS])
+    nothing = F.array(F.struct(F.lit(None).cast("string").alias("v")))
+
+    def combined(side: int) -> Column:
+        """Every combination of a side's parts; none if the side has no part."""
+        out = F.array(F.struct(F.lit(0).alias("none")))
+        for i, part in enumerate(PARTS):
+            here = F.when(F.size(f"{side}{part}") > 0, F.col(f"{side}{part}")).otherwise(nothing)
+            out = _each_with(out, here, PARTS[:i], part)
+        some = reduce(lambda x, y: x + y, [F.size(f"{side}{part}") for part in PARTS])
+        return F.when(some > 0, out).otherwise(F.filter(out, lambda _: F.lit(False)))
+
+    def forms(alt: Column, own: Column) -> Column:
+        """An alternate completed from a legal name, and with its gaps left."""
+        first, last = (F.coalesce(alt[c], own[c]).alias(c) for c in ("pfname", "plname"))
+        middle, suffix = (F.coalesce(alt[c], own[c]).alias(c) for c in ("pmname", "pnamesuffix"))
+        return F.array(F.struct(first, middle, last, suffix),
+                       F.struct(first, alt["pmname"].alias("pmname"), last,
+                                alt["pnamesuffix"].alias("pnamesuffix")))
+
+    both = sets.select("npi", combined(0).alias("own"), combined(1).alias("alt"))
+    blank = F.array(F.struct(*[F.lit(None).cast("string").alias(c) for c in PARTS]))
+    base = F.when(F.size("own") > 0, F.col("own")).otherwise(blank)
+    alts = F.flatten(F.transform("alt", lambda a: F.flatten(F.transform(base, lambda o: forms(a, o)))))
+    flagged = lambda names, flag: F.transform(names, lambda n: F.struct(
+        *[n[c].alias(c) for c in PARTS], F.lit(flag).alias("othflag")))
+    rows = F.concat(flagged(F.col("own"), 0), flagged(F.array_except(alts, "own"), 1))
+    return both.select("npi", F.explode(rows).alias("n")).select(
+        "npi", *[F.col(f"n.{p}").alias(p) for p in PARTS], F.col("n.othflag").alias("othflag"))
 
 
 def _fold(df: DataFrame) -> DataFrame:
@@ -51,7 +85,8 @@ def _fold(df: DataFrame) -> DataFrame:
 
 
 def clean_full_names(df: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-    df = purge_symbols(df, NAME, ["?", "+", "[", "]", ";"], ["npi"])
+    # judged and filtered: read twice, made once
+    df = purge_symbols(cut(df), NAME, ["?", "+", "[", "]", ";"], ["npi"])
     df = df.withColumn("pmname", drop_lone_initial_period("pmname"))
     df = df.withColumns({c: drop_chars(F.trim(c), "+[];") for c in NAME})
     return _fold(resolve_parentheses(_fold(df), overrides))
