@@ -1,10 +1,14 @@
 """Linking a list without ids to the registry, one to one, tier by tier.
 
 A match survives only when it is unique on the list side and then on the
-registry side. So a shared name never needs its pairs spelled out: per key the
-smallest and the largest registry id tell whether there is exactly one, and a
-list entry is settled when all its keys point at the same id. Every step is
-linear in its inputs, however common a name is.
+registry side. Attributes attach independently, so two ids match on a name and
+some attributes exactly if they share the name and, attribute by attribute, a
+value. Candidates are therefore paired by name once per source, with one bit
+per attribute they agree on; every tier, source and name priority is a filter
+on that stored table. A name that would make more than ``NAME_PAIRS`` pairs is
+never spelled out: per key the smallest and the largest registry id tell
+whether there is exactly one, so it stays linear however common it is, and
+both kinds of candidates are settled together.
 """
 
 from __future__ import annotations
@@ -38,14 +42,25 @@ class Source:
     name_keys: Sequence[str] = ("name",)
 
 
-def conform(source: Source, wanted: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+def conform(source: Source, wanted: Sequence[str], extra: Sequence[str] = (),
+            within: DataFrame | None = None) -> DataFrame:
     """(id, name keys, wanted attributes): every name with every combination
-    of the id's attribute values, as they attach independently."""
-    cols = [source.id, *source.name_keys, *extra]
-    out = source.names.select(*cols).distinct()
+    of the id's attribute values, as they attach independently.
+
+    ``within`` holds the keys of the other side. Rows are narrowed to those
+    after the names and after each attribute, so an id with many names and
+    places never makes combinations that could not match.
+    """
+    keys = list(source.name_keys)
+    out = source.names.select(source.id, *keys, *extra).distinct()
+    if within is not None:
+        out = semi_join(out, within.select(*keys).distinct(), on=keys)
     for a in wanted:
         out = natural_join(out, source.attributes[a].select(source.id, a).distinct(),
                            on=[source.id], null_equal=False)
+        keys.append(a)
+        if within is not None:
+            out = semi_join(out, within.select(*keys).distinct(), on=keys)
     return out
 
 
@@ -73,68 +88,157 @@ def _free(df: DataFrame, found: DataFrame | None, id_column: str) -> DataFrame:
     return anti_join(df, found.select(id_column), on=[id_column], null_equal=False)
 
 
+def _all(frames: Sequence[DataFrame]) -> DataFrame | None:
+    return reduce(lambda a, b: a.unionByName(b), frames) if frames else None
+
+
 def match_by_order(listed: DataFrame, target: DataFrame, id_use: str, id_target: str,
                    keys: Sequence[str], orders: Sequence[int],
                    found: DataFrame | None = None) -> DataFrame:
     """Clean matches for each name priority in turn; each round blocks the
-    ids the rounds before matched. ``found`` grows by (ids, ``order``)."""
+    ids the rounds before matched and is written once. ``found`` grows by
+    (ids, ``order``)."""
     listed, target = _free(listed, found, id_use), _free(target, found, id_target)
-    new = None
+    rounds: list[DataFrame] = []
     for o in orders:
-        m = clean_matches(listed.where(F.col("order") == o), target, id_use, id_target,
-                          keys, new).withColumn("order", F.lit(o))
-        new = cut(m if new is None else new.unionByName(m))
-    return new if found is None else found.unionByName(new)
+        rounds.append(cut(clean_matches(listed.where(F.col("order") == o), target, id_use, id_target,
+                                        keys, _all(rounds)).withColumn("order", F.lit(o))))
+    return _all(rounds if found is None else [found, *rounds])
+
+
+ATTRIBUTES = ["practitioner_type", "state", "zip5", "tel"]
+NAME_PAIRS = 10_000       # candidate pairs one name may make in a source
 
 
 class TieredLinkage:
     """Chained tiers, open branches and a punctuation-free pass.
 
-    ``targets`` are tried in order within a tier. ``type_filtered`` lists the
-    types a target may have when type is among the attributes.
+    ``targets`` are tried in order within a tier. ``types`` lists the types a
+    target may have when type is among the attributes.
     """
 
     def __init__(self, listed: Source, targets: Sequence[Source],
-                 types: Sequence[str] = S.LINK_TYPES, orders: Sequence[int] | None = None):
-        self.listed, self.targets, self.types = listed, list(targets), list(types)
+                 types: Sequence[str] = S.LINK_TYPES, orders: Sequence[int] | None = None,
+                 name_pairs: int = NAME_PAIRS):
+        self.targets, self.types = list(targets), list(types)
         names = cut(listed.names)
         self.listed = Source(listed.id, names, listed.attributes, listed.name_keys)
         self.target_id = targets[0].id
+        self._values = cut(self._sets(self.listed, names.select(listed.id).distinct()))
+        frequent = cut(_all([self._frequent(i, t, name_pairs) for i, t in enumerate(self.targets)]))
+        # a few source numbers
+        self.crowded = {r[0] for r in frequent.select("source").distinct().collect()}
+        self._names_in = frequent
+        self.candidates = cut(_all([self._candidates(i, t) for i, t in enumerate(self.targets)]))
+        # at most sources x priorities x 16 rows: rounds without a candidate are not run
+        self.counts = [(r["source"], r["order"], r["mask"]) for r in self.candidates.select(
+            "source", "order", "mask").distinct().collect()]
         if orders is None:
             # priorities are a handful of small integers by construction
             orders = sorted(r[0] for r in names.select("order").distinct().collect())
         self.orders = list(orders)
 
+    def _shared(self, target: Source) -> list[str]:
+        return [k for k in self.listed.name_keys if k in target.name_keys]
+
+    def _typed(self, target: Source) -> Source:
+        attributes = dict(target.attributes)
+        if "practitioner_type" in attributes:
+            attributes["practitioner_type"] = attributes["practitioner_type"].where(
+                F.col("practitioner_type").isin(self.types))
+        return Source(target.id, target.names, attributes, target.name_keys)
+
+    def _frequent(self, i: int, target: Source, limit: int) -> DataFrame:
+        """(source, name keys) that would make more than ``limit`` pairs."""
+        keys = self._shared(target)
+        sizes = [side.names.select(side.id, *keys).distinct().groupBy(*keys).agg(
+            F.count(F.lit(1)).alias(n)) for side, n in ((self.listed, "__l"), (target, "__r"))]
+        both = natural_join(*sizes, on=keys).where(F.col("__l") * F.col("__r") > limit)
+        missing = [k for k in self.listed.name_keys if k not in keys]
+        return both.select(F.lit(i).alias("source"), *keys,
+                           *[F.lit(None).cast("string").alias(k) for k in missing])
+
+    @staticmethod
+    def _sets(source: Source, ids: DataFrame) -> DataFrame:
+        """One row per id of ``ids``: the values of each attribute as a set; a
+        null value is a value, an id without any has no set."""
+        rows = _all([semi_join(source.attributes[a], ids, on=[source.id], null_equal=False).select(
+            source.id, F.lit(a).alias("__a"), F.coalesce(F.col(a), F.lit("\0")).alias("__v"))
+            for a in ATTRIBUTES if a in source.attributes])
+        return rows.groupBy(source.id).agg(*[
+            F.collect_set(F.when(F.col("__a") == a, F.col("__v"))).alias(f"__{a}") for a in ATTRIBUTES])
+
+    def _candidates(self, i: int, target: Source) -> DataFrame:
+        """(source, list id, registry id, order, mask) of ids that share a name."""
+        keys, target = self._shared(target), self._typed(target)
+        mine = self.listed.names.select(self.listed.id, *keys, "order").distinct()
+        theirs = target.names.select(target.id, *keys).distinct()
+        if i in self.crowded:
+            crowded = self._names_in.where(F.col("source") == i).select(*keys)
+            mine = anti_join(mine, crowded, on=keys)
+        pairs = join_group_stats(theirs, mine, keys, how="inner").select(
+            self.listed.id, target.id, "order").distinct()
+        sets = self._sets(target, pairs.select(target.id).distinct())
+        there = {f"__{a}": f"__t_{a}" for a in ATTRIBUTES}
+        pairs = join_group_stats(pairs, self._values, [self.listed.id])
+        pairs = join_group_stats(pairs, sets.withColumnsRenamed(there), [target.id])
+        mask = reduce(lambda x, y: x + y, [
+            F.when(F.arrays_overlap(f"__{a}", f"__t_{a}"), 1 << n).otherwise(0)
+            for n, a in enumerate(ATTRIBUTES)])
+        return pairs.select(F.lit(i).alias("source"), self.listed.id, target.id, "order",
+                            mask.alias("mask"))
+
+    def _crowd(self, i: int, attributes: Sequence[str], found: DataFrame | None
+               ) -> tuple[DataFrame, DataFrame, list[str]] | None:
+        """Keys of both sides under the source's frequent names, not yet matched."""
+        if i not in self.crowded:
+            return None
+        keys = self._shared(self.targets[i])
+        names = self._names_in.where(F.col("source") == i).select(*keys)
+
+        def under(source: Source) -> Source:
+            return Source(source.id, semi_join(source.names, names, on=keys), source.attributes, keys)
+
+        mine = cut(_free(conform(under(self.listed), attributes, ["order"]), found, self.listed.id))
+        theirs = cut(_free(conform(under(self._typed(self.targets[i])), attributes, (), mine), found,
+                           self.target_id))
+        return mine, theirs, [*keys, *attributes]
+
+    def _round(self, i: int, order: int, bits: int, crowd, found: DataFrame | None) -> DataFrame:
+        """Clean matches of one source and name priority."""
+        a, b = self.listed.id, self.target_id
+        near = self.candidates.where((F.col("source") == i) & (F.col("order") == order)
+                                     & (F.col("mask").bitwiseAND(F.lit(bits)) == bits))
+        near = _free(_free(near, found, a), found, b)
+        hits = near.groupBy(a).agg(F.min(b).alias("__lo"), F.max(b).alias("__hi"))
+        if crowd is not None:
+            mine, theirs, keys = crowd
+            per_key = _free(theirs, found, b).groupBy(*keys).agg(
+                F.min(b).alias("__lo"), F.max(b).alias("__hi"))
+            mine = _free(mine.where(F.col("order") == order), found, a).select(a, *keys)
+            more = join_group_stats(mine, per_key, keys, how="inner").select(a, "__lo", "__hi")
+            hits = hits.unionByName(more).groupBy(a).agg(F.min("__lo").alias("__lo"),
+                                                         F.max("__hi").alias("__hi"))
+        sure = hits.where(F.col("__lo") == F.col("__hi")).select(a, F.col("__lo").alias(b))
+        return only_unique(sure, [b]).withColumn("order", F.lit(order))
+
     def tier(self, attributes: Sequence[str], found: DataFrame | None) -> DataFrame:
         """All targets, all name priorities, on the given attributes."""
-        mine = {}
-        for target in self.targets:
-            shared = tuple(k for k in self.listed.name_keys if k in target.name_keys)
-            keys = [*shared, *attributes]
-            if shared not in mine:
-                narrowed = Source(self.listed.id, self.listed.names, self.listed.attributes,
-                                  shared)
-                mine[shared] = cut(conform(narrowed, attributes, extra=["order"]))
-            there = conform(Source(target.id, target.names, target.attributes, shared),
-                            attributes)
-            if "practitioner_type" in attributes:
-                there = there.where(F.col("practitioner_type").isin(self.types))
-            # only free ids under keys both sides hold can match: the rounds
-            # read those alone
-            theirs = _free(there, found, self.target_id)
-            ours = _free(mine[shared], found, self.listed.id)
-            theirs = cut(semi_join(theirs, mine[shared].select(*keys).distinct(), on=keys))
-            ours = cut(semi_join(ours, theirs.select(*keys).distinct(), on=keys))
-            present = {r[0] for r in ours.select("order").distinct().collect()}
-            orders = [o for o in self.orders if o in present]
-            if orders:
-                new = match_by_order(ours, theirs, self.listed.id, self.target_id, keys, orders)
-                found = cut(new if found is None else found.unionByName(new))
-        if found is None:
-            empty = mine[shared].limit(0)
-            found = empty.select(self.listed.id, F.lit(None).cast(
-                theirs.schema[self.target_id].dataType).alias(self.target_id), "order")
-        return found
+        bits = sum(1 << ATTRIBUTES.index(a) for a in attributes)
+        new: list[DataFrame] = []
+        for i in range(len(self.targets)):
+            done = _all([d for d in [found, *new] if d is not None])
+            crowd = self._crowd(i, attributes, done)
+            for o in self.orders:
+                if crowd is None and not any(s == i and p == o and m & bits == bits
+                                             for s, p, m in self.counts):
+                    continue
+                done = _all([d for d in [found, *new] if d is not None])
+                new.append(cut(self._round(i, o, bits, crowd, done)))
+        if not new:
+            return found if found is not None else self.candidates.select(
+                self.listed.id, self.target_id, "order").limit(0)
+        return cut(_all([d for d in [found, *new] if d is not None]))
 
     def run(self, chained: Sequence[Sequence[str]] = S.CHAINED_TIERS,
             branches: Sequence[Sequence[str]] = S.OPEN_BRANCHES,
@@ -207,6 +311,15 @@ def registry_source(names: DataFrame, types: DataFrame, state: DataFrame, zips:
     })
 
 
+def secondary_source(names: DataFrame, types: DataFrame, locations: DataFrame,
+                     link_types: Sequence[str] = S.LINK_TYPES) -> Source:
+    """The registry's secondary locations (``ploc2...``), under its own names."""
+    def renamed(column: str) -> DataFrame:
+        return locations.select("npi", F.col(f"ploc2{column}").alias(f"ploc{column}"))
+
+    return registry_source(names, types, renamed("statename"), renamed("zip"), renamed("tel"), link_types)
+
+
 def directory_source(names: DataFrame, types: DataFrame, directory: DataFrame) -> Source:
     """The clinician directory. It shares the suffix column with the list."""
     kind = (F.when(F.col("credential").isin("MD", "DO"), "MD/DO")
@@ -219,6 +332,20 @@ def directory_source(names: DataFrame, types: DataFrame, directory: DataFrame) -
     }, ("name", "Suffix"))
 
 
+def crosswalk(people: DataFrame, list_names: DataFrame, names: DataFrame, types: DataFrame,
+              state: DataFrame, zips: DataFrame, phones: DataFrame, directory_names: DataFrame,
+              directory_types: DataFrame, directory: DataFrame, secondary: DataFrame,
+              link_types: Sequence[str] = S.LINK_TYPES, orders: Sequence[int] | None = None,
+              **tiers) -> DataFrame:
+    """From panels, directory and licence list to the one-to-one crosswalk:
+    registry locations first, then the directory, then secondary locations.
+    ``tiers`` are those of ``TieredLinkage.run``."""
+    sources = [registry_source(names, types, state, zips, phones, link_types),
+               directory_source(directory_names, directory_types, directory),
+               secondary_source(names, types, secondary, link_types)]
+    return TieredLinkage(list_source(people, list_names), sources, link_types, orders).run(**tiers)
+
+
 # ----------------------------------------------------------- death records
 
 def death_matches(cases: DataFrame, names: DataFrame, case_id: str, first: str, middle: str,
