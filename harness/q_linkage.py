@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from harness.registry import query
+from rosterlake import schemas as S
 from rosterlake.operators.joins import natural_join, semi_join
 from rosterlake.operators.reshape import numbered_columns
 from rosterlake.plans import linkage as L
+from rosterlake.sources.crosswalk import attach_crosswalk, read_crosswalk, store_crosswalk
 
 
 _ATTRS = ["practitioner_type", "state", "zip5", "tel"]
@@ -59,6 +63,24 @@ class _Sql:
                 found = self.round(attrs, target, o, found)
         return found
 
+    def finish(self, base, loose):
+        """Union of the branches, unique both ways, and the punctuation-free pass."""
+        s = self
+        u = s.add(f"SELECT * FROM ({' UNION '.join(loose)}) EXCEPT SELECT samhsa_id, npi FROM {base}")
+        a = s.add(f"SELECT samhsa_id, min(npi) AS npi FROM {u} GROUP BY 1 HAVING count(*) = 1")
+        b = s.add(f"SELECT min(samhsa_id) AS samhsa_id, npi FROM {a} GROUP BY 2 HAVING count(*) = 1")
+        fin = s.add(f"SELECT samhsa_id, npi FROM {base} UNION SELECT samhsa_id, npi FROM {b}")
+
+        def flat(c):
+            return f"replace(replace(replace({c}, '''', ''), '-', ''), ' ', '')"
+
+        x = s.add(f"SELECT DISTINCT samhsa_id, {flat('name')} AS f FROM l WHERE samhsa_id NOT IN (SELECT samhsa_id FROM {fin})")
+        y = s.add(f"SELECT DISTINCT npi, {flat('name')} AS f FROM r0")
+        p = s.add(f"SELECT samhsa_id, min(npi) AS npi, max(length({x}.f)) AS n FROM {x} JOIN {y} ON {x}.f = {y}.f GROUP BY 1 HAVING count(DISTINCT npi) = 1")
+        q = s.add(f"SELECT min(samhsa_id) AS samhsa_id, npi, max(n) AS n FROM {p} GROUP BY 2 HAVING count(*) = 1")
+        return s.text(f"SELECT samhsa_id, npi FROM {fin} UNION ALL SELECT samhsa_id, npi FROM {q} WHERE n >= 10 "
+                      f"AND npi NOT IN (SELECT npi FROM {fin})")
+
     def text(self, tail):
         return "WITH " + ",\n".join(self.parts) + "\n" + tail
 
@@ -109,20 +131,7 @@ def _l8():
     for attrs in _MIDDLE:
         loose.append(f"SELECT samhsa_id, npi FROM {s.tier(attrs, base)} WHERE ord = 1 AND samhsa_id IN "
                      "(SELECT samhsa_id FROM l WHERE middlename <> '' AND ord = 1)")
-    u = s.add(f"SELECT * FROM ({' UNION '.join(loose)}) EXCEPT SELECT samhsa_id, npi FROM {base}")
-    a = s.add(f"SELECT samhsa_id, min(npi) AS npi FROM {u} GROUP BY 1 HAVING count(*) = 1")
-    b = s.add(f"SELECT min(samhsa_id) AS samhsa_id, npi FROM {a} GROUP BY 2 HAVING count(*) = 1")
-    fin = s.add(f"SELECT samhsa_id, npi FROM {base} UNION SELECT samhsa_id, npi FROM {b}")
-
-    def flat(c):
-        return f"replace(replace(replace({c}, '''', ''), '-', ''), ' ', '')"
-
-    x = s.add(f"SELECT DISTINCT samhsa_id, {flat('name')} AS f FROM l WHERE samhsa_id NOT IN (SELECT samhsa_id FROM {fin})")
-    y = s.add(f"SELECT DISTINCT npi, {flat('name')} AS f FROM r0")
-    p = s.add(f"SELECT samhsa_id, min(npi) AS npi, max(length({x}.f)) AS n FROM {x} JOIN {y} ON {x}.f = {y}.f GROUP BY 1 HAVING count(DISTINCT npi) = 1")
-    q = s.add(f"SELECT min(samhsa_id) AS samhsa_id, npi, max(n) AS n FROM {p} GROUP BY 2 HAVING count(*) = 1")
-    return s.text(f"SELECT samhsa_id, npi FROM {fin} UNION ALL SELECT samhsa_id, npi FROM {q} WHERE n >= 10 "
-                  f"AND npi NOT IN (SELECT npi FROM {fin})")
+    return s.finish(base, loose)
 
 
 @query("l8_tiered_match", _USES, _l8())
@@ -132,6 +141,64 @@ def _(t):
     return run.run(chained=_CHAIN, branches=_OPEN, middle_branches=_MIDDLE)
 
 
+def _s16():
+    s = _Sql()
+    out = s.round(["state"], "r0", 1, None)
+    return s.text(f"SELECT DISTINCT t.npi, t.name, samhsa_id FROM {out} JOIN link_target t ON {out}.npi = t.npi")
+
+
+def _three():
+    """All ten tiers on registry locations, directory and secondary locations."""
+    s = _Sql()
+    s.parts.append("r2 AS (SELECT npi, name, practitioner_type, CASE WHEN state IS NOT NULL THEN 'ZZ' END AS state, zip5, tel FROM r0 WHERE npi % 2 = 0)")
+    at = ("r0", "r1", "r2")
+    base = None
+    for attrs in S.CHAINED_TIERS:
+        base = s.tier(attrs, base, at)
+    loose = [f"SELECT samhsa_id, npi FROM {s.tier(attrs, base, at)}" for attrs in S.OPEN_BRANCHES]
+    loose += [f"SELECT samhsa_id, npi FROM {s.tier(attrs, base, at)} WHERE ord = 1 AND samhsa_id IN "
+              "(SELECT samhsa_id FROM l WHERE middlename <> '' AND ord = 1)" for attrs in S.MIDDLE_NAME_BRANCHES]
+    return s.finish(base, loose)
+
+
+def _people_of(t):
+    """The stand-ins in the shapes that the sources are read from."""
+    mine, theirs = t.link_attr.where("side = 1"), t.link_attr.where("side = 0").withColumnRenamed("k", "npi")
+    people = mine.select(F.col("k").alias("samhsa_id"), F.col("practitioner_type").alias("PractitionerType"),
+                         F.col("state").alias("State"), F.concat("zip5", F.lit("-0000")).alias("Zip"),
+                         F.concat(F.lit("("), F.col("tel"), F.lit(")")).alias("Phone"))
+    types = theirs.select("npi", *[(F.col("practitioner_type") == p).cast("int").alias(p) for p in S.LINK_TYPES])
+    place = theirs.select("npi", F.col("state").alias("plocstatename"), F.col("zip5").alias("ploczip"),
+                          F.col("tel").alias("ploctel"))
+    second = place.where("npi % 2 = 0").select(
+        "npi", F.when(F.col("plocstatename").isNotNull(), "ZZ").alias("ploc2statename"),
+        F.col("ploczip").alias("ploc2zip"), F.col("ploctel").alias("ploc2tel"))
+    directory = theirs.where("npi % 3 <> 1").select("npi", "state", F.col("zip5").alias("zip"), F.col("tel").alias("phone"))
+    listed_types = theirs.where("npi % 3 <> 1").select("npi", F.when(F.col("practitioner_type") == "MD/DO", "MD").otherwise(
+        F.col("practitioner_type")).alias("credential"))
+    names = t.link_target
+    return dict(people=people, list_names=t.link_list.withColumnRenamed("ord", "order"), names=names.drop("Suffix"),
+                types=types, state=place, zips=place, phones=place,
+                directory_names=names.where("npi % 3 <> 1").withColumnRenamed("Suffix", "suffix"),
+                directory_types=listed_types, directory=directory, secondary=second)
+
+
+@query("l8_three_sources", _USES, _three())
+def _(t):
+    return L.crosswalk(**_people_of(t))
+
+
+@query("s16_stored_crosswalk", _USES, _s16())
+def _(t):
+    """Matches stored in buckets, read back and joined to who they are."""
+    listed, primary, _ = _sources(t)
+    found = L.TieredLinkage(listed, [primary], orders=[1]).tier(["state"], None)
+    table = f"crosswalk_{uuid.uuid4().hex}"
+    store_crosswalk(found, table, buckets=8)
+    return attach_crosswalk(t.link_target.select("npi", "name").distinct(),
+                            read_crosswalk(t.spark, table, check=True))
+
+
 _DEATH = """c AS (SELECT case_id, upper(trim(first)) AS f, replace(upper(trim(coalesce(middle, ''))), '.', '') AS m, upper(trim(last)) AS l FROM deaths),
     p AS (SELECT case_id, npi, m, pmname FROM c JOIN death_names ON f = pfname AND l = plname),
     bad AS (SELECT case_id, npi FROM p WHERE m <> pmname AND ((length(m) > 1 AND length(pmname) > 1) OR (length(m) = 1 AND length(pmname) = 1))),

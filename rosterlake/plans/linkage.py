@@ -204,18 +204,16 @@ class TieredLinkage:
                            self.target_id))
         return mine, theirs, [*keys, *attributes]
 
-    def _round(self, i: int, order: int, bits: int, crowd, found: DataFrame | None) -> DataFrame:
-        """Clean matches of one source and name priority."""
+    def _round(self, near: DataFrame, order: int, crowd, new: DataFrame | None) -> DataFrame:
+        """Clean matches of one source and name priority, ``new`` ids blocked."""
         a, b = self.listed.id, self.target_id
-        near = self.candidates.where((F.col("source") == i) & (F.col("order") == order)
-                                     & (F.col("mask").bitwiseAND(F.lit(bits)) == bits))
-        near = _free(_free(near, found, a), found, b)
+        near = _free(_free(near, new, a), new, b)
         hits = near.groupBy(a).agg(F.min(b).alias("__lo"), F.max(b).alias("__hi"))
         if crowd is not None:
             mine, theirs, keys = crowd
-            per_key = _free(theirs, found, b).groupBy(*keys).agg(
+            per_key = _free(theirs, new, b).groupBy(*keys).agg(
                 F.min(b).alias("__lo"), F.max(b).alias("__hi"))
-            mine = _free(mine.where(F.col("order") == order), found, a).select(a, *keys)
+            mine = _free(mine.where(F.col("order") == order), new, a).select(a, *keys)
             more = join_group_stats(mine, per_key, keys, how="inner").select(a, "__lo", "__hi")
             hits = hits.unionByName(more).groupBy(a).agg(F.min("__lo").alias("__lo"),
                                                          F.max("__hi").alias("__hi"))
@@ -223,22 +221,32 @@ class TieredLinkage:
         return only_unique(sure, [b]).withColumn("order", F.lit(order))
 
     def tier(self, attributes: Sequence[str], found: DataFrame | None) -> DataFrame:
-        """All targets, all name priorities, on the given attributes."""
+        """All targets, all name priorities, on the given attributes.
+
+        What is still free is filtered and written once for the tier; a source
+        and priority without a free candidate costs nothing.
+        """
         bits = sum(1 << ATTRIBUTES.index(a) for a in attributes)
+        near = self.candidates.where(F.col("mask").bitwiseAND(F.lit(bits)) == bits).drop("mask")
+        open_ = {(s, o) for s, o, m in self.counts if m & bits == bits}
+        if open_ and found is not None:
+            near = cut(_free(_free(near, found, self.listed.id), found, self.target_id))
+            # at most sources x priorities rows
+            open_ = {(r[0], r[1]) for r in near.select("source", "order").distinct().collect()}
         new: list[DataFrame] = []
         for i in range(len(self.targets)):
-            done = _all([d for d in [found, *new] if d is not None])
-            crowd = self._crowd(i, attributes, done)
+            crowd = self._crowd(i, attributes, found)
             for o in self.orders:
-                if crowd is None and not any(s == i and p == o and m & bits == bits
-                                             for s, p, m in self.counts):
+                if crowd is None and (i, o) not in open_:
                     continue
-                done = _all([d for d in [found, *new] if d is not None])
-                new.append(cut(self._round(i, o, bits, crowd, done)))
-        if not new:
-            return found if found is not None else self.candidates.select(
-                self.listed.id, self.target_id, "order").limit(0)
-        return cut(_all([d for d in [found, *new] if d is not None]))
+                made = cut(self._round(near.where((F.col("source") == i) & (F.col("order") == o)),
+                                       o, crowd, _all(new)))
+                if not made.isEmpty():
+                    new.append(made)
+        if new:
+            return cut(_all(new if found is None else [found, *new]))
+        return found if found is not None else self.candidates.select(
+            self.listed.id, self.target_id, "order").limit(0)
 
     def run(self, chained: Sequence[Sequence[str]] = S.CHAINED_TIERS,
             branches: Sequence[Sequence[str]] = S.OPEN_BRANCHES,

@@ -184,6 +184,75 @@ def test_crosswalk_is_one_to_one_and_uses_tiers(spark):
     assert rows(out) == [(1, 11), (2, 12), (3, 13), (4, 14)]
 
 
+def _two_sides(spark, seed=4):
+    rnd = random.Random(seed)
+    names = [f"N{i} {c}" for i in range(12) for c in "AB"] + ["COMMON NAME"] * 12
+    def side(ids, id_, extra):
+        made = [(i, n, *extra(k)) for i in ids for k, n in enumerate(dict.fromkeys(rnd.sample(names, 2)), 1)]
+        attrs = {a: [(i, rnd.choice(["p", "q", "r", None])) for i in ids for _ in range(rnd.choice([1, 1, 2]))]
+                 for a in L.ATTRIBUTES}
+        return made, {a: spark.createDataFrame(v, f"{id_} int, {a} string").distinct() for a, v in attrs.items()}
+    mine, a = side(range(1, 60), "samhsa_id", lambda k: ("", "", k))
+    theirs, b = side(range(100, 160), "npi", lambda k: ())
+    b["practitioner_type"] = b["practitioner_type"].na.fill("MD/DO")
+    listed = L.Source("samhsa_id", spark.createDataFrame(
+        mine, "samhsa_id int, name string, middlename string, Suffix string, order int"), a, ("name", "Suffix"))
+    return listed, L.Source("npi", spark.createDataFrame(theirs, "npi int, name string"), b)
+
+
+def test_frequent_names_match_the_same_way(spark):
+    """No pairs at all, some, and all of them lead to the same matches."""
+    listed, target = _two_sides(spark)
+    found = []
+    for limit in (0, 30, 10 ** 9):
+        link = L.TieredLinkage(listed, [target], ["p", "q", "MD/DO"], name_pairs=limit)
+        first = link.tier(["state", "tel"], None)
+        found.append(rows(link.tier([], link.tier(["practitioner_type"], first))))
+        assert bool(link.crowded) == (limit < 10 ** 9)
+    assert found[0] == found[1] == found[2] and len(found[0]) > 5
+
+
+def test_an_id_with_many_names_and_places_stays_small(spark):
+    """20 spellings and 200 places of one id would combine to 4,000 rows for
+    each attribute pair; narrowed, no step holds more than the list's keys."""
+    names = spark.createDataFrame([(1, f"S{i}") for i in range(20)], "npi int, name string")
+    attrs = {a: spark.createDataFrame([(1, f"{a}{i}") for i in range(200)], f"npi int, {a} string")
+             for a in ("state", "zip5")}
+    within = spark.createDataFrame([(f"S{i}", "state7", f"zip5{i}") for i in range(5)],
+                                   "name string, state string, zip5 string")
+    source = L.Source("npi", names, attrs)
+    assert L.conform(source, ["state"]).count() == 4000
+    assert L.conform(source, ["state"], within=within).count() == 5
+    assert L.conform(source, ["state", "zip5"], within=within).count() == 5
+
+
+def test_stored_crosswalk_is_not_moved(spark):
+    from rosterlake.operators.quality import AuditError
+    from rosterlake.sources import crosswalk as C
+    pairs = spark.range(500).select(F.col("id").alias("samhsa_id"), (F.col("id") + 1000).alias("npi"))
+    table = f"crosswalk_test_{random.randint(0, 10 ** 9)}"
+    C.store_crosswalk(pairs, table, buckets=8)
+    stored = C.read_crosswalk(spark, table, check=True)
+    people = spark.range(1000, 1400).select(F.col("id").alias("npi"))
+    out = C.attach_crosswalk(people, stored)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 400 and plan.count("Exchange ") == 1 and "Bucketed: true" in plan
+    both = C.read_crosswalk(spark, table).withColumnRenamed("samhsa_id", "other")
+    plan = C.attach_crosswalk(both, stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 0
+    with pytest.raises(AuditError):
+        C.store_crosswalk(pairs.unionByName(pairs.selectExpr("samhsa_id + 1 AS samhsa_id", "npi")), table)
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_names_are_cleaned_in_few_exchanges(spark):
+    part = lambda c, v: spark.createDataFrame([(1, v), (2, v + "?")], f"npi int, {c} string")
+    legal = {p: part(p, "A") for p in N.PARTS}
+    other = {p: part(f"{p}oth", "B") for p in N.PARTS}
+    plan = N.clean_full_names(N.full_names(legal, other))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") <= 15
+
+
 def test_conflicting_middle_names(spark):
     cases = spark.createDataFrame([(1, "ann", "q.", "lee"), (2, "Ann", "Quinn", "Lee"), (3, "Ann", None, "Lee")],
                                   "c int, f string, m string, l string")
