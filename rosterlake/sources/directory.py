@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rosterlake import schemas as S
 from rosterlake.functions.dates import detect_date
 from rosterlake.operators.quality import value_or_error
-from rosterlake.sources.files import (harmonize, list_files, read_text_table,
-                                      union_vintages, whole_files)
+from rosterlake.sources.files import (harmonize, list_files, read_groups, read_text_table,
+                                      union_vintages, whole_files, with_path)
 
 # Vintages read without header (one repeats it as a data row).
 HEADERLESS = {"2014-03-01", "2014-06-01"}
@@ -75,13 +75,18 @@ def read_directory(spark: SparkSession, root: str, columns: Sequence[str],
     """The wanted canonical columns of all snapshots, typed."""
     files = (whole_files(list_files(spark, root, "*.csv"))
              .withColumn("date", detect_date(F.element_at(F.split("path", "/"), -1))))
-    dated = {r["path"]: r["date"] for r in files.collect()}
+    dated = {r["path"]: str(r["date"]) for r in files.collect()}
     wanted = ["npi", *[c for c in columns if c != "npi"]]
+    own_layout = HEADERLESS | EMPTY_COLUMNS
+    tables = [with_path(read_vintage(spark, p, d)) for p, d in sorted(dated.items()) if d in own_layout]
+    for bad in (False, True):
+        plain = [p for p, d in sorted(dated.items()) if d not in own_layout and (d in BAD_LINES) == bad]
+        tables += read_groups(spark, plain, drop_bad_lines=bad)
     frames = []
-    for path in sorted(dated):
-        date = dated[path]
-        df = harmonize(read_vintage(spark, path, str(date)), LONG_NAMES, wanted)
-        df = typed_directory(df)
-        frames.append(df.withColumn("date", F.lit(date)) if with_date else df)
+    for table in tables:
+        date = detect_date(F.element_at(F.split("__path", "/"), -1))
+        df = harmonize(table.withColumn("date", date), {**LONG_NAMES, "date": "date"},
+                       [*wanted, "date"] if with_date else wanted)
+        frames.append(typed_directory(df))
     out = union_vintages(frames)
     return out.distinct() if drop_duplicates else out

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import csv
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from rosterlake.functions.dates import month_number
 
+LOT = 100                 # files whose first lines one job reads
 SNAPSHOT = r"NPPES_Data_Dissemination_"
 
 
@@ -50,17 +52,22 @@ def snapshot_files(files: DataFrame, marker: str = "npidata_") -> DataFrame:
             .withColumn("month", snapshot_month("path")))
 
 
+def _week_day(path: Column, group: int) -> Column:
+    text = _part(path, SNAPSHOT + r"(\d{6,8})_(\d{6,8})", group)
+    return F.coalesce(F.try_to_date(text, "MMddyy"), F.try_to_date(text, "yyyyMMdd"))
+
+
+def week_start(path: str) -> Column:
+    """First day of the week a weekly file's path names."""
+    return _week_day(F.col(path), 1)
+
+
 def weekly_files(files: DataFrame) -> DataFrame:
     """(path, week start, week end) of the weekly files."""
     p = F.col("path")
-
-    def day(group: int) -> Column:
-        text = _part(p, SNAPSHOT + r"(\d{6,8})_(\d{6,8})", group)
-        return F.coalesce(F.try_to_date(text, "MMddyy"), F.try_to_date(text, "yyyyMMdd"))
-
     return (files.where(p.contains(SNAPSHOT) & p.contains("npidata_") & p.contains("Weekly")
                         & ~p.contains("eader"))
-            .withColumn("week", day(1)).withColumn("week_end", day(2)))
+            .withColumn("week", week_start("path")).withColumn("week_end", _week_day(p, 2)))
 
 
 def weekly_updates(files: DataFrame) -> DataFrame:
@@ -99,6 +106,7 @@ def read_text_table(spark: SparkSession, paths: Sequence[str] | str, sep: str =
         reader = reader.option("mode", "DROPMALFORMED").option("columnPruning", "false")
     if names is not None:
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    # with a header and names, the header line of every file is passed over
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
@@ -129,9 +137,44 @@ def union_vintages(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_each(paths: Sequence[str], read: Callable[[str], DataFrame]) -> DataFrame:
-    """Files whose headers may differ, each read by its own header."""
-    return union_vintages([read(p) for p in paths])
+def _column_names(header: str, sep: str) -> tuple[str, ...]:
+    """A header line's columns; a name that repeats gets its place, a blank
+    one a name of its own."""
+    fields = next(csv.reader([header.lstrip("\ufeff")], delimiter=sep), [])
+    lower = [f.lower() for f in fields]
+    return tuple(f"_c{i}" if not f else f"{f}{i}" if lower.count(f.lower()) > 1 else f
+                 for i, f in enumerate(fields))
+
+
+def header_catalogue(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[str, tuple]:
+    """The columns each file's header names. Only first lines are read, all in
+    one job for every ``LOT`` files; the layout of files, not data."""
+    out = {}
+    for at in range(0, len(paths), LOT):
+        lot = paths[at:at + LOT]
+        lines = [spark.read.text(p).limit(1).select(F.lit(i).alias("i"), "value") for i, p in enumerate(lot)]
+        for r in reduce(lambda a, b: a.unionByName(b), lines).collect():
+            out[lot[r["i"]]] = _column_names(r["value"], sep)
+    return out
+
+
+def read_groups(spark: SparkSession, paths: Sequence[str], sep: str = ",",
+                drop_bad_lines: bool = False) -> list[DataFrame]:
+    """One multi-path scan per header among the files, each with ``__path``,
+    the file a row came from."""
+    groups: dict[tuple, list[str]] = {}
+    for path, names in header_catalogue(spark, paths, sep).items():
+        groups.setdefault(names, []).append(path)
+    return [with_path(read_text_table(spark, files, sep, names=names, drop_bad_lines=drop_bad_lines))
+            for names, files in sorted(groups.items())]
+
+
+def with_path(df: DataFrame) -> DataFrame:
+    """``__path``: the landed file (a folder of parts named like a file is that
+    file), as it is listed."""
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    named = F.nullif(F.regexp_extract(path, r"^(.*?\.(?:csv|txt|dta))(?:/|$)", 1), F.lit(""))
+    return df.withColumn("__path", F.coalesce(named, path))
 
 
 def read_stata(spark: SparkSession, paths: Sequence[str] | str, columns: Sequence[str],

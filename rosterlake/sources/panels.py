@@ -11,9 +11,9 @@ from rosterlake.operators.joins import semi_join
 from rosterlake.operators.quality import value_or_error
 from rosterlake.operators.reshape import slots_to_long
 from rosterlake.operators.rows import sequence_in_group
-from rosterlake.sources.files import (harmonize, list_files, locate, paths_of, read_each,
+from rosterlake.sources.files import (harmonize, list_files, locate, paths_of, read_groups,
                                       read_stata, read_text_table, single_variable_files,
-                                      snapshot_files, snapshot_month, union_vintages, weekly_files,
+                                      snapshot_files, snapshot_month, union_vintages, week_start,
                                       weekly_updates, whole_files)
 
 
@@ -82,18 +82,12 @@ def snapshot_to_panel(wide: DataFrame, variable: str,
 
 def read_snapshots(spark: SparkSession, paths: Sequence[str], variable: str,
                    period: Mapping[str, Column]) -> DataFrame:
-    """Wide files, each by its own header, pruned to the variable's columns; a
+    """Wide files, one scan per header among them, pruned to the variable's columns; a
     secondary location needs its whole row for its number."""
     heads = (list(S.SECONDARY_HEADERS.values()) if variable in S.SECONDARY_HEADERS
              else S.headers_of(variable))
-    names = {h: h for h in ["NPI", *heads]}
-
-    def read(path: str) -> DataFrame:
-        table = read_text_table(spark, path)
-        return harmonize(table.withColumn("__path", F.col("_metadata.file_path")),
-                         {**names, "__path": "__path"})
-
-    wide = read_each(list(paths), read)
+    names = {h: h for h in ["NPI", *heads]} | {"__path": "__path"}
+    wide = union_vintages([harmonize(df, names) for df in read_groups(spark, list(paths))])
     return snapshot_to_panel(wide, variable, period).drop("__path")
 
 
@@ -140,10 +134,4 @@ def read_weeks(spark: SparkSession, folder: str, variable: str) -> DataFrame | N
     updates = paths_of(weekly_updates(whole_files(list_files(spark, folder))))
     if not updates:
         return None
-    week = weekly_files(spark.createDataFrame([(p,) for p in updates], "path string"))
-    starts = {r["path"]: r["week"] for r in week.collect()}
-    pick = F.lit(None).cast("date")
-    for path, day in starts.items():
-        tail = "/".join(path.split("/")[-2:])
-        pick = F.when(F.col("__path").contains(tail), F.lit(day)).otherwise(pick)
-    return read_snapshots(spark, updates, variable, {"week": pick})
+    return read_snapshots(spark, updates, variable, {"week": week_start("__path")})

@@ -229,3 +229,29 @@ def test_stream_reads_only_touched_months(spark, tmp_path, monkeypatch):
         weekly.upsert_weeks(batch, str(tmp_path), "pgender")
     line = next(x for x in plans[-1].splitlines() if "PartitionFilters" in x)
     assert "month" in line.split("PartitionFilters:")[1].split("]")[0] and "2020-02-01" in plans[-1]
+
+
+def test_many_files_are_as_many_scans_as_headers(spark, tmp_path):
+    """60 files with 3 headers: 3 branches, whatever the files' order, and the
+    year of each row from its own file."""
+    from rosterlake.sources import claims, files
+    heads = ["npi\tdrug\tn", "npi\tn\tdrug", "npi\tdrug\tn\textra"]
+    for i in range(60):
+        year, k = 2013 + i % 5, i % 3
+        row = {0: f"{i}\tA\t{year}", 1: f"{i}\t{year}\tA", 2: f"{i}\tA\t{year}\tz"}[k]
+        (tmp_path / f"PartD_NPI_DRUG_{i:03d}_{year}.txt").write_text(f"{heads[k]}\n{row}\n")
+    paths = files.paths_of(files.list_files(spark, str(tmp_path)))
+    assert len(files.read_groups(spark, paths, "\t")) == 3
+    out = claims.part_d(spark, str(tmp_path), columns=["npi", "drug", "n"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 3
+    got = out.collect()
+    assert len(got) == 60 and all(r.drug == "A" and r.n == str(r.Year) == str(2013 + int(r.npi) % 5) for r in got)
+
+
+def test_header_names_that_repeat_or_miss(spark, tmp_path):
+    from rosterlake.sources import files
+    (tmp_path / "a b+c.csv").write_text("npi,x,X,\n1,2,3,4\n")
+    df, = files.read_groups(spark, [f"file:{tmp_path}/a b+c.csv"])
+    assert df.columns == ["npi", "x1", "X2", "_c3", "__path"]
+    assert tuple(df.first())[:4] == ("1", "2", "3", "4") and df.first()["__path"].endswith("/a b+c.csv")
