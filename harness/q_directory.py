@@ -210,6 +210,79 @@ def _(t):
     return _part_d(t)["same_rows"]
 
 
+def _profile(df, name):
+    return df.withColumn("frame", F.lit(name))
+
+
+_COUNTS = ", ".join(["count(*) AS n_rows", "count(*) FILTER (WHERE {0} IS NULL) AS n_null",
+                     *[f"count(*) FILTER (WHERE {{0}} = {v}) AS n_{v}" for v in (0, 10, 11, 12)]])
+
+
+@query("m6_part_d_profiles", ["claims_summary", "claims_shown"], f"""
+    SELECT {_COUNTS.format("total_claim_count")}, 'summary' AS frame FROM claims_summary
+    UNION ALL SELECT {_COUNTS.format("total_claim_count")}, 'detail' FROM claims_shown
+    UNION ALL SELECT {_COUNTS.format("opioid_claim_count")}, 'opioid' FROM claims_summary
+      WHERE opioid_claim_count IS NULL OR opioid_claim_count <> 11""")
+def _(t):
+    got = _part_d(t)
+    out = [_profile(got[f"{n}_profile"], n) for n in ("summary", "detail", "opioid")]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+@query("m6_part_d_zero_in_detail", ["claims_summary", "claims_shown"], """
+    SELECT CASE WHEN d.npi IS NULL THEN 'left_only' ELSE 'both' END AS _merge, count(*) AS n
+    FROM (SELECT DISTINCT npi, Year FROM claims_summary WHERE opioid_claim_count = 0) s
+    LEFT JOIN (SELECT DISTINCT npi, Year FROM claims_shown) d ON s.npi = d.npi AND s.Year = d.Year GROUP BY 1""")
+def _(t):
+    return _part_d(t)["zero_in_detail"]
+
+
+@query("m6_part_d_id_differences", ["claims_summary"], """
+    SELECT npi, Year, 'left_only' AS _merge FROM claims_summary WHERE total_claim_count % 3 = 0""")
+def _(t):
+    """Person-years of the summary that an opioid file with gaps lacks."""
+    s = t.claims_summary.withColumn("la_opioid_claim_count", F.lit(0))
+    return C.part_d_info(s, t.claims_shown, s.where("total_claim_count % 3 <> 0"))["id_differences"]
+
+
+@query("m6_part_d_duplicates", ["claims_summary", "claims_shown"], """
+    WITH s AS (SELECT npi, Year FROM claims_summary UNION ALL SELECT npi, Year FROM claims_summary WHERE npi % 5 = 0),
+    d AS (SELECT npi, Year, drug_name, generic_name FROM claims_shown UNION ALL
+      SELECT npi, Year, drug_name, generic_name FROM claims_shown WHERE npi % 3 = 0)
+    SELECT npi, Year, CAST(NULL AS BIGINT) AS drug_name, CAST(NULL AS VARCHAR) AS generic_name, count(*) AS n
+      FROM s GROUP BY 1, 2 HAVING count(*) > 1
+    UNION ALL SELECT npi, Year, drug_name, generic_name, count(*) FROM d GROUP BY 1, 2, 3, 4 HAVING count(*) > 1""")
+def _(t):
+    """Rows of both files that break their grain, on files with repeated rows."""
+    s = t.claims_summary.withColumn("la_opioid_claim_count", F.lit(0))
+    s = s.unionByName(s.where("npi % 5 = 0"))
+    d = t.claims_shown.unionByName(t.claims_shown.where("npi % 3 = 0"))
+    got = C.part_d_info(s, d, s)
+    return got["detail_duplicates"].unionByName(got["summary_duplicates"], allowMissingColumns=True)
+
+
+@query("m7_part_b_null_rows", ["services"], "SELECT * FROM services WHERE beneficiaries IS NULL")
+def _(t):
+    return C.part_b_info(t.services, t.services)["null_rows"]
+
+
+@query("m7_part_b_summary", ["services"], f"""
+    SELECT {_COUNTS.format("beneficiaries")} FROM services WHERE hcpcs_code = 'A'""")
+def _(t):
+    return C.part_b_info(t.services.where("hcpcs_code = 'A'"), t.services)["summary_profile"]
+
+
+@query("m7_part_b_duplicates", ["services"], """
+    SELECT npi, Year, CAST(NULL AS VARCHAR) AS hcpcs_code, CAST(NULL AS VARCHAR) AS place_of_service, count(*) AS n
+      FROM services GROUP BY 1, 2 HAVING count(*) > 1
+    UNION ALL SELECT npi, Year, hcpcs_code, place_of_service, count(*) FROM
+      (SELECT * FROM services UNION ALL SELECT * FROM services WHERE npi % 3 = 0) GROUP BY 1, 2, 3, 4 HAVING count(*) > 1""")
+def _(t):
+    """Rows of both files that break their grain, on files with repeated rows."""
+    got = C.part_b_info(t.services, t.services.unionByName(t.services.where("npi % 3 = 0")))
+    return got["detail_duplicates"].unionByName(got["summary_duplicates"], allowMissingColumns=True)
+
+
 @query("m7_part_b", ["services"], """
     WITH s AS (SELECT npi, Year, count(*) * 3 AS beneficiaries FROM services WHERE hcpcs_code = 'A' GROUP BY 1, 2),
     d AS (SELECT npi, Year, CAST(sum(beneficiaries) AS BIGINT) AS beneficiaries_detail FROM services WHERE beneficiaries IS NOT NULL GROUP BY 1, 2)

@@ -239,6 +239,20 @@ def _(t):
     return _medicaid(t)["attributes"]
 
 
+@query("d27_medicaid_licences", ["other_ids", "other_id_states", "other_id_types", "licence_state", "licence_number"], f"""
+    WITH {_OTHER}, a AS (SELECT * FROM licence_state WHERE npi IN (SELECT npi FROM who)),
+    b AS (SELECT * FROM licence_number WHERE npi IN (SELECT npi FROM who))
+    SELECT npi, month, seq, PLICSTATE, PLICNUM FROM a FULL JOIN b USING (npi, month, seq)""")
+def _(t):
+    return _medicaid(t)["licences"]
+
+
+@query("d27_medicaid_taxonomy", ["other_ids", "other_id_states", "other_id_types", "code_panel"], f"""
+    WITH {_OTHER} SELECT * FROM code_panel WHERE npi IN (SELECT npi FROM who)""")
+def _(t):
+    return _medicaid(t)["taxonomy"]
+
+
 @query("d28_removals_report",
        ["deact_panel", "react_panel", "entity", "cred_panel", "credoth_panel", "code_panel",
         "taxonomy", "panel", "person_names"], f"""

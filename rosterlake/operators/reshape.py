@@ -36,21 +36,22 @@ def numbered_columns(df: DataFrame, ids: Sequence[str], columns: Sequence[str],
                      width: int, order: Sequence[str] | None = None) -> DataFrame:
     """The n-th distinct row of an id as columns ``name1`` .. ``nameN``.
 
-    Rows are folded to distinct ones while combining, so what one task holds
-    is what the output row holds. An id with more than ``width`` rows is an
-    error rather than a silent cut.
+    An id with more than ``width`` rows is an error rather than a silent cut.
+    Rows are numbered first, across tasks where an id is hot, and a number
+    beyond the width fails where it is made; then each number's columns are
+    maxima, combined on the map side. No id is gathered.
     """
+    from rosterlake.operators.rows import sequence_in_group
     columns = list(columns)
     lead = [c for c in (order or columns) if c in columns]
-    packed = F.struct(*lead, *[c for c in columns if c not in lead])
-    items = df.groupBy(*ids).agg(F.array_sort(F.collect_set(packed)).alias("__items"))
-    checked = F.when(F.size("__items") > width,
-                     F.raise_error(F.lit(f"more than {width} values for one id"))
-                     .cast("string"))
-    items = items.where(F.coalesce(checked, F.lit("ok")) == "ok")
-    out = [F.get("__items", F.lit(i))[c].alias(f"{c}{i + 1}")
-           for i in range(width) for c in columns]
-    return items.select(*ids, *out)
+    distinct = df.select(*ids, *columns).distinct()
+    numbered = sequence_in_group(distinct, ids, [*lead, *[c for c in columns if c not in lead]], "__n")
+    number = F.when(F.col("__n") <= width, F.col("__n")).otherwise(
+        F.raise_error(F.lit(f"more than {width} values for one id")).cast("int"))
+    slots = numbered.withColumn("__n", number)
+    return slots.groupBy(*ids).agg(*[
+        F.max(F.when(F.col("__n") == i + 1, F.col(c))).alias(f"{c}{i + 1}")
+        for i in range(width) for c in columns])
 
 
 def widest(df: DataFrame, ids: Sequence[str], columns: Sequence[str]) -> int:

@@ -312,6 +312,28 @@ def test_numbered_columns_refuse_to_drop(spark):
         R.numbered_columns(df, ["k"], ["v"], 1).collect()
 
 
+def test_numbered_columns_gather_no_key(spark):
+    """A hot id fails at its first number too many; no plan collects a key."""
+    df = spark.range(20000).select(F.lit(1).alias("k"), F.col("id").cast("string").alias("v"))
+    wide = R.numbered_columns(df, ["k"], ["v"], 3)
+    assert "collect_" not in wide._jdf.queryExecution().optimizedPlan().toString()
+    with pytest.raises(Exception, match="more than 3"):
+        wide.collect()
+    some = frame(spark, [(1, None, 2), (1, None, 1), (2, "x", None)], "k int, v string, w int")
+    assert rows(R.numbered_columns(some, ["k"], ["v", "w"], 2)) == [(1, None, 1, None, 2), (2, "x", None, None, None)]
+
+
+def test_sketches_merge(spark):
+    from rosterlake.operators import sketches as K
+    df = spark.range(60000).selectExpr("id % 20000 AS npi", "id % 3 AS g", "id % 7 AS m")
+    df = df.unionByName(frame(spark, [(None, 1, 1), (5, None, 1)], "npi long, g long, m long"))
+    monthly = K.member_sketches(df, ["g", "m"])
+    whole = {r.g: r.members_estimate for r in K.estimates(K.merged_sketches(monthly, ["g"])).collect()}
+    exact = {r.g: r.n for r in df.where("g IS NOT NULL").groupBy("g").agg(F.count_distinct("npi").alias("n")).collect()}
+    assert whole.keys() == exact.keys()
+    assert all(abs(whole[g] - exact[g]) <= K.ERROR * exact[g] for g in exact)
+
+
 def test_reorder():
     assert R.reorder(["a", "b", "c"], ["c"]) == ["c", "a", "b"]
     assert R.reorder(["a", "b", "c"], ["a"], "last") == ["b", "c", "a"]
