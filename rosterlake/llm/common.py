@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from pathlib import Path
 
 import numpy as np
@@ -68,6 +69,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def tidy() -> None:
+    """Give memory that earlier work of a reused worker left unused back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def spread_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"
                 ) -> DataFrame:
     """Equi-join on keys of which null equals null; a hot key of ``left`` can

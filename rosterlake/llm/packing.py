@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rosterlake.llm.common import ready, row_key, whole_text
+from rosterlake.llm.common import ready, row_key, tidy, whole_text
 from rosterlake.operators.rows import surrogate_id
 from rosterlake.session import cut
 
@@ -37,9 +37,9 @@ POPULATION = 4
 CHILDREN = 6              # per island and epoch
 DEALS = 7                 # rounds of dealing into blocks, at most
 FULL = 0.98               # filled to this share a sequence is final
-CACHE = 1_000_000         # plain runs a worker remembers
+CACHE = 500_000           # plain runs a worker remembers
 TRIES = 200               # sequences an exchange looks at
-RUN_CACHE = 600_000       # runs as they stand a worker remembers
+RUN_CACHE = 300_000       # runs as they stand a worker remembers
 STRETCH = 1000            # texts whose runs are encoded together
 _PIECE = "doc_id long, row long, piece int, start long, length int, ids_crc32 long"
 
@@ -77,7 +77,7 @@ class Words(dict):
     def parts(run: str) -> tuple[str, ...]:
         """Plainer runs that give the same ids; the run itself if none do."""
         if run.isascii():
-            folded = run.lower()
+            folded = run if run.islower() else run.lower()
             stem = folded.rstrip(".,;:!?|#$%&*")
             if stem.isalpha():
                 return (stem, folded[len(stem):]) if len(stem) < len(folded) else (folded,)
@@ -124,6 +124,7 @@ def _tokenize(path: str, capacity: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _words:
+            tidy()
             _words[path] = Words(path)
         words = _words[path]
         close = array("I", [END_ID]).tobytes()
