@@ -146,7 +146,9 @@ def _cut_pieces(length: int):
 
 
 def _gram(length: int) -> int:
-    return max(1, length * GRAM // LENGTH)
+    """Bytes of the grams that windows of ``length`` are dealt by. Short windows
+    get short grams: they hold more of them, so there are fewer pieces."""
+    return GRAM if length >= LENGTH else max(1, min(GRAM, length // 10))
 
 
 def columns_of(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ahead: np.ndarray,
