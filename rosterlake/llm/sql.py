@@ -82,3 +82,29 @@ FROM q c LEFT JOIN q x ON x.conv_id = c.conv_id AND x.side = 'r' WHERE c.side =
 """
 
 SQL: dict[str, str] = {"op6_backoff": _BACKOFF, "op7_warc": _WARC, "op10_preference": _PREFERENCE}
+
+
+def _centroids(rounds: int = 3, k: int = 16) -> str:
+    """Every distance spelled out, round by round."""
+    parts = [
+        "kept AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v "
+        "FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)",
+        f"c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id), v) - 1 AS n, v FROM kept "
+        f"QUALIFY n < {k})"]
+    for i in range(rounds + 1):
+        parts.append(
+            f"a{i} AS (SELECT vec_id, kept.v AS v, min({{'d': list_sum(list_transform(list_zip(kept.v, c{i}.v), "
+            f"lambda p: (p[1] - p[2]) * (p[1] - p[2]))), 'n': n}}) AS b FROM kept, c{i} GROUP BY vec_id, kept.v)")
+        if i < rounds:
+            parts.append(
+                f"m{i} AS (SELECT n, list(x ORDER BY place) AS v FROM (SELECT b.n AS n, place, "
+                f"CAST(floor(CAST(sum(v[place]) AS DOUBLE) / count(*)) AS BIGINT) AS x "
+                f"FROM a{i}, (SELECT unnest(range(1, 65)) AS place) GROUP BY b.n, place) GROUP BY n)")
+            parts.append(f"c{i + 1} AS (SELECT c{i}.n AS n, coalesce(m{i}.v, c{i}.v) AS v FROM c{i} LEFT JOIN m{i} ON c{i}.n = m{i}.n)")
+    return "WITH " + ", ".join(parts) + (
+        f" SELECT vec_id, CAST(b.n AS INTEGER) AS cluster, CAST(b.d AS BIGINT) AS distance, "
+        f"CAST(sum(b.d) OVER (PARTITION BY b.n) AS BIGINT) AS cluster_inertia, CAST(sum(b.d) OVER () AS BIGINT) AS inertia, "
+        f"sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256 FROM a{rounds} JOIN c{rounds} ON b.n = c{rounds}.n")
+
+
+SQL["op11_centroids"] = _centroids()
