@@ -13,8 +13,8 @@ from rosterlake.llm.queries import tokenizer_path
 from rosterlake.session import configure, cut
 
 
-# bytes of a repeated passage that goes; 50 words of these languages have 239 or more
-PASSAGE_BYTES = 236
+# bytes of a repeated passage that goes: less than passages of 50 words have, as a rule
+PASSAGE_BYTES = 200
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
