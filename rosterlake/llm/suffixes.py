@@ -294,7 +294,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH,
                    class_pieces: int = BLOCK_PIECES) -> DataFrame:
     """(doc_id, key, start, stop): stretches of bytes that go, overlapping.
 
-    ``docs`` has doc_id, key and text (never null).
+    ``docs`` has doc_id, key and text (never null) first.
     """
     found = cut(docs.select("doc_id", "key", "text").mapInArrow(_cut_pieces(length), _PIECES))
     place = ["doc_id", "key", "start", "n_windows", "ahead"]
@@ -314,12 +314,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH,
     def text_of(part) -> DataFrame:
         w = wanted.select("doc_id", "key", F.filter("wanted", part).alias("wanted")).where(
             F.size("wanted") > 0)
-        texts = docs.select("doc_id", "key", "text").dropDuplicates(["doc_id", "key"]) \
-            if docs_repeat else docs.select("doc_id", "key", "text")
+        # with all columns, so that the exchange of the texts is the one that the
+        # spans are later joined to
+        texts = docs.dropDuplicates(["doc_id", "key"]) if docs_repeat else docs
         joined = texts.alias("d").join(
             w.alias("w"), F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))
             & (F.col("d.key") == F.col("w.key")))
-        return joined.select("d.doc_id", "d.key", "d.text", "w.wanted").mapInArrow(
+        return joined.select("d.*", "w.wanted").mapInArrow(
             _fetch(length), "anchor long, piece long, n long, doc_id long, key long, start long, "
                             "n_windows int, ahead int, bytes binary")
 
