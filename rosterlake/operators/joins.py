@@ -217,15 +217,23 @@ def count_copresent(members: DataFrame, person: str, place: Sequence[str],
 
 def prefix_fallback(df: DataFrame, dim: DataFrame, code: str, dim_code: str,
                     value: str, lengths: Sequence[int] = (5, 4)) -> DataFrame:
-    """Values by the longest code prefix that finds any; no match, no row."""
-    pending, parts = df, []
-    for i, n in enumerate(lengths):
-        d = (dim.select(F.substring(dim_code, 1, n).alias("__p"), value).distinct())
-        probe = pending.withColumn("__p", F.substring(code, 1, n))
-        parts.append(natural_join(probe, d, on=["__p"], null_equal=False).drop("__p"))
-        if i + 1 < len(lengths):
-            pending = anti_join(probe, d.select("__p"), on=["__p"]).drop("__p")
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """Values by the first of the prefix lengths that finds any; no match, no
+    row. One join on the shortest prefix brings its codes, and the choice among
+    them is made inside the row."""
+    def prefix(c, n: int) -> Column:
+        return F.substring(c, 1, n)
+
+    entry = F.struct(prefix(dim_code, max(lengths)).alias("code"), F.col(value).alias("value"))
+    under = dim.groupBy(prefix(dim_code, min(lengths)).alias("__p")).agg(
+        F.collect_set(entry).alias("__dim"))
+    met = join_group_stats(df.withColumn("__p", prefix(code, min(lengths))), under, ["__p"],
+                           "inner", null_equal=False)
+
+    def found(n: int) -> Column:
+        hits = F.filter("__dim", lambda x: prefix(x["code"], n) == prefix(code, n))
+        return F.when(F.size(hits) > 0, F.array_distinct(F.transform(hits, lambda x: x["value"])))
+
+    return met.select(*df.columns, F.explode(F.coalesce(*[found(n) for n in lengths])).alias(value))
 
 
 def agreeing_rows(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

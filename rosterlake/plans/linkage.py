@@ -356,23 +356,51 @@ def crosswalk(people: DataFrame, list_names: DataFrame, names: DataFrame, types:
 
 # ----------------------------------------------------------- death records
 
+def name_classes(rows: DataFrame, key: str) -> DataFrame:
+    """Each id's set of (pfname, plname, middle) and the set's digest, so that
+    ids with the same names are one class."""
+    named = rows.where("pfname IS NOT NULL AND plname IS NOT NULL")
+    sets = named.groupBy(key).agg(
+        F.array_sort(F.collect_set(F.struct("pfname", "plname", "middle"))).alias("names"))
+    return sets.withColumn("class", F.sha2(F.to_json("names"), 256))
+
+
+def agreeing_classes(cases: DataFrame, people: DataFrame) -> DataFrame:
+    """Pairs of name classes that share a first and last name, with no conflict
+    of middle names in any they share. As many rows as there are different sets
+    of names, however many ids bear them."""
+    def spelled(classes: DataFrame, c: str, m: str) -> DataFrame:
+        one = classes.groupBy("class").agg(F.any_value("names").alias("names"))
+        return one.select(F.col("class").alias(c), F.inline("names")).withColumnRenamed("middle", m)
+
+    met = natural_join(spelled(cases, "case_class", "__a"), spelled(people, "npi_class", "__b"),
+                       on=["pfname", "plname"], null_equal=False)
+    a, b = F.length("__a"), F.length("__b")
+    same_kind = ((a > 1) & (b > 1)) | ((a == 1) & (b == 1))
+    conflict = F.coalesce(same_kind & (F.col("__a") != F.col("__b")), F.lit(False))
+    return (met.groupBy("case_class", "npi_class").agg(F.max(conflict).alias("__bad"))
+            .where(~F.col("__bad")).drop("__bad"))
+
+
 def death_matches(cases: DataFrame, names: DataFrame, case_id: str, first: str, middle: str,
                   last: str) -> DataFrame:
     """(case, npi) pairs with the same first and last name and no conflict of
-    middle names: full against full, or initial against initial."""
+    middle names: full against full, or initial against initial. Conflicts are
+    settled between sets of names; ids come back at the end."""
     def tidy(c: str):
         return F.trim(F.upper(c))
 
-    c = cases.select(case_id, tidy(first).alias("pfname"),
-                     F.trim(drop_chars(F.coalesce(tidy(middle), F.lit("")), ".")).alias("__m"),
-                     tidy(last).alias("plname")).distinct()
-    pairs = natural_join(c, names.select("npi", "pfname", "pmname", "plname").distinct(),
-                         on=["pfname", "plname"], null_equal=False)
-    a, b = F.length("__m"), F.length("pmname")
-    same_kind = ((a > 1) & (b > 1)) | ((a == 1) & (b == 1))
-    conflict = F.coalesce(same_kind & (F.col("__m") != F.col("pmname")), F.lit(False))
-    return (pairs.groupBy(case_id, "npi").agg(F.max(conflict).alias("__bad"))
-            .where(~F.col("__bad")).select(case_id, "npi"))
+    c = cases.select(F.col(case_id), tidy(first).alias("pfname"), tidy(last).alias("plname"),
+                     F.trim(drop_chars(F.coalesce(tidy(middle), F.lit("")), ".")).alias("middle"))
+    n = semi_join(names.select("npi", "pfname", "plname", F.col("pmname").alias("middle")),
+                  c.select("pfname", "plname"), on=["pfname", "plname"], null_equal=False)
+    c, n = name_classes(c, case_id), name_classes(n, "npi")
+    pairs = agreeing_classes(c, n)
+    found = join_group_stats(c.select(case_id, F.col("class").alias("case_class")), pairs,
+                             ["case_class"], "inner", null_equal=False)
+    found = join_group_stats(n.select("npi", F.col("class").alias("npi_class")), found,
+                             ["npi_class"], "inner", null_equal=False)
+    return found.select(case_id, "npi")
 
 
 def death_and_deactivation(matches: DataFrame, cases: DataFrame, removed: DataFrame,

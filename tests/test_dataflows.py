@@ -262,6 +262,28 @@ def test_conflicting_middle_names(spark):
         (1, 12), (1, 13), (2, 11), (2, 12), (2, 13), (3, 11), (3, 12), (3, 13)]
 
 
+def test_conflict_in_any_shared_name_ends_a_pair(spark):
+    cases = spark.createDataFrame([(1, "Ann", "Q", "Lee"), (1, "Ann", "Q", "Roe"), (2, None, "Q", "Lee"), (3, "Ann", "", "Lee")],
+                                  "c int, f string, m string, l string")
+    names = spark.createDataFrame([(11, "ANN", "Q", "LEE"), (11, "ANN", "Z", "ROE"), (12, "ANN", None, "LEE"), (12, "ANN", None, "LEE")],
+                                  "npi int, pfname string, pmname string, plname string")
+    assert rows(L.death_matches(cases, names, "c", "f", "m", "l")) == [(1, 12), (3, 11), (3, 12)]
+
+
+@pytest.mark.parametrize("people", [1, 100])
+def test_conflicts_are_settled_between_sets_of_names(spark, people):
+    """As many pairs of classes with one person per name as with hundreds."""
+    middles = ["", "A", "B", "ANN", "BETH"]
+    made = spark.range(people * 5).select(F.col("id").alias("npi"), F.lit("ANN").alias("pfname"), F.lit("LEE").alias("plname"),
+                                          F.element_at(F.lit(middles), (F.col("id") % 5 + 1).cast("int")).alias("middle"))
+    a, b = L.name_classes(made, "npi"), L.name_classes(made, "npi")
+    pairs = L.agreeing_classes(a, b)
+    assert pairs.count() == 25 - 4
+    cases = made.select(F.col("npi").alias("c"), F.col("pfname").alias("f"), F.col("middle").alias("m"), F.col("plname").alias("l"))
+    found = L.death_matches(cases, made.withColumnRenamed("middle", "pmname"), "c", "f", "m", "l")
+    assert found.count() == 21 * people * people
+
+
 # ------------------------------------------------------------------- dates
 
 @pytest.mark.parametrize("name,want", [
