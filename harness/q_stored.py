@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from harness.q_registry import _WEEKS
 from harness.registry import query
+from rosterlake import schemas as S
 from rosterlake.operators import sketches as K
 from rosterlake.operators.joins import join_group_stats
+from rosterlake.operators.quality import cast_losses, observed
 from rosterlake.plans.practices import members_per
 from rosterlake.session import work_path
+from rosterlake.sources.directory import read_directory, store_directory
 from rosterlake.sources.licences import read_licences
 from rosterlake.streaming import weekly as W
 
@@ -57,3 +60,67 @@ def _(t):
     gap = F.abs(F.col("members_estimate") - F.col("members"))
     return join_group_stats(exact, whole, ["group_id"]).select(
         "group_id", "members", F.coalesce(gap <= F.greatest(F.lit(1.0), K.ERROR * F.col("members")), F.lit(False)).alias("near"))
+
+
+def _vintages(t) -> str:
+    """The directory landed as three vintages: no phones and the header as a
+    row (2014-06); lines with a field too few or too many (2014-12); a column
+    that holds nothing and has no header (2016-07)."""
+    root = work_path(t.spark, "vintages")
+    d = t.directory.select(F.col("npi").cast("string").alias("npi"), F.coalesce("zip", F.lit("")).alias("zip"))
+    names = [n for n in S.DIRECTORY_COLUMNS if n != "Phone Number"]
+    own = {k: v for k, v in S.DIRECTORY_COLUMNS.items() if v in d.columns}
+    line = F.concat_ws(",", *[F.col(own[n]) if n in own else F.lit("x") for n in names])
+
+    def landed(lines, name: str, header: str | None = None) -> None:
+        # whole lines: a separator that does not occur, and no quotes
+        (lines.toDF(header or "line").write.mode("append").option("header", str(header is not None).lower())
+         .option("sep", "\u0001").option("quote", "").csv(f"{root}/a/Directory_{name}.csv"))
+
+    landed(d.select(line), "2014-06-01")
+    landed(t.spark.range(1).select(F.lit(",".join(names))), "2014-06-01")
+    spoilt = F.when(F.pmod(F.col("npi").cast("long"), F.lit(7)) == 0, F.col("npi")).when(
+        F.pmod(F.col("npi").cast("long"), F.lit(11)) == 0, F.concat_ws(",", "npi", "zip", "zip")).otherwise(F.concat_ws(",", "npi", "zip"))
+    landed(d.select(spoilt), "2014-12-01", "NPI,Zip Code")
+    landed(d.select(F.concat_ws(",", "npi", F.lit(""), "zip")), "2016-07-01", "NPI,Zip Code")
+    return root
+
+
+@query("s12_other_vintages", ["directory"], """
+    SELECT npi, zip, DATE '2014-06-01' AS date FROM directory
+    UNION SELECT npi, zip, DATE '2014-12-01' FROM directory WHERE npi % 7 <> 0 AND npi % 11 <> 0
+    UNION SELECT npi, zip, DATE '2016-07-01' FROM directory""")
+def _(t):
+    """Three odd layouts read as one table."""
+    return read_directory(t.spark, _vintages(t), ["zip"], with_date=True)
+
+
+@query("s12_dropped_lines", ["directory"], """
+    SELECT d.date, count(*) AS kept_and_malformed, CAST(count_if(d.date = DATE '2014-12-01' AND (npi % 7 = 0 OR npi % 11 = 0)) AS BIGINT) AS malformed,
+      d.date <> DATE '2014-12-01' AS has_headers_inside
+    FROM directory x, (VALUES (DATE '2014-06-01'), (DATE '2014-12-01'), (DATE '2016-07-01')) d(date) GROUP BY d.date""")
+def _(t):
+    """Lines left out of a stored directory, counted while it was written. A
+    header is repeated by every part of a landed folder, so those are not
+    counted here."""
+    report = store_directory(t.spark, _vintages(t), ["zip"], work_path(t.spark, "directory"))
+    return report.select("date", (F.col("lines") - F.col("without_id")).alias("kept_and_malformed"), "malformed",
+                         (F.col("without_id") > 0).alias("has_headers_inside"))
+
+
+@query("p5_observed_cast", [], """
+    SELECT count(*) AS n_rows, CAST(count_if(try_cast(c_name AS BIGINT) IS NULL AND c_name IS NOT NULL) AS BIGINT) AS lost_name,
+      CAST(count_if(trunc(c_acctbal) <> c_acctbal) AS BIGINT) AS lost_balance,
+      0::BIGINT AS lost_key, count_if(c_nationkey % 5 = 0) / count(*) AS share_filled FROM customer""")
+def _(t):
+    """Values a cast loses and the share of rows changed, counted while the
+    rows are written (P5, A18)."""
+    raw = t.customer.select(F.col("c_custkey").cast("string").alias("key"), F.col("c_name").alias("name"),
+                            F.col("c_acctbal").cast("double").alias("balance"), "c_nationkey")
+    rows, seen = observed(raw, {**cast_losses({"key": "long", "name": "long", "balance": "long"}), "n_rows": F.count(F.lit(1)),
+                                "share_filled": F.avg((F.col("c_nationkey") % 5 == 0).cast("double"))})
+    rows.write.parquet(work_path(t.spark, "cast"))
+    found = seen.get
+    names = ["n_rows", "lost_name", "lost_balance", "lost_key", "share_filled"]
+    return t.spark.createDataFrame([tuple(found[n] for n in names)],
+                                   "n_rows long, lost_name long, lost_balance long, lost_key long, share_filled double")

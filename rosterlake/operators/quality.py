@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from rosterlake.operators.joins import natural_join, provenance_join
 
@@ -68,6 +68,29 @@ def require_cast(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
 
 
+def observed(df: DataFrame, counts: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """The frame, and an observation that holds the counts (aggregates) once an
+    action has run over it: an audit in the pass that does the work. Filters
+    put on top stay above it, so what they drop is counted too. A row counts once per attempt of its
+    stage: put it where no shuffle lies between it and the write, as a lost
+    executor's shuffle output is made again."""
+    seen = Observation()
+    return df.observe(seen, *[c.alias(n) for n, c in counts.items()]), seen
+
+
+def cast_losses(types: Mapping[str, str]) -> dict[str, Column]:
+    """Per column the values its cast would lose or round, as counts for
+    ``observed``."""
+    def lost(c: str, t: str) -> Column:
+        cast = F.col(c).try_cast(t)
+        gone = F.col(c).isNotNull() & cast.isNull()
+        if t in ("int", "integer", "long", "bigint"):
+            gone = gone | F.coalesce(F.col(c).try_cast("double") != cast.cast("double"), F.lit(False))
+        return F.count_if(gone)
+
+    return {f"lost_{c}": lost(c, t) for c, t in types.items()}
+
+
 def integer_or_null(c: str, blank: str | None = None) -> Column:
     """Integer where it is one. With ``blank``, only that token may fail."""
     col = F.col(c)

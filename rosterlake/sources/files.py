@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from rosterlake.functions.dates import month_number
 
+BAD_LINE = "__bad_line"
 LOT = 100                 # files whose first lines one job reads
 SNAPSHOT = r"NPPES_Data_Dissemination_"
 
@@ -96,14 +97,22 @@ def locate(single: DataFrame, snapshot: DataFrame) -> DataFrame:
 
 def read_text_table(spark: SparkSession, paths: Sequence[str] | str, sep: str = ",",
                     header: bool = True, names: Sequence[str] | None = None,
-                    drop_bad_lines: bool = False) -> DataFrame:
+                    drop_bad_lines: bool = False, keep_bad_lines: bool = False) -> DataFrame:
     """Delimited text, every column a string (leading zeros survive, and the
-    words NA and NULL stay words; only an empty field is null)."""
+    words NA and NULL stay words; only an empty field is null).
+
+    With ``keep_bad_lines`` (which needs ``names``) a line with too few or too
+    many fields stays, whole, in ``BAD_LINE``, which is null for all others.
+    """
     reader = (spark.read.option("sep", sep).option("quote", '"').option("escape", '"')
               .option("header", str(header).lower()))
     if drop_bad_lines:
         # a line is judged by all its fields, not by the ones a query needs
         reader = reader.option("mode", "DROPMALFORMED").option("columnPruning", "false")
+    if keep_bad_lines:
+        reader = (reader.option("mode", "PERMISSIVE").option("columnPruning", "false")
+                  .option("columnNameOfCorruptRecord", BAD_LINE))
+        names = [*names, BAD_LINE]
     if names is not None:
         reader = reader.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
     # with a header and names, the header line of every file is passed over
@@ -159,13 +168,14 @@ def header_catalogue(spark: SparkSession, paths: Sequence[str], sep: str = ",")
 
 
 def read_groups(spark: SparkSession, paths: Sequence[str], sep: str = ",",
-                drop_bad_lines: bool = False) -> list[DataFrame]:
+                drop_bad_lines: bool = False, keep_bad_lines: bool = False) -> list[DataFrame]:
     """One multi-path scan per header among the files, each with ``__path``,
     the file a row came from."""
     groups: dict[tuple, list[str]] = {}
     for path, names in header_catalogue(spark, paths, sep).items():
         groups.setdefault(names, []).append(path)
-    return [with_path(read_text_table(spark, files, sep, names=names, drop_bad_lines=drop_bad_lines))
+    return [with_path(read_text_table(spark, files, sep, names=names, drop_bad_lines=drop_bad_lines,
+                                      keep_bad_lines=keep_bad_lines))
             for names, files in sorted(groups.items())]
 
 

@@ -143,6 +143,14 @@ def test_directory_vintages(spark, tmp_path):
     assert rows(out, "npi", "zip", "group_id", "phone", "date") == [
         (10, "73301", None, "5125550000", date(2017, 6, 1)), (7, "02139", 55, "6175550000", date(2014, 3, 1)),
         (8, "10001", 56, None, date(2014, 6, 1)), (9, "90210", 57, None, date(2016, 7, 1))]
+    put(tmp_path / "a/Directory_2014-12-01.csv", "NPI,Zip Code\n11,60601\n12\n13,1,2\n")
+    again = directory.read_directory(spark, str(tmp_path), ["zip", "group_id", "phone"], False, with_date=True)
+    report = directory.store_directory(spark, str(tmp_path), ["zip", "group_id", "phone"], str(tmp_path / "stored"))
+    order = ["npi", "zip", "group_id", "phone", "date"]
+    assert rows(spark.read.parquet(str(tmp_path / "stored")), *order) == rows(again, *order)
+    assert rows(report, "date", "lines", "malformed", "without_id") == [
+        (date(2014, 3, 1), 3, 2, 0), (date(2014, 6, 1), 2, 0, 1), (date(2014, 12, 1), 3, 2, 0),
+        (date(2016, 7, 1), 2, 0, 1), (date(2017, 6, 1), 1, 0, 0)]
 
 
 def test_licence_list(spark, tmp_path):
