@@ -46,34 +46,53 @@ def consistent_tuple(df: DataFrame, ids: Sequence[str], targets: Sequence[str])
     return one.select(*ids, *[F.col(f"__hi.{t}").alias(t) for t in targets])
 
 
-def fill_from(df: DataFrame, lookup: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Replace blanks by the lookup's value for the same ids (nulls match)."""
+def _blank(targets: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(t).isNull() for t in targets])
+
+
+def fill_from(df: DataFrame, lookup: DataFrame, ids: Sequence[str],
+              split: bool = False) -> DataFrame:
+    """Replace blanks by the lookup's value for the same ids (nulls match).
+    For ``split`` see ``batch_fill``."""
     targets = [c for c in lookup.columns if c not in ids]
     renamed = lookup.withColumnsRenamed({t: f"__fill_{t}" for t in targets})
-    joined = join_group_stats(df, renamed, ids)
-    return joined.select(*[F.coalesce(F.col(c), F.col(f"__fill_{c}")).alias(c)
-                           if c in targets else F.col(c) for c in df.columns])
+    joined = join_group_stats(df.where(_blank(targets)) if split else df, renamed, ids)
+    out = joined.select(*[F.coalesce(F.col(c), F.col(f"__fill_{c}")).alias(c)
+                          if c in targets else F.col(c) for c in df.columns])
+    return out.unionByName(df.where(~_blank(targets))) if split else out
 
 
 def batch_fill(df: DataFrame, ids: Sequence[str], targets: Sequence[str],
-               blank_ids: Sequence[str] = (), distinct: bool = True) -> DataFrame:
+               blank_ids: Sequence[str] = (), distinct: bool = True,
+               split: bool = False) -> DataFrame:
     """Fill several columns from consistent values within ``ids``.
 
     All targets share one aggregate; that equals filling them one after the
-    other because no target is an id.
+    other because no target is an id. With ``split`` only rows with a blank to
+    fill, and keys that have one, meet in the join; all others pass by. ``df``
+    is then read three times, so it should be a written table.
     """
     if set(ids) & set(targets):
         raise ValueError("a filled column cannot be an id")
+    usable = _filled(ids, blank_ids)
+    todo = usable & _blank(targets)
     bounds = {}
     for i, t in enumerate(targets):
         bounds[f"__lo{i}"], bounds[f"__hi{i}"] = F.min(t), F.max(t)
-    joined = with_group_stats(df, ids, **bounds)
-    usable = _filled(ids, blank_ids)
+    if split:
+        stats = (df.where(usable).groupBy(*ids)
+                 .agg(F.max(todo).alias("__todo"), *[c.alias(n) for n, c in bounds.items()])
+                 .where("__todo").drop("__todo"))
+        joined = join_group_stats(df.where(todo), stats, ids)
+    else:
+        joined = with_group_stats(df, ids, **bounds)
     new = {}
     for i, t in enumerate(targets):
         one = usable & (F.col(f"__lo{i}") == F.col(f"__hi{i}"))
         new[t] = F.coalesce(F.col(t), F.when(one, F.col(f"__hi{i}")))
     out = joined.withColumns(new).select(*df.columns)
+    if split:
+        out = out.unionByName(df.where(~todo))
     return out.distinct() if distinct else out
 
 

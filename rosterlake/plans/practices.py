@@ -46,7 +46,7 @@ def infer_groups(directory: DataFrame, late_years: Sequence[int] = (2018, 2019,
 
     spot = ["date", "state", "zip", "phone"]
     has_phone = known.where(F.col("phone").isNotNull())
-    known = cut(batch_fill(has_phone, spot, ["group_id"], distinct=False)
+    known = cut(batch_fill(has_phone, spot, ["group_id"], distinct=False, split=True)
                 .unionByName(known.where(F.col("phone").isNull())).distinct())
     sure = consistent_value(known.where(F.col("phone").isNotNull()),
                             ["state", "zip", "date", "phone"], "group_id")
@@ -71,11 +71,11 @@ def _person_passes(rows: DataFrame) -> DataFrame:
 
 def _joined_fill(rows: DataFrame, ids: Sequence[str], targets: Sequence[str],
                  blank_ids: Sequence[str] = ()) -> DataFrame:
-    return cut(batch_fill(rows, ids, targets, blank_ids, distinct=False))
+    return cut(batch_fill(rows, ids, targets, blank_ids, distinct=False, split=True))
 
 
 def _joined_fill_tuple(rows: DataFrame, ids: Sequence[str], targets: Sequence[str]) -> DataFrame:
-    return fill_from(rows, consistent_tuple(rows, ids, targets), ids)
+    return fill_from(rows, consistent_tuple(rows, ids, targets), ids, split=True)
 
 
 def impute_groups(known: DataFrame, missing: DataFrame

@@ -230,6 +230,20 @@ def test_fills_agree_with_brute_force(spark):
     assert sorted({tuple(r) for r in I.batch_fill(df, ["a", "b"], ["s", "u"]).collect()}, key=str) == want
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_only_rows_with_a_blank_meet_in_the_join(spark, seed):
+    rnd = random.Random(seed)
+    pick = lambda xs: rnd.choice([None, *xs])
+    df = frame(spark, [(pick("ab"), pick("xy"), pick("st"), pick([1, 2])) for _ in range(120)],
+               "a string, b string, s string, u int")
+    for blank_ids in ([], ["b"]):
+        one, two = (I.batch_fill(df, ["a", "b"], ["s", "u"], blank_ids, distinct=False, split=f) for f in (False, True))
+        assert rows(one) == rows(two)
+    lookup = I.consistent_tuple(df, ["a", "b"], ["s", "u"])
+    one, two = (I.fill_from(df, lookup, ["a", "b"], split=f) for f in (False, True))
+    assert rows(one) == rows(two)
+
+
 def test_fill_never_touches_known_cells(spark):
     df = frame(spark, [(1, "a"), (1, "b"), (1, None), (2, "c"), (2, None)], "k int, v string")
     out = I.batch_fill(df, ["k"], ["v"], distinct=False)
