@@ -10,6 +10,11 @@ from pyspark.sql import Column, functions as F
 ZERO_PREFIX_STATES = ["CT", "MA", "ME", "NH", "NJ", "PR", "RI", "VT", "VI"]
 
 
+# Periods after initials, as the cleaned names must have them.
+LONE_PERIOD = r"^([A-Za-z]?)\.$"
+INNER_PERIOD = r"(.*\s[A-Z]?)(\.)(\s)"
+
+
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -28,12 +33,12 @@ def blank_to_null(c: Column | str, *tokens: str) -> Column:
 
 def drop_lone_initial_period(c: Column | str) -> Column:
     """``A.`` becomes ``A``; anything longer is left alone."""
-    return F.regexp_replace(_c(c), r"^([A-Za-z]?)\.$", "$1")
+    return F.regexp_replace(_c(c), LONE_PERIOD, "$1")
 
 
 def drop_inner_initial_period(c: Column | str) -> Column:
     """``JOHN Q. PUBLIC`` becomes ``JOHN Q PUBLIC`` (the last such period)."""
-    return F.regexp_replace(_c(c), r"(.*\s[A-Z]?)(\.)(\s)", "$1$3")
+    return F.regexp_replace(_c(c), INNER_PERIOD, "$1$3")
 
 
 def collapse_spaces(c: Column | str) -> Column:
