@@ -211,35 +211,35 @@ def strip_endings(df: DataFrame, column: str, endings: Sequence[str],
     ``parts`` in order of removal. A pass that changes a name shortens it, so
     the passes are bounded by the name's own length.
     """
-    tokens = F.array(*[F.lit(e) for e in endings])
+    tokens = F.array(*[F.lit(" " + e) for e in endings])
+    # a name that no ending fits and that needs no trimming is settled: a pass
+    # leaves it as it is
+    fits = "|".join(rf"\Q{e}\E" for e in endings)
+    unsettled = rf"(?: (?:{fits})|[, ])\z|^ "
 
     def step(acc: Column, token: Column) -> Column:
         n = acc["n"]
-        hit = n.endswith(F.concat(F.lit(" "), token))
-        left = F.trim(F.when(hit, F.substring(n, F.lit(1), F.length(n) - F.length(token)))
+        hit = n.endswith(token)
+        left = F.trim(F.when(hit, F.substring(n, F.lit(1), F.length(n) - F.length(token) + 1))
                       .otherwise(n))
         left = F.when(left.endswith(","), F.substring(left, F.lit(1), F.length(left) - 1)
                       ).otherwise(left)
-        cut = F.when(hit, F.concat(acc["c"], F.array(token))).otherwise(acc["c"])
-        return F.struct(left.alias("n"), cut.alias("c"))
+        cut = F.when(hit, F.concat(acc["c"], F.array(F.substring(token, F.lit(2), F.length(token))))
+                     ).otherwise(acc["c"])
+        same = ~(hit | n.endswith(",") | n.endswith(" ") | n.startswith(" "))
+        return F.when(same, acc).otherwise(F.struct(left.alias("n"), cut.alias("c")))
 
     def one_pass(acc: Column) -> Column:
-        return F.aggregate(tokens, acc, step)
+        return F.when(acc["n"].rlike(unsettled), F.aggregate(tokens, acc, step)).otherwise(acc)
 
     start = F.struct(F.col(column).alias("n"), F.array().cast("array<string>").alias("c"))
-    out = df.withColumn("__p", one_pass(start))
+    # names are short and passes long: small files would leave them to a task or two
+    out = df.hint("rebalance").withColumn("__p", one_pass(start))
     out = out.withColumn("__p", F.struct(
         drop_inner_initial_period(F.col("__p.n")).alias("n"), F.col("__p.c").alias("c")))
-    ends = F.array(*[F.lit(" " + e) for e in endings])
-    # a name that no ending fits and that needs no trimming is settled
-    def settled(acc: Column) -> Column:
-        n = acc["n"]
-        return ~(F.exists(ends, lambda e: n.endswith(e)) | n.endswith(",") | (F.trim(n) != n))
-
     rounds = F.sequence(F.lit(1), F.greatest(F.length(F.col("__p.n")), F.lit(1)))
-    out = out.withColumn("__p", F.aggregate(
-        rounds, F.col("__p"),
-        lambda acc, _: F.when(settled(acc), acc).otherwise(one_pass(acc))))
+    out = out.withColumn("__p", F.when(F.col("__p.n").rlike(unsettled), F.aggregate(
+        rounds, F.col("__p"), lambda acc, _: one_pass(acc))).otherwise(F.col("__p")))
     return out.withColumns({column: F.col("__p.n"), parts: F.col("__p.c")}).drop("__p")
 
 
@@ -248,7 +248,8 @@ def suffix_tokens(df: DataFrame, key: str, parts: str = "stripped",
     """Tokens of the stripped parts, one per row; by default only generation
     suffixes."""
     flat = F.replace(drop_chars("__part", ". "), F.lit("M,D"), F.lit("MD"))
-    out = (df.select(key, F.explode(parts).alias("__part"))
+    # an inner explode would have Spark filter by the parts, and make them, twice
+    out = (df.select(key, F.explode_outer(parts).alias("__part"))
            .select(key, F.explode(F.split(flat, ",")).alias("Suffix")))
     if keep is not None:
         out = out.where(F.col("Suffix").isin(list(keep)))
@@ -266,7 +267,7 @@ def split_name(c: Column | str) -> dict[str, Column]:
 def listed_names(people: DataFrame, key: str = "samhsa_id", name: str = "NameFull",
                  endings: Sequence[str] = S.NAME_ENDINGS) -> tuple[DataFrame, DataFrame]:
     """(name variants with priority ``order``, all stripped tokens) per entry."""
-    base = strip_endings(people.select(key, name).distinct(), name, endings)
+    base = cut(strip_endings(people.select(key, name).distinct(), name, endings))
     named = base.select(key, "stripped", *[c.alias(n) for n, c in split_name(name).items()])
     suffix = suffix_tokens(named, key)
     named = (natural_join(named, suffix, "left", on=[key], null_equal=False)

@@ -52,6 +52,38 @@ def test_strip_endings_against_the_loop(spark):
     assert got == want
 
 
+def test_endings_as_tried_one_by_one(spark):
+    """The same names and parts as trying every ending in order, pass by pass;
+    the passes are planned once and not left to the few tasks of a small file."""
+    import re
+
+    def reference(n):
+        cut, first, before = [], True, None
+        while n != before:
+            before = n
+            for e in S.NAME_ENDINGS:
+                hit = n.endswith(" " + e)
+                n = (n[:-len(e)] if hit else n).strip(" ")
+                n = n[:-1] if n.endswith(",") else n
+                cut += [e] * hit
+            if first:
+                n, first, before = re.sub(r"(.*\s[A-Z]?)(\.)(\s)", r"\1\3", n), False, None
+        return n, cut
+
+    rnd = random.Random(3)
+    bits = [*S.NAME_ENDINGS, "JOHN", "Q.", "LEE", "ST. JAMES", ",", ",,", "", "A"]
+    names = ["", " ", ",", "MD", " MD", "A\n", "A MD\n", "A,, MD, ,", "  A B, JR. MD ,"]
+    names += [rnd.choice([" ", ", ", "  "]).join(rnd.choices(bits, k=rnd.randint(1, 6))) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(names)) + [(-1, None)], "i int, NameFull string").coalesce(1)
+    out = N.strip_endings(df, "NameFull", S.NAME_ENDINGS)
+    got = {r.i: (r.NameFull, list(r.stripped)) for r in out.collect()}
+    assert got.pop(-1) == (None, [])
+    assert got == {i: reference(n) for i, n in enumerate(names)}
+    plan = N.suffix_tokens(out, "i")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan and plan.count("namedlambdavariable") == \
+        out._jdf.queryExecution().optimizedPlan().toString().count("namedlambdavariable")
+
+
 def test_listed_names_order_and_suffix(spark):
     df = spark.createDataFrame([(1, "ANN  Q. LEE, JR., M.D."), (2, "CHER")], "samhsa_id int, NameFull string")
     names, tokens = N.listed_names(df)
