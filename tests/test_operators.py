@@ -144,6 +144,30 @@ def test_copresent_hot_and_null_places(spark):
     assert got == {**want, 700: 1}
 
 
+def test_copresent_few_and_crowded_places_against_all_pairs(spark):
+    """Sets mix crowded places, places of a few, repeated and null ones; a place
+    of a few makes no bitmap."""
+    rnd = random.Random(11)
+    data = [(rnd.randint(0, 250), rnd.choice(["hot", "warm", None, *[f"L{i}" for i in range(60)]]),
+             rnd.randint(0, 1)) for _ in range(1500)]
+    df = frame(spark, data, "p int, a string, q int").withColumn("md", F.col("p") % 2 == 0)
+    want = {(p, q): {p3 for p2, a2, q2 in data if (p2, q2) == (p, q)
+                     for p3, a3, q3 in data if (a3, q3) == (a2, q2) and p3 % 2}
+            for p, _, q in data if p % 2 == 0}
+    for few in (0, 3, 64):
+        out = J.count_copresent(df, "p", ["a"], ["q"], F.col("md"), ~F.col("md"), few=few)
+        assert {(r.p, r.q): r.n_others for r in out.collect()} == {k: len(v) for k, v in want.items()}
+
+
+def test_copresent_makes_no_bitmap_where_few_meet(spark, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(J, "_bitmaps", lambda rows, *a, real=J._bitmaps: made.append(real(rows, *a)) or made[-1])
+    df = spark.range(600).select((F.col("id") % 200).alias("p"), (F.col("id") % 120).alias("a"),
+                                 F.lit(1).alias("q")).withColumn("md", F.col("p") % 2 == 0)
+    assert J.count_copresent(df, "p", ["a"], ["q"], F.col("md"), ~F.col("md")).count() == 100
+    assert made[0].count() == 0
+
+
 def test_prefix_fallback(spark):
     df = frame(spark, [(1, "021390001"), (2, "02138"), (3, "99999")], "i int, zip string")
     dim = frame(spark, [("02139", 1), ("02137", 2)], "z string, u int")
