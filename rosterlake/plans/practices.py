@@ -373,8 +373,9 @@ def np_counts_master(locations: DataFrame, known: DataFrame, types: DataFrame,
                      **period: str) -> DataFrame:
     """From locations, listed groups and types to counts per physician-quarter."""
     full = match_to_groups(locations, master_group_practices(known, **period))
-    members = natural_join(full.select("npi", "quarter", "group_quarter_loc_id").distinct(),
-                           types, on=["npi"], null_equal=False)
+    # counted from in several reads, each of which would match the groups anew
+    members = cut(natural_join(full.select("npi", "quarter", "group_quarter_loc_id").distinct(),
+                               types, on=["npi"], null_equal=False))
     return np_counts_for_mds(locations.select("npi", "quarter").distinct(), members, types)
 
 
