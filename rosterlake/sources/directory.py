@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rosterlake import schemas as S
 from rosterlake.functions.dates import detect_date
 from rosterlake.operators.quality import observed, value_or_error
-from rosterlake.sources.files import (BAD_LINE, harmonize, list_files, read_groups, read_text_table,
-                                      union_vintages, whole_files, with_path)
+from rosterlake.sources.files import (BAD_LINE, first_lines, harmonize, list_files, read_groups,
+                                      read_text_table, union_vintages, whole_files, with_path)
 
 # Vintages read without header (one repeats it as a data row).
 HEADERLESS = {"2014-03-01", "2014-06-01"}
@@ -23,7 +23,7 @@ LONG_NAMES = {**S.DIRECTORY_COLUMNS, **S.DIRECTORY_SHORT}
 
 def _peek(spark: SparkSession, path: str, n: int) -> list[list[str]]:
     """The fields of the first lines: layout, not data."""
-    return list(csv.reader(r[0] for r in spark.read.text(path).take(n)))
+    return list(csv.reader(r[0] for r in first_lines(spark, path, n).collect()))
 
 
 def _people_only(df: DataFrame, npi: str = "NPI") -> DataFrame:

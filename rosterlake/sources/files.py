@@ -155,13 +155,22 @@ def _column_names(header: str, sep: str) -> tuple[str, ...]:
                  for i, f in enumerate(fields))
 
 
+def first_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """The first ``n`` lines of a landed file, as ``value``. A text scan would
+    split a long file, and which of its pieces comes first is then open, so
+    the file is streamed whole, and only as far as the lines go."""
+    whole = (spark.read.schema("value string").option("multiLine", "true")
+             .option("sep", "\u0001").option("quote", ""))
+    return whole.csv(path).limit(n)
+
+
 def header_catalogue(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[str, tuple]:
     """The columns each file's header names. Only first lines are read, all in
     one job for every ``LOT`` files; the layout of files, not data."""
     out = {}
     for at in range(0, len(paths), LOT):
         lot = paths[at:at + LOT]
-        lines = [spark.read.text(p).limit(1).select(F.lit(i).alias("i"), "value") for i, p in enumerate(lot)]
+        lines = [first_lines(spark, p, 1).select(F.lit(i).alias("i"), "value") for i, p in enumerate(lot)]
         for r in reduce(lambda a, b: a.unionByName(b), lines).collect():
             out[lot[r["i"]]] = _column_names(r["value"], sep)
     return out

@@ -48,6 +48,25 @@ def test_file_discovery(spark, landing):
     assert rows(files.single_variable_files(all_files, "pgender"), "month") == [(date(2011, 3, 1),), (date(2019, 12, 1),)]
 
 
+def test_header_of_a_file_longer_than_one_split(spark, tmp_path):
+    """A scan in pieces leaves open which piece's first line comes first."""
+    long = tmp_path / "long.csv"
+    put(long, "NPI, Code \n" + "".join(f"{i},x\n" for i in range(5000)))
+    sizes = {"spark.sql.files.maxPartitionBytes": "1024", "spark.sql.files.openCostInBytes": "0"}
+    old = {k: spark.conf.get(k) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        assert spark.read.text(str(long)).rdd.getNumPartitions() > 8
+        # unlimited, the head's scan is still one piece
+        assert files.first_lines(spark, str(long), 10_000).rdd.getNumPartitions() == 1
+        assert files.first_lines(spark, str(long), 10_000).count() == 5001
+        assert files.header_catalogue(spark, [str(long)]) == {str(long): ("NPI", " Code ")}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_panel_from_landed_files(spark, landing, tmp_path):
     root = str(tmp_path / "panels")
     P.refresh_variable(spark, landing, root, "pgender", update=False)
