@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rosterlake.functions.text import directory_phone, pad_zip
 from rosterlake.operators.joins import join_group_stats, natural_join, with_group_stats
 from rosterlake.operators.rows import modes
+from rosterlake.session import cut
 
 
 def _filled(ids: Sequence[str], may_be_null: Iterable[str] = ()) -> Column:
@@ -132,15 +133,19 @@ def repair_zips(df: DataFrame, zip_col: str = "zip", state: str = "state",
                 group: str = "group_id") -> DataFrame:
     """Put back lost leading zeros: one by state, two where the same group
     also lists the padded ZIP."""
-    padded = df.withColumn(zip_col, pad_zip(zip_col, state))
+    padded = cut(df.withColumn(zip_col, pad_zip(zip_col, state)))
     listed = padded.select(group, zip_col).where(F.col(group).isNotNull()).distinct()
     short = (listed.where(F.length(zip_col).isin(3, 7))
              .withColumn("__padded", F.concat(F.lit("00"), F.col(zip_col))))
     confirmed = natural_join(short, listed.withColumnRenamed(zip_col, "__padded"),
                              on=[group, "__padded"], null_equal=False)
-    return (natural_join(padded, confirmed, "left", on=[group, zip_col], null_equal=False)
-            .withColumn(zip_col, F.coalesce("__padded", F.col(zip_col)))
-            .select(*df.columns))
+    # only short ZIPs meet in the join, all others pass by
+    short_row = F.coalesce(F.length(zip_col).isin(3, 7), F.lit(False))
+    fixed = (natural_join(padded.where(short_row), confirmed, "left", on=[group, zip_col],
+                          null_equal=False)
+             .withColumn(zip_col, F.coalesce("__padded", F.col(zip_col)))
+             .select(*df.columns))
+    return fixed.unionByName(padded.where(~short_row))
 
 
 def repair_phones(df: DataFrame, npi: str = "npi", date: str = "date",
@@ -151,7 +156,7 @@ def repair_phones(df: DataFrame, npi: str = "npi", date: str = "date",
     out = df.withColumn(phone, directory_phone(phone))
     for lead in (npi, date):
         ids = [lead, group, state, zip_col]
-        out = batch_fill(out, ids, [phone], blank_ids=ids, distinct=False)
+        out = batch_fill(cut(out), ids, [phone], blank_ids=ids, distinct=False, split=True)
     return out
 
 
