@@ -9,6 +9,7 @@ value where phones identify (two blanks match), never a value to copy.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -155,7 +156,8 @@ def infer_all_groups(inferred: DataFrame, locations: DataFrame,
     hit = hit.select(*own, *[v.alias(f"__{c}") for c, v in found.items()])
     for c in targets:
         hit = hit.select("*", F.explode_outer(f"__{c}").alias(c))
-    grown = base.unionByName(hit.select(*base.columns)).distinct()
+    hit = hit.select(*base.columns)
+    grown = base.unionByName(hit).distinct()
     # blank phones of the two sources are different values
     blank = F.col("phone").isNull()
     out = natural_join(grown.withColumn("__blank", F.when(blank, "directory")),
@@ -166,7 +168,10 @@ def infer_all_groups(inferred: DataFrame, locations: DataFrame,
         return df.groupBy("npi").agg(F.min("quarter").alias("quarter_x"),
                                      F.max("quarter").alias("quarter_y"))
 
-    return out, members, dates(base), dates(out)
+    # an outer join keeps every row of both sides and changes no person or
+    # quarter, so the dates of ``out`` are those of its sides, without it
+    sides = [df.select("npi", "quarter") for df in (base, hit, registry)]
+    return out, members, dates(base), dates(reduce(lambda a, b: a.unionByName(b), sides))
 
 
 # Count columns per kind of group id.

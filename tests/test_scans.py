@@ -2,8 +2,10 @@
 
 from datetime import date
 
+from pyspark.sql import functions as F
 
 from rosterlake.operators import impute as I
+from rosterlake.plans import practices as P
 from tests.conftest import rows
 
 
@@ -29,3 +31,16 @@ def test_repairs_join_only_rows_that_need_one(spark):
     phones = I.repair_phones(zips)
     assert [r for r in rows(phones, "npi", "phone") if r[0] == 4] == [(4, "5551234567")] * 2
     assert "__todo" in optimized(phones)
+
+
+def test_dates_of_all_rows_need_no_outer_join(spark):
+    day, later = date(2020, 1, 1), date(2020, 7, 1)
+    inferred = spark.createDataFrame(
+        [("S", "1", "5", 9, 90, 1, day), ("S", "1", None, None, 91, 2, later), ("S", None, "5", 9, 90, None, day)],
+        "state string, zip string, phone string, group_id long, my_group_id long, npi long, date date")
+    locations = spark.createDataFrame(
+        [(1, later, "S", "1", "5"), (3, day, "S", "1", "5"), (3, None, None, "1", None), (4, None, "S", "1", "5"), (None, later, "S", "1", "5")],
+        "npi long, quarter date, plocstatename string, ploczip string, ploctel string")
+    out, _, _, dates = P.infer_all_groups(inferred, locations, [])
+    assert rows(dates) == rows(out.groupBy("npi").agg(F.min("quarter"), F.max("quarter")))
+    assert "FullOuter" not in optimized(dates) and "FullOuter" in optimized(out)
