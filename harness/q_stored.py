@@ -11,7 +11,7 @@ from rosterlake.operators import sketches as K
 from rosterlake.operators.joins import join_group_stats
 from rosterlake.operators.quality import cast_losses, observed
 from rosterlake.plans.practices import members_per
-from rosterlake.session import work_path
+from rosterlake.session import cut, work_path
 from rosterlake.sources.directory import read_directory, store_directory
 from rosterlake.sources.licences import read_licences
 from rosterlake.streaming import weekly as W
@@ -67,7 +67,8 @@ def _vintages(t) -> str:
     row (2014-06); lines with a field too few or too many (2014-12); a column
     that holds nothing and has no header (2016-07)."""
     root = work_path(t.spark, "vintages")
-    d = t.directory.select(F.col("npi").cast("string").alias("npi"), F.coalesce("zip", F.lit("")).alias("zip"))
+    # landed three times from one written table
+    d = cut(t.directory.select(F.col("npi").cast("string").alias("npi"), F.coalesce("zip", F.lit("")).alias("zip")))
     names = [n for n in S.DIRECTORY_COLUMNS if n != "Phone Number"]
     own = {k: v for k, v in S.DIRECTORY_COLUMNS.items() if v in d.columns}
     line = F.concat_ws(",", *[F.col(own[n]) if n in own else F.lit("x") for n in names])

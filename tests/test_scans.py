@@ -1,9 +1,11 @@
 """Work that must be done once, or only on the rows that need it."""
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
+from harness.catalog import SPARK
 from rosterlake.operators import impute as I
 from rosterlake.plans import practices as P
 from tests.conftest import rows
@@ -13,6 +15,34 @@ def optimized(df) -> str:
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def landed_plans(monkeypatch, build) -> list[str]:
+    """The plans behind all CSV files that ``build`` lands."""
+    plans, csv = [], DataFrameWriter.csv
+
+    def spy(self, *args, **kwargs):
+        plans.append(optimized(self._df))
+        return csv(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "csv", spy)
+    build()
+    return plans
+
+
+def line_tables(spark, root) -> str:
+    lines = [(o, 1 + o % 3, 1 + o % 2, 1, datetime(1996, 1 + o % 9, 3), "A", "F", 3.0) for o in range(12)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_shipdate timestamp, "
+                          "l_returnflag string, l_linestatus string, l_quantity double").write.parquet(f"{root}/lineitem.parquet")
+    orders = [(o, o % 4, datetime(1995 + o % 3, 2, 1)) for o in range(12)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp").write.parquet(f"{root}/orders.parquet")
+    return str(root)
+
+
+def test_vintages_are_landed_from_one_written_table(spark, tmp_path, monkeypatch):
+    at = line_tables(spark, tmp_path)
+    plans = landed_plans(monkeypatch, lambda: SPARK["s12_other_vintages"](spark, at))
+    assert plans and not any("Aggregate" in p for p in plans)
+
+
 DIRECTORY = "npi long, date date, group_id long, state string, zip string, phone string"
 
 
