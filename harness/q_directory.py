@@ -9,6 +9,7 @@ from harness.registry import query
 from rosterlake.operators import impute as I
 from rosterlake.plans import claims as C
 from rosterlake.plans import directory as D
+from rosterlake.session import cut
 from rosterlake.sources import licences as L
 
 
@@ -314,9 +315,10 @@ def _(t):
     """Land yearly tab-separated files, find them by name, scan some columns."""
     from rosterlake.session import work_path
     from rosterlake.sources.claims import part_d
-    root, years = work_path(t.spark, "claims"), _years_of(t.claims_detail)
+    detail = cut(t.claims_detail)     # read once a year
+    root, years = work_path(t.spark, "claims"), _years_of(detail)
     for year in years:
-        (t.claims_detail.where(F.col("Year") == year).drop("Year").write.option("sep", "\t")
+        (detail.where(F.col("Year") == year).drop("Year").write.option("sep", "\t")
          .option("header", "true").csv(f"{root}/PartD_Prescriber_PUF_NPI_DRUG_{year + 18}.txt"))
     return part_d(t.spark, root, columns=["npi", "drug_name", "total_claim_count"],
                   years=[y + 18 for y in years])
@@ -332,9 +334,10 @@ def _(t):
     wanted = ["National Provider Identifier", "HCPCS Code", "Number of Medicare Beneficiaries"]
     headers = [["National Provider Identifier ", "HCPCS Code", " Number of Medicare Beneficiaries"],
                ["NPI", "HCPCS_CODE", "BENE_UNIQUE_CNT"]]
-    root, years = work_path(t.spark, "partb"), _years_of(t.services)
+    services = cut(t.services)        # read once a year
+    root, years = work_path(t.spark, "partb"), _years_of(services)
     for year in years:
-        (t.services.where(F.col("Year") == year).select(*[
+        (services.where(F.col("Year") == year).select(*[
             F.col(c).alias(n) for c, n in zip(["npi", "hcpcs_code", "beneficiaries"], headers[year % 2])])
          .write.option("header", "true").csv(f"{root}/{PART_B_DETAIL}{year + 18}.csv"))
     return part_b(t.spark, root, columns=wanted, years=[y + 18 for y in years])

@@ -37,6 +37,13 @@ def line_tables(spark, root) -> str:
     return str(root)
 
 
+def test_yearly_files_are_landed_from_one_written_table(spark, tmp_path, monkeypatch):
+    at = line_tables(spark, tmp_path)
+    for name in ("s10_part_b_headers", "s8_part_d_scan"):
+        plans = landed_plans(monkeypatch, lambda: SPARK[name](spark, at))
+        assert plans and not any("Aggregate" in p for p in plans)
+
+
 def test_vintages_are_landed_from_one_written_table(spark, tmp_path, monkeypatch):
     at = line_tables(spark, tmp_path)
     plans = landed_plans(monkeypatch, lambda: SPARK["s12_other_vintages"](spark, at))
