@@ -97,6 +97,30 @@ def batch_fill(df: DataFrame, ids: Sequence[str], targets: Sequence[str],
     return out.distinct() if distinct else out
 
 
+def fill_beside(df: DataFrame, ids: Sequence[str], targets: Sequence[str],
+                blank_ids: Sequence[str] = ()) -> DataFrame:
+    """``batch_fill`` as a window, copies kept: for rows laid by some of ``ids``
+    already, of which no key is large. Costs a sort, and none if they lie so."""
+    usable, key = _filled(ids, blank_ids), Window.partitionBy(*ids)
+    new = {}
+    for t in targets:
+        hi = F.max(t).over(key)
+        new[t] = F.coalesce(F.col(t), F.when(usable & (F.min(t).over(key) == hi), hi))
+    return df.withColumns(new)
+
+
+def fill_tuple_beside(df: DataFrame, ids: Sequence[str], targets: Sequence[str],
+                      where: Column | None = None) -> DataFrame:
+    """``fill_from`` the ``consistent_tuple`` as a window, as in ``fill_beside``;
+    rows outside ``where`` stay as they are."""
+    known = reduce(lambda a, b: a | b, [F.col(t).isNotNull() for t in targets])
+    packed, key = F.when(known, F.struct(*targets)), Window.partitionBy(*ids)
+    lo, hi = F.min(packed).over(key), F.max(packed).over(key)
+    found = F.when(lo.eqNullSafe(hi) & (F.lit(True) if where is None else where), hi)
+    met = df.withColumn("__tuple", found)
+    return met.withColumns({t: F.coalesce(F.col(t), F.col(f"__tuple.{t}")) for t in targets}).drop("__tuple")
+
+
 def purge_nulls(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
     """Drop a null row only where its key has a value elsewhere."""
     seen = with_group_stats(df, keys, __known=F.max(F.col(column).isNotNull()))

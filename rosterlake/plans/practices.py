@@ -11,13 +11,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rosterlake import schemas as S
 from rosterlake.functions.dates import quarter_start
 from rosterlake.functions.text import group_location_id
 from rosterlake.operators.impute import (backfill_periods, batch_fill, consistent_tuple,
-                                         consistent_value, fill_from)
+                                         consistent_value, fill_beside, fill_from,
+                                         fill_tuple_beside)
 from rosterlake.operators.joins import (anti_join, count_copresent, join_group_stats,
                                         natural_join, provenance_join, semi_join,
                                         with_group_stats)
@@ -29,44 +30,85 @@ from rosterlake.session import cut
 DIRECTORY = ["npi", "date", "org_name", "group_id", "group_size", "state", "zip", "phone"]
 
 
-def infer_groups(directory: DataFrame, late_years: Sequence[int] = (2018, 2019, 2020)
-                 ) -> tuple[DataFrame, DataFrame]:
+PERSON_ROWS = 100_000     # rows of a person up to which one task looks at them together
+
+
+def infer_groups(directory: DataFrame, late_years: Sequence[int] = (2018, 2019, 2020),
+                 person_rows: int = PERSON_ROWS) -> tuple[DataFrame, DataFrame]:
     """(rows with a group, rows without), after ten ordered fill passes.
 
     ``directory`` is already repaired. The first five kinds of pass look at
-    one person at a time, as aggregates joined back. The two eras are kept
+    one person at a time: rows are dealt by person once, and a pass is a sort
+    there. Persons of more than ``person_rows`` rows take the same passes as
+    aggregates joined back, which spread over tasks. The two eras are kept
     apart by an extra id instead of two copies of the data.
     """
-    rows = directory.select(*DIRECTORY).distinct()
-    rows = with_group_stats(rows, ["npi"], __grouped=F.max(F.col("group_id").isNotNull()))
     late = F.coalesce(F.year("date").isin(list(late_years)), F.lit(False))
-    rows = cut(rows.withColumn("__late", late))
-    missing = rows.where("not __grouped").select(*DIRECTORY)
-    known = _person_passes(rows.where("__grouped").drop("__grouped"))
-    known = cut(known.drop("__late").distinct())
-
-    spot = ["date", "state", "zip", "phone"]
-    has_phone = known.where(F.col("phone").isNotNull())
-    known = cut(batch_fill(has_phone, spot, ["group_id"], distinct=False, split=True)
-                .unionByName(known.where(F.col("phone").isNull())).distinct())
-    sure = consistent_value(known.where(F.col("phone").isNotNull()),
-                            ["state", "zip", "date", "phone"], "group_id")
-    rest = missing.unionByName(known.where(F.col("group_id").isNull()))
-    rest = cut(fill_from(rest, sure, ["state", "zip", "date", "phone"]))
-    return (known.where(F.col("group_id").isNotNull())
-            .unionByName(rest.where(F.col("group_id").isNotNull())),
-            rest.where(F.col("group_id").isNull()))
+    rows = cut(directory.select(*DIRECTORY).distinct().withColumn("__late", late))
+    sizes = rows.groupBy("npi").agg(F.count(F.lit(1)).alias("__n"))
+    large = cut(sizes.where(F.col("__n") > person_rows).select("npi"))
+    if large.isEmpty():
+        rows = cut(_passes_beside(rows))
+    else:
+        rows = cut(_passes_beside(anti_join(rows, large, on=["npi"])).unionByName(
+            _passes_joined(semi_join(rows, large, on=["npi"]))))
+
+    # a value that one place, date and phone has alone is the same before and
+    # after rows there are filled from it, so one table serves all the rest
+    spot = ["state", "zip", "date", "phone"]
+    sure = consistent_value(rows.where("__grouped"), spot, "group_id")
+    rest = cut(fill_from(rows.where(F.col("group_id").isNull()), sure, spot))
+    found = rest.where(F.col("group_id").isNotNull())
+    listed = rows.where(F.col("group_id").isNotNull())
+    # only rows beside a blank one can be met by a filled one
+    beside = listed.where("__open").unionByName(found).select(*DIRECTORY).distinct()
+    return (listed.where("not __open").select(*DIRECTORY).unionByName(beside),
+            rest.where(F.col("group_id").isNull()).select(*DIRECTORY))
+
+
+_PLACE = ["npi", "state", "zip", "phone"]
+_DETAILS = ["zip", "org_name", "group_size", "state", "phone"]
+_SPOT = ["npi", "date", "state", "zip", "phone"]
+
+
+def _passes_beside(rows: DataFrame) -> DataFrame:
+    """The passes within a person, for persons that fit one task: distinct rows,
+    with whether the person has a group (``__grouped``; others stay as they are)
+    and whether a row of the same date and place is without (``__open``).
+
+    All keys begin with the person, so rows move once; passes whose keys begin
+    alike share a sort.
+    """
+    blank = F.col("group_id").isNull()
+    rows = rows.repartition("npi").sortWithinPartitions(*_PLACE)
+    rows = rows.withColumn("__grouped", F.max(~blank).over(Window.partitionBy("npi")))
+    rows = fill_beside(rows, _PLACE, ["group_id"], ["phone"])
+    rows = rows.sortWithinPartitions("npi", "group_id", "__late")
+    rows = fill_beside(rows, ["npi", "group_id"], _DETAILS)
+    rows = fill_beside(rows, ["npi", "group_id", "__late"], _DETAILS)
+    era = ["npi", "state", "zip", "__late"]
+    rows = fill_beside(rows, [*era, "phone"], ["group_id"], ["phone"])
+    rows = fill_tuple_beside(rows, era, ["org_name", "phone", "group_id"], F.col("__grouped"))
+    rows = rows.drop("__late").distinct()
+    return rows.withColumn("__open", F.max(blank).over(Window.partitionBy(*_SPOT)))
+
+
+def _passes_joined(rows: DataFrame) -> DataFrame:
+    """``_passes_beside`` for persons of any size."""
+    blank = F.col("group_id").isNull()
+    rows = cut(with_group_stats(rows, ["npi"], __grouped=F.max(~blank)))
+    known = _person_passes(rows.where("__grouped"))
+    rows = known.unionByName(rows.where("not __grouped")).drop("__late").distinct()
+    return with_group_stats(cut(rows), _SPOT, __open=F.max(blank))
 
 
 def _person_passes(rows: DataFrame) -> DataFrame:
     """The passes within a person, in order. Copies a pass makes do no harm
     to the next, so they are only folded at the end."""
-    place = ["npi", "state", "zip", "phone"]
-    details = ["zip", "org_name", "group_size", "state", "phone"]
-    rows = _joined_fill(rows, place, ["group_id"], ["phone"])
-    rows = _joined_fill(rows, ["npi", "group_id"], details)
-    rows = _joined_fill(rows, ["npi", "group_id", "__late"], details)
-    rows = _joined_fill(rows, [*place, "__late"], ["group_id"], ["phone"])
+    rows = _joined_fill(rows, _PLACE, ["group_id"], ["phone"])
+    rows = _joined_fill(rows, ["npi", "group_id"], _DETAILS)
+    rows = _joined_fill(rows, ["npi", "group_id", "__late"], _DETAILS)
+    rows = _joined_fill(rows, [*_PLACE, "__late"], ["group_id"], ["phone"])
     return _joined_fill_tuple(rows, ["npi", "state", "zip", "__late"], ["org_name", "phone", "group_id"])
 
 
@@ -556,6 +598,7 @@ def waiver_analysis(directory: DataFrame, registry_types: DataFrame, creds: Data
     ``specialty_rows``: npi, primary_specialty, secondary_specialty_1 to 4.
     """
     known, missing = infer_groups(directory)
+    known = cut(known)
     inferred, by_listed, by_own = impute_groups(known, missing)
     subset, types = reconcile_types(registry_types, creds, listed_types)
     types = cut(types)

@@ -175,6 +175,24 @@ def test_group_passes_do_not_depend_on_order(spark):
     assert a[0].where("group_id is null").isEmpty() and a[1].where("group_id is not null").isEmpty()
 
 
+def test_group_passes_move_persons_once(spark, monkeypatch):
+    rnd = random.Random(9)
+    data = [(rnd.choice([None, *range(1, 40)]), rnd.choice([None, date(rnd.choice([2014, 2018, 2019]), 1, 1)]),
+             rnd.choice(["O1", "O2", None]), rnd.choice([1, 2, 3, None, None]), rnd.choice([5, None]),
+             rnd.choice(["MA", "NY", None]), rnd.choice(["02139", "10001", None]),
+             rnd.choice(["6175550000", None, "6175550001"])) for _ in range(700)]
+    data = [r if (r[0] or 1) % 3 else (*r[:3], None, *r[4:]) for r in data]
+    df = spark.createDataFrame(data, "npi int, date date, org_name string, group_id int, group_size int, "
+                                     "state string, zip string, phone string")
+    written, cut = [], P.cut
+    monkeypatch.setattr(P, "cut", lambda d: written.append(1) or cut(d))
+    beside = [rows(d) for d in P.infer_groups(df)]
+    assert len(written) <= 4    # a pass is no table of its own
+    # persons of any size, and some of each kind
+    for limit in (0, 20):
+        assert [rows(d) for d in P.infer_groups(df, person_rows=limit)] == beside
+
+
 # ----------------------------------------------------------------- linkage
 
 def _pairs(left, right, blocked):
