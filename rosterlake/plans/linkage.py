@@ -27,6 +27,18 @@ from rosterlake.operators.rows import only_unique
 from rosterlake.session import cut
 
 
+def _dealt(join):
+    """The join with both sides dealt by key. Every side here grows with the
+    list or the registry, and a broadcast one would pass through the driver."""
+    def run(left: DataFrame, right: DataFrame, *args, **options) -> DataFrame:
+        return join(left, right.hint("merge"), *args, **options)
+    return run
+
+
+_anti_join, _semi_join, _join_group_stats, _natural_join = map(
+    _dealt, (anti_join, semi_join, join_group_stats, natural_join))
+
+
 @dataclass
 class Source:
     """One side of the linkage: names, and the values of each attribute.
@@ -54,13 +66,13 @@ def conform(source: Source, wanted: Sequence[str], extra: Sequence[str] = (),
     keys = list(source.name_keys)
     out = source.names.select(source.id, *keys, *extra).distinct()
     if within is not None:
-        out = semi_join(out, within.select(*keys).distinct(), on=keys)
+        out = _semi_join(out, within.select(*keys).distinct(), on=keys)
     for a in wanted:
-        out = natural_join(out, source.attributes[a].select(source.id, a).distinct(),
+        out = _natural_join(out, source.attributes[a].select(source.id, a).distinct(),
                            on=[source.id], null_equal=False)
         keys.append(a)
         if within is not None:
-            out = semi_join(out, within.select(*keys).distinct(), on=keys)
+            out = _semi_join(out, within.select(*keys).distinct(), on=keys)
     return out
 
 
@@ -72,11 +84,11 @@ def clean_matches(left: DataFrame, right: DataFrame, id_use: str, id_target: str
     match each other.
     """
     if blocked is not None:
-        left = anti_join(left, blocked.select(id_use), on=[id_use], null_equal=False)
-        right = anti_join(right, blocked.select(id_target), on=[id_target], null_equal=False)
+        left = _anti_join(left, blocked.select(id_use), on=[id_use], null_equal=False)
+        right = _anti_join(right, blocked.select(id_target), on=[id_target], null_equal=False)
     targets = right.groupBy(*keys).agg(F.min(id_target).alias("__lo"),
                                        F.max(id_target).alias("__hi"))
-    hits = join_group_stats(left.select(id_use, *keys), targets, keys, how="inner")
+    hits = _join_group_stats(left.select(id_use, *keys), targets, keys, how="inner")
     sure = (hits.groupBy(id_use).agg(F.min("__lo").alias("__lo"), F.max("__hi").alias(id_target))
             .where(F.col("__lo") == F.col(id_target)).select(id_use, id_target))
     return only_unique(sure, [id_target])
@@ -85,7 +97,7 @@ def clean_matches(left: DataFrame, right: DataFrame, id_use: str, id_target: str
 def _free(df: DataFrame, found: DataFrame | None, id_column: str) -> DataFrame:
     if found is None:
         return df
-    return anti_join(df, found.select(id_column), on=[id_column], null_equal=False)
+    return _anti_join(df, found.select(id_column), on=[id_column], null_equal=False)
 
 
 def _all(frames: Sequence[DataFrame]) -> DataFrame | None:
@@ -153,7 +165,7 @@ class TieredLinkage:
         keys = self._shared(target)
         sizes = [side.names.select(side.id, *keys).distinct().groupBy(*keys).agg(
             F.count(F.lit(1)).alias(n)) for side, n in ((self.listed, "__l"), (target, "__r"))]
-        both = natural_join(*sizes, on=keys).where(F.col("__l") * F.col("__r") > limit)
+        both = _natural_join(*sizes, on=keys).where(F.col("__l") * F.col("__r") > limit)
         missing = [k for k in self.listed.name_keys if k not in keys]
         return both.select(F.lit(i).alias("source"), *keys,
                            *[F.lit(None).cast("string").alias(k) for k in missing])
@@ -162,7 +174,7 @@ class TieredLinkage:
     def _sets(source: Source, ids: DataFrame) -> DataFrame:
         """One row per id of ``ids``: the values of each attribute as a set; a
         null value is a value, an id without any has no set."""
-        rows = _all([semi_join(source.attributes[a], ids, on=[source.id], null_equal=False).select(
+        rows = _all([_semi_join(source.attributes[a], ids, on=[source.id], null_equal=False).select(
             source.id, F.lit(a).alias("__a"), F.coalesce(F.col(a), F.lit("\0")).alias("__v"))
             for a in ATTRIBUTES if a in source.attributes])
         return rows.groupBy(source.id).agg(*[
@@ -175,13 +187,13 @@ class TieredLinkage:
         theirs = target.names.select(target.id, *keys).distinct()
         if i in self.crowded:
             crowded = self._names_in.where(F.col("source") == i).select(*keys)
-            mine = anti_join(mine, crowded, on=keys)
-        pairs = join_group_stats(theirs, mine, keys, how="inner").select(
+            mine = _anti_join(mine, crowded, on=keys)
+        pairs = _join_group_stats(theirs, mine, keys, how="inner").select(
             self.listed.id, target.id, "order").distinct()
         sets = self._sets(target, pairs.select(target.id).distinct())
         there = {f"__{a}": f"__t_{a}" for a in ATTRIBUTES}
-        pairs = join_group_stats(pairs, self._values, [self.listed.id])
-        pairs = join_group_stats(pairs, sets.withColumnsRenamed(there), [target.id])
+        pairs = _join_group_stats(pairs, self._values, [self.listed.id])
+        pairs = _join_group_stats(pairs, sets.withColumnsRenamed(there), [target.id])
         mask = reduce(lambda x, y: x + y, [
             F.when(F.arrays_overlap(f"__{a}", f"__t_{a}"), 1 << n).otherwise(0)
             for n, a in enumerate(ATTRIBUTES)])
@@ -197,7 +209,7 @@ class TieredLinkage:
         names = self._names_in.where(F.col("source") == i).select(*keys)
 
         def under(source: Source) -> Source:
-            return Source(source.id, semi_join(source.names, names, on=keys), source.attributes, keys)
+            return Source(source.id, _semi_join(source.names, names, on=keys), source.attributes, keys)
 
         mine = cut(_free(conform(under(self.listed), attributes, ["order"]), found, self.listed.id))
         theirs = cut(_free(conform(under(self._typed(self.targets[i])), attributes, (), mine), found,
@@ -214,7 +226,7 @@ class TieredLinkage:
             per_key = _free(theirs, new, b).groupBy(*keys).agg(
                 F.min(b).alias("__lo"), F.max(b).alias("__hi"))
             mine = _free(mine.where(F.col("order") == order), new, a).select(a, *keys)
-            more = join_group_stats(mine, per_key, keys, how="inner").select(a, "__lo", "__hi")
+            more = _join_group_stats(mine, per_key, keys, how="inner").select(a, "__lo", "__hi")
             hits = hits.unionByName(more).groupBy(a).agg(F.min("__lo").alias("__lo"),
                                                          F.max("__hi").alias("__hi"))
         sure = hits.where(F.col("__lo") == F.col("__hi")).select(a, F.col("__lo").alias(b))
@@ -259,14 +271,14 @@ class TieredLinkage:
             base = self.tier(attributes, base)
         loose = []
         for attributes in branches:
-            loose.append(anti_join(self.tier(attributes, base).select(*ids),
+            loose.append(_anti_join(self.tier(attributes, base).select(*ids),
                                    base.select(*ids), null_equal=False))
         with_middle = (self.listed.names.where(F.col("middlename") != "")
                        .where(F.col("order") == 1).select(self.listed.id).distinct())
         for attributes in middle_branches:
             new = self.tier(attributes, base).where(F.col("order") == 1).select(*ids)
-            new = semi_join(new, with_middle, on=[self.listed.id], null_equal=False)
-            loose.append(anti_join(new, base.select(*ids), null_equal=False))
+            new = _semi_join(new, with_middle, on=[self.listed.id], null_equal=False)
+            loose.append(_anti_join(new, base.select(*ids), null_equal=False))
         out = base.select(*ids)
         if loose:
             more = reduce(lambda a, b: a.unionByName(b), loose).distinct()
@@ -285,13 +297,13 @@ class TieredLinkage:
         def flat(df: DataFrame, i: str) -> DataFrame:
             return df.select(i, drop_chars("name", "'- ").alias("__flat")).distinct()
 
-        mine = flat(anti_join(self.listed.names, found.select(a), on=[a], null_equal=False), a)
+        mine = flat(_anti_join(self.listed.names, found.select(a), on=[a], null_equal=False), a)
         theirs = flat(self.targets[0].names, b)
         pairs = clean_matches(mine, theirs, a, b, ["__flat"])
-        agreed = natural_join(natural_join(pairs, mine, on=[a], null_equal=False), theirs,
+        agreed = _natural_join(_natural_join(pairs, mine, on=[a], null_equal=False), theirs,
                               on=[b, "__flat"], null_equal=False)
         new = agreed.where(F.length("__flat") >= min_length).select(a, b).distinct()
-        return anti_join(new, found.select(b), on=[b], null_equal=False)
+        return _anti_join(new, found.select(b), on=[b], null_equal=False)
 
 
 def list_source(people: DataFrame, names: DataFrame) -> Source:

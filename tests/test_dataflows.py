@@ -215,6 +215,18 @@ def test_clean_matches_against_all_pairs(spark):
         assert set(map(tuple, got.collect())) == _pairs(left, right, blocked)
 
 
+def test_linkage_sends_no_side_through_the_driver(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "i int, k string")
+    right = spark.createDataFrame([(7, "a"), (8, "b"), (9, "b"), (6, None)], "j int, k string")
+    out = L.clean_matches(left, right, "i", "j", ["k"], spark.createDataFrame([(5, 5)], "i int, j int"))
+    assert rows(out) == [(1, 7), (3, 6)]
+    near = L.conform(L.Source("j", right.withColumnRenamed("k", "name"), {"state": right.select("j", F.col("k").alias("state"))}),
+                     ["state"])
+    assert rows(near) == [(6, None, None), (7, "a", "a"), (8, "b", "b"), (9, "b", "b")]
+    for df in (out, near):
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_crosswalk_is_one_to_one_and_uses_tiers(spark):
     listed = spark.createDataFrame(
         [(1, "ANN LEE", "", "", 1), (2, "BO O'HARA-KAY", "", "", 1), (3, "CY MO", "Q", "", 1), (4, "ANN LEE", "", "", 1)],
