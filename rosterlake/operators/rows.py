@@ -51,9 +51,11 @@ def last_non_null(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     must decide ties; equal order values fall back to the value itself.
     """
     keys = list(keys)
-    pick = F.min_by if first else F.max_by
-    aggs = [pick(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c)))).alias(c)
-            for c in columns]
+    # an extreme of tuples, as rows that come twice change nothing to it: a
+    # distinct or an outer join below that only repeats rows is then left out
+    pick = F.min if first else F.max
+    aggs = [pick(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("__value"))))
+            .getField("__value").alias(c) for c in columns]
     return df.where(_not_null(keys)).groupBy(*keys).agg(*aggs)
 
 
@@ -84,24 +86,30 @@ def frequent_values(df: DataFrame, value: str, more_than: int) -> DataFrame:
             .where(F.col("__n") > more_than).drop("__n"))
 
 
-def _sorted_slices(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+def _sorted_slices(df: DataFrame, order: Sequence[Column | str], distinct: bool = False
+                   ) -> DataFrame:
     """Range-partitioned, sorted, numbered and written; ``__slice`` and
     ``__pos`` say where each row lies. A hot key is spread over several slices
     as long as the order columns tell its rows apart. The numbers are written
-    with the rows, so a rerun of a later step sees the same ones."""
-    laid = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+    with the rows, so a rerun of a later step sees the same ones. With
+    ``distinct`` rows that come twice meet in their slice and count once."""
+    laid = df.repartitionByRange(*order)
+    laid = ((laid.distinct() if distinct else laid).sortWithinPartitions(*order)
             .withColumn("__mark", F.monotonically_increasing_id()))
     return (cut(laid).withColumn("__slice", F.shiftright("__mark", 33))
             .withColumn("__pos", F.col("__mark").bitwiseAND(F.lit((1 << 33) - 1)))
             .drop("__mark"))
 
 
-def surrogate_id(df: DataFrame, order: Sequence[str], out: str, offset: int = 0) -> DataFrame:
+def surrogate_id(df: DataFrame, order: Sequence[str], out: str, offset: int = 0,
+                 distinct: bool = False) -> DataFrame:
     """Dense ids 0, 1, 2 ... (+ ``offset``) in ``order``, with no global window.
 
-    Only one count per slice is ordered in a single task.
+    Only one count per slice is ordered in a single task. ``distinct`` numbers
+    the distinct rows in one move, where few rows come twice and ``order`` has
+    all columns.
     """
-    slices = _sorted_slices(df, order)
+    slices = _sorted_slices(df, order, distinct)
     sizes = slices.groupBy("__slice").agg(F.count(F.lit(1)).alias("__n"))
     w = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("__slice", F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__start"))

@@ -428,25 +428,37 @@ def np_counts_master(locations: DataFrame, known: DataFrame, types: DataFrame,
 
 # ------------------------------------------------------------ analysis panels
 
-def sole_practices(directory: DataFrame) -> DataFrame:
+def sole_practices(directory: DataFrame, details: Sequence[str] = ("org_name", "phone")
+                   ) -> DataFrame:
     """Every row gets a group: rows without one a single-row id, and a size
-    from the recounted members where none is listed."""
+    from the recounted members where none is listed. ``details`` are the
+    columns kept beside group, size and place; the ids are by all of them."""
     cols = ["npi", "date", "group_id", "group_size", "org_name", "state", "zip", "phone"]
-    rows = directory.select(*cols).distinct()
-    alone = surrogate_id(rows.where(F.col("group_id").isNull()).drop("group_id"),
-                         [c for c in cols if c != "group_id"], "group_id", S.ID_BY_PHONE_PLACE)
-    rows = cut(rows.where(F.col("group_id").isNotNull()).unionByName(alone))
-    size = members_per(rows, "group_id", "date", "__size")
-    out = join_group_stats(rows, size, ["group_id", "date"], how="inner")
-    return out.withColumn("group_size", F.coalesce("group_size", "__size")).drop("__size")
+    kept = [c for c in cols if c in details or c not in ("org_name", "phone")]
+    own = [c for c in cols if c != "group_id"]
+    alone = surrogate_id(directory.where(F.col("group_id").isNull()).select(own).distinct(), own,
+                         "group_id", S.ID_BY_PHONE_PLACE)
+    listed = directory.where(F.col("group_id").isNotNull()).select(kept).distinct()
+    rows = cut(listed.unionByName(alone.select(kept)))
+    # every group and date has a count, but only rows without a size need it
+    open_, dated = F.col("group_size").isNull(), F.col("date").isNotNull()
+    people = rows.where(dated).groupBy("group_id", "date", "npi").agg(F.max(open_).alias("__open"))
+    size = (people.groupBy("group_id", "date")
+            .agg(F.count(F.lit(1)).alias("__size"), F.max("__open").alias("__open"))
+            .where("__open").drop("__open"))
+    out = join_group_stats(rows.where(open_), size, ["group_id", "date"], how="inner")
+    out = out.withColumn("group_size", F.coalesce("group_size", "__size")).drop("__size")
+    return rows.where(~open_ & dated).unionByName(out)
 
 
 def specialties(directory: DataFrame, mds: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(first primary specialty, distinct secondary specialties) per
     physician and date."""
-    rows = semi_join(directory, mds, on=["npi"], null_equal=False)
-    primary = last_non_null(rows, ["npi", "date"], [], ["primary_specialty"], first=True)
     cols = [f"secondary_specialty_{i}" for i in range(1, 5)]
+    # both results read the directory's rows, written once with what they need
+    rows = cut(semi_join(directory.select("npi", "date", "primary_specialty", *cols), mds,
+                         on=["npi"], null_equal=False))
+    primary = last_non_null(rows, ["npi", "date"], [], ["primary_specialty"], first=True)
     secondary = (to_long(rows.select("npi", "date", *cols).distinct(), ["npi", "date"], cols,
                          "__slot", "secondary_spec")
                  .where("secondary_spec <> ' '").select("npi", "date", "secondary_spec").distinct())
@@ -463,13 +475,16 @@ def extreme_practices(groups: DataFrame, mds: DataFrame, nps: DataFrame) -> Data
     """Per physician and date: the listed location with the fewest and the one
     with the most nurse practitioners (``_min`` / ``_max`` columns)."""
     place = ["group_id", "group_size", "state", "zip", "date"]
-    numbered = surrogate_id(groups.select(*place).distinct(), place, "group_prac_zip_date_id")
-    rows = cut(join_group_stats(groups.select("npi", *place).distinct(), numbered, place,
-                                how="inner"))
+    # read by several; rows that come twice change no count and no extreme below
+    rows = cut(groups.select("npi", *place))
     pid = "group_prac_zip_date_id"
-    counts = members_per(semi_join(rows, nps, on=["npi"], null_equal=False), pid, "date", "np_count")
+    numbered = surrogate_id(rows.select(*place), place, pid, distinct=True)
+    # places are counted as they are, so only the physicians' rows meet the ids
+    there = semi_join(rows, nps, on=["npi"], null_equal=False).where(F.col("date").isNotNull())
+    counts = there.distinct().groupBy(*place).agg(F.count(F.lit(1)).alias("np_count"))
     seen = semi_join(rows, mds, on=["npi"], null_equal=False)
-    seen = join_group_stats(seen, counts, [pid, "date"]).na.fill(0, ["np_count"])
+    seen = join_group_stats(seen, numbered, place, how="inner")
+    seen = join_group_stats(seen, counts, place).na.fill(0, ["np_count"])
     carried = [pid, "group_id", "group_size", "state", "zip"]
     packed = F.struct("np_count", *carried)
     ends = seen.groupBy("npi", "date").agg(F.min(packed).alias("lo"), F.max(packed).alias("hi"))
@@ -490,7 +505,7 @@ def analysis_dataset(directory: DataFrame, mds: DataFrame, nps: DataFrame, gende
     """Physician-date panel: extreme practices, specialties, education,
     gender and waiver dates. Secondary specialties become columns: all that
     occur, or those of ``secondary_values`` under the names given there."""
-    out = extreme_practices(sole_practices(directory), mds, nps)
+    out = extreme_practices(sole_practices(directory, details=()), mds, nps)
     primary, secondary = specialties(directory, mds)
     if secondary_values is None:
         secondary_values = value_columns(secondary, "secondary_spec")

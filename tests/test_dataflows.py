@@ -203,6 +203,19 @@ def _pairs(left, right, blocked):
     return {p for p in m if sum(b == p[1] for _, b in m) == 1}
 
 
+def test_listed_sizes_need_no_count(spark):
+    d = date(2015, 1, 1)
+    listed = spark.createDataFrame([
+        (1, d, 5, 3, "A", "S", "1", "9"), (2, d, 5, None, "A", "S", "1", "9"), (2, d, 5, None, "B", "S", "1", "9"),
+        (3, d, None, None, "C", "S", "1", "9"), (4, None, 5, 3, "A", "S", "1", "9")],
+        "npi long, date date, group_id long, group_size long, org_name string, state string, zip string, phone string")
+    alone = S.ID_BY_PHONE_PLACE
+    assert rows(P.sole_practices(listed), "npi", "group_id", "group_size", "org_name") == [
+        (1, 5, 3, "A"), (2, 5, 2, "A"), (2, 5, 2, "B"), (3, alone, 1, "C")]
+    assert rows(P.sole_practices(listed, details=()), "npi", "group_id", "group_size") == [
+        (1, 5, 3), (2, 5, 2), (3, alone, 1)]
+
+
 def test_clean_matches_against_all_pairs(spark):
     rnd = random.Random(8)
     for _ in range(4):

@@ -189,6 +189,14 @@ def test_last_non_null_decides_per_column(spark):
     assert rows(W.last_non_null(df, ["k"], ["o"], ["a", "b"])) == [(1, "a", "y")]
 
 
+def test_last_non_null_leaves_out_what_only_repeats_rows(spark):
+    df = frame(spark, [(1, 1, "a"), (1, 1, "a"), (1, 2, None)], "k int, o int, a string")
+    more = frame(spark, [(1, "x"), (1, "y")], "k int, b string")
+    first = W.last_non_null(df.distinct().join(more, "k", "left"), ["k"], ["o"], ["a"])
+    assert rows(first) == [(1, "a")]
+    assert "Join" not in first._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_surrogate_ids_are_dense_and_ordered(spark):
     df = spark.range(0, 5000, 1, 7).select((F.col("id") * 7919 % 5000).alias("v"))
     got = [tuple(r) for r in W.surrogate_id(df, ["v"], "i", 100).collect()]
