@@ -222,10 +222,12 @@ GROUP_COUNTS = {"group_id": ("MDDO_gppid", "NP_gppid"), "my_group_id": ("MDDO_mg
 
 
 def role_counts(rows: DataFrame, types: DataFrame,
-                groups: Mapping[str, tuple[str, str]] = GROUP_COUNTS) -> DataFrame:
-    """Physicians and nurse practitioners per quarter, for each group id."""
+                groups: Mapping[str, tuple[str, str]] = GROUP_COUNTS,
+                of: DataFrame | None = None) -> DataFrame:
+    """Physicians and nurse practitioners per quarter, for each group id, beside
+    all rows or only those of ``of``; all rows count either way."""
     roles = types.select("npi", F.col("MD/DO").alias("__md"), F.col("NP").alias("__np"))
-    out = rows
+    out = rows if of is None else of
     for group, (md, np_) in groups.items():
         people = rows.where(F.col(group).isNotNull()).select("npi", "quarter", group).distinct()
         counts = (natural_join(people, roles, on=["npi"], null_equal=False)
@@ -235,16 +237,25 @@ def role_counts(rows: DataFrame, types: DataFrame,
     return out
 
 
-def copractices(counts: DataFrame, types: DataFrame, before: str = "2020-01-01") -> DataFrame:
-    """Largest co-practice counts per physician, quarter and state. People
-    counted as both kinds are not physicians here."""
+def physician_rows(rows: DataFrame, types: DataFrame, before: str = "2020-01-01") -> DataFrame:
+    """Rows of physicians with a state, within the period. People counted as
+    both kinds are not physicians here."""
     is_md = F.when(F.col("cat") == "both", 0).otherwise(F.col("MD/DO"))
     mds = types.where(is_md == 1).select("npi")
-    cols = [c for pair in GROUP_COUNTS.values() for c in pair]
-    rows = semi_join(counts.where((F.col("quarter") < F.lit(before).cast("date"))
-                                  & F.col("state").isNotNull()),
+    return semi_join(rows.where((F.col("quarter") < F.lit(before).cast("date"))
+                                & F.col("state").isNotNull()),
                      mds, on=["npi"], null_equal=False)
-    return rows.groupBy("npi", "quarter", "state").agg(*[F.max(c).alias(c) for c in cols])
+
+
+def largest_counts(counts: DataFrame) -> DataFrame:
+    """Largest co-practice counts per person, quarter and state."""
+    cols = [c for pair in GROUP_COUNTS.values() for c in pair]
+    return counts.groupBy("npi", "quarter", "state").agg(*[F.max(c).alias(c) for c in cols])
+
+
+def copractices(counts: DataFrame, types: DataFrame, before: str = "2020-01-01") -> DataFrame:
+    """Largest co-practice counts per physician, quarter and state."""
+    return largest_counts(physician_rows(counts, types, before))
 
 
 def urban_classes(rows: DataFrame, final: DataFrame, urban: DataFrame,
@@ -261,7 +272,8 @@ def urban_classes(rows: DataFrame, final: DataFrame, urban: DataFrame,
                              on=["__z"], null_equal=False)
         return found.select(*key, "NCHSUR2013").na.drop().distinct()
 
-    placed = semi_join(rows.select(*key, "zip").distinct(), wanted, on=key)
+    # both tries read the places
+    placed = cut(semi_join(rows.select(*key, "zip").distinct(), wanted, on=key))
     found = classify(placed, 5)
     if four_digit:
         open_rows = anti_join(placed, found.select(*key).distinct(), on=key)
@@ -620,7 +632,9 @@ def waiver_analysis(directory: DataFrame, registry_types: DataFrame, creds: Data
     locations = cut(enrollee_locations(types.select("npi"), state, zips, phones, **period))
     rows, by_registry, directory_dates, all_dates = infer_all_groups(cut(inferred), locations)
     rows = cut(rows)
-    final = copractices(role_counts(rows, types), types)
+    # all rows are counted, but only physicians' rows take the counts along
+    theirs = physician_rows(rows.select("npi", "quarter", "state", *GROUP_COUNTS), types)
+    final = largest_counts(role_counts(rows, types, of=theirs))
     final = cut(final_analysis(final, education, genders, people, crosswalk, bins))
     long, wide = panel_specialties(specialty_rows, codes_over_time, taxonomy,
                                    final.select("npi").distinct(), more_than)

@@ -203,6 +203,20 @@ def _pairs(left, right, blocked):
     return {p for p in m if sum(b == p[1] for _, b in m) == 1}
 
 
+def test_counts_come_along_only_for_the_rows_asked_for(spark):
+    q = date(2015, 1, 1)
+    people = spark.createDataFrame([(1, q, "S", 7, 8, 9), (2, q, "S", 7, 8, None), (3, q, None, 7, None, 9)],
+                                   "npi long, quarter date, state string, group_id long, "
+                                   "my_group_id long, my_group_id_npi long")
+    types = spark.createDataFrame([(1, 1, 0, "MD/DO"), (2, 0, 1, "NP"), (3, 1, 1, "both")],
+                                  '`npi` long, `MD/DO` long, `NP` long, `cat` string')
+    theirs = P.physician_rows(people, types)
+    counts = P.role_counts(people, types, of=theirs)
+    assert rows(counts, "npi", "MDDO_gppid", "NP_gppid", "MDDO_mgi", "NP_mgi", "MDDO_mginpi",
+                "NP_mginpi") == [(1, 2, 2, 1, 1, 2, 1)]
+    assert rows(P.largest_counts(counts)) == rows(P.copractices(P.role_counts(people, types), types))
+
+
 def test_listed_sizes_need_no_count(spark):
     d = date(2015, 1, 1)
     listed = spark.createDataFrame([
