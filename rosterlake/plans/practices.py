@@ -8,6 +8,7 @@ value where phones identify (two blanks match), never a value to copy.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -39,48 +40,71 @@ def infer_groups(directory: DataFrame, late_years: Sequence[int] = (2018, 2019,
 
     ``directory`` is already repaired. The first five kinds of pass look at
     one person at a time: rows are dealt by person once, and a pass is a sort
-    there. Persons of more than ``person_rows`` rows take the same passes as
-    aggregates joined back, which spread over tasks. The two eras are kept
-    apart by an extra id instead of two copies of the data.
+    there. Persons of many rows, around ``person_rows`` and more, take the same
+    passes as aggregates joined back, which spread over tasks. The two eras are
+    kept apart by an extra id instead of two copies of the data.
     """
+    rows = directory.select(*DIRECTORY)
     late = F.coalesce(F.year("date").isin(list(late_years)), F.lit(False))
-    rows = cut(directory.select(*DIRECTORY).distinct().withColumn("__late", late))
-    sizes = rows.groupBy("npi").agg(F.count(F.lit(1)).alias("__n"))
-    large = cut(sizes.where(F.col("__n") > person_rows).select("npi"))
+    large = cut(_large_persons(rows, person_rows))
     if large.isEmpty():
-        rows = cut(_passes_beside(rows))
+        rows = cut(_passes_beside(rows, late))
     else:
-        rows = cut(_passes_beside(anti_join(rows, large, on=["npi"])).unionByName(
-            _passes_joined(semi_join(rows, large, on=["npi"]))))
+        far = cut(semi_join(rows.distinct().withColumn("__late", late), large, on=["npi"]))
+        rows = cut(_passes_beside(anti_join(rows, large, on=["npi"]), late)
+                   .unionByName(_passes_joined(far)))
 
     # a value that one place, date and phone has alone is the same before and
     # after rows there are filled from it, so one table serves all the rest
-    spot = ["state", "zip", "date", "phone"]
+    # (keys that tell rows apart come first: a join sorts by them in this order)
+    spot = ["phone", "zip", "date", "state"]
     sure = consistent_value(rows.where("__grouped"), spot, "group_id")
     rest = cut(fill_from(rows.where(F.col("group_id").isNull()), sure, spot))
     found = rest.where(F.col("group_id").isNotNull())
     listed = rows.where(F.col("group_id").isNotNull())
     # only rows beside a blank one can be met by a filled one
-    beside = listed.where("__open").unionByName(found).select(*DIRECTORY).distinct()
+    beside = cut(listed.where("__open").unionByName(found).select(*DIRECTORY).distinct())
     return (listed.where("not __open").select(*DIRECTORY).unionByName(beside),
             rest.where(F.col("group_id").isNull()).select(*DIRECTORY))
 
 
+def _large_persons(rows: DataFrame, person_rows: int, hashes: int = 4) -> DataFrame:
+    """Persons who may have more than ``person_rows`` distinct rows.
+
+    The least of n hashes is near 1 / n of their range, whatever comes twice,
+    so the mean of its logarithm over a few hashes tells n to a small factor.
+    From an eighth of the bound on a person counts as large: one beyond it is
+    missed once in 10 ** 13.
+    """
+    rest = F.xxhash64(*[c for c in rows.columns if c != "npi"])
+    # how many times a hash halves its range
+    halved = [F.floor(-F.log2(F.xxhash64(rest, F.lit(i)) / F.lit(2.0 ** 64) + F.lit(0.5 + 2.0 ** -60)))
+              for i in range(hashes)]
+    most = [F.max(h.cast("tinyint")).alias(f"__most{i}") for i, h in enumerate(halved)]
+    mean = reduce(lambda a, b: a + b, [F.col(f"__most{i}") for i in range(hashes)]) / F.lit(float(hashes))
+    bound = math.log2(max(person_rows / 8, 1e-3)) + 0.33
+    return rows.groupBy("npi").agg(*most).where(mean >= bound).select("npi")
+
+
 _PLACE = ["npi", "state", "zip", "phone"]
 _DETAILS = ["zip", "org_name", "group_size", "state", "phone"]
 _SPOT = ["npi", "date", "state", "zip", "phone"]
 
 
-def _passes_beside(rows: DataFrame) -> DataFrame:
+def _passes_beside(rows: DataFrame, late: Column) -> DataFrame:
     """The passes within a person, for persons that fit one task: distinct rows,
     with whether the person has a group (``__grouped``; others stay as they are)
     and whether a row of the same date and place is without (``__open``).
 
-    All keys begin with the person, so rows move once; passes whose keys begin
-    alike share a sort.
+    All keys begin with the person, so rows move once, as the person's set of
+    rows (a distinct below that only takes copies away drops out of the plan);
+    passes whose keys begin alike share a sort.
     """
     blank = F.col("group_id").isNull()
-    rows = rows.repartition("npi").sortWithinPartitions(*_PLACE)
+    rest = [c for c in DIRECTORY if c != "npi"]
+    sets = rows.groupBy("npi").agg(F.collect_set(F.struct(*rest)).alias("__rows"))
+    rows = sets.select("npi", F.inline("__rows")).withColumn("__late", late)
+    rows = rows.sortWithinPartitions(*_PLACE)
     rows = rows.withColumn("__grouped", F.max(~blank).over(Window.partitionBy("npi")))
     rows = fill_beside(rows, _PLACE, ["group_id"], ["phone"])
     rows = rows.sortWithinPartitions("npi", "group_id", "__late")
@@ -133,7 +157,7 @@ def impute_groups(known: DataFrame, missing: DataFrame
         rows.where(F.col("phone").isNull()).select("npi", "state", "zip").distinct(),
         ["npi", "state", "zip"], "my_group_id", S.ID_BY_PERSON_PLACE)
     out = (join_group_stats(rows.where(F.col("phone").isNotNull()), by_phone,
-                            ["state", "zip", "phone"], how="inner")
+                            ["phone", "zip", "state"], how="inner")
            .unionByName(join_group_stats(rows.where(F.col("phone").isNull()), by_person,
                                          ["npi", "state", "zip"], how="inner")))
     return (out, members_per(out, "group_id", "date", "num_group_members_GPPID_recalc"),
@@ -149,10 +173,14 @@ def members_per(df: DataFrame, group: str, period: str, out: str,
 
 
 def directory_quarters(df: DataFrame, columns: Sequence[str],
-                       backfill: Sequence[tuple[str, str]] = S.QUARTER_BACKFILL) -> DataFrame:
-    """Distinct rows by quarter, with missing quarters copied from the next."""
-    rows = df.withColumn("quarter", quarter_start("date")).select(*columns, "quarter").distinct()
-    return backfill_periods(rows, backfill)
+                       backfill: Sequence[tuple[str, str]] = S.QUARTER_BACKFILL,
+                       once: bool = False) -> DataFrame:
+    """Distinct rows by quarter, with missing quarters copied from the next;
+    with ``once`` a copy that equals a row of its new quarter is left out."""
+    rows = df.withColumn("quarter", quarter_start("date")).select(*columns, "quarter")
+    if once:
+        return backfill_periods(rows, backfill).distinct()
+    return backfill_periods(rows.distinct(), backfill)
 
 
 def infer_all_groups(inferred: DataFrame, locations: DataFrame,
@@ -166,45 +194,55 @@ def infer_all_groups(inferred: DataFrame, locations: DataFrame,
     loc = locations.select("npi", "quarter", F.col("plocstatename").alias("state"),
                            F.col("ploczip").alias("zip"), F.col("ploctel").alias("phone"))
     loc = cut(loc.distinct())
-    spot = ["state", "zip", "phone", "quarter"]
-    places = surrogate_id(loc.select(*spot).distinct(), ["quarter", "state", "zip", "phone"],
-                          "my_group_id_npi", S.ID_BY_REGISTRY_PLACE)
+    spot = ["phone", "zip", "quarter", "state"]
+    places = surrogate_id(loc.select(*spot), ["quarter", "state", "zip", "phone"],
+                          "my_group_id_npi", S.ID_BY_REGISTRY_PLACE, distinct=True)
     registry = join_group_stats(loc, places, spot, how="inner")
     members = members_per(registry, "my_group_id_npi", "quarter",
                           "num_group_members_myid_npi_recalc")
 
     cols = ["state", "zip", "phone", "group_id", "my_group_id", "npi"]
-    base = cut(directory_quarters(inferred, cols, backfill))
-    called = base.where(F.col("phone").isNotNull())
-    own = [*spot, "npi"]
-
-    def sure(ids: Sequence[str], tag: str) -> DataFrame:
-        """Listed group and own id where a place (or person there) has just one."""
-        usable = called.where(F.col("state").isNotNull() & F.col("zip").isNotNull())
-        aggs = [f(c).alias(f"__{end}_{c}") for c in targets
-                for f, end in ((F.min, "lo"), (F.max, "hi"))]
-        return usable.groupBy(*ids).agg(*aggs).select(*ids, *[
-            F.when(F.col(f"__lo_{c}") == F.col(f"__hi_{c}"), F.col(f"__hi_{c}"))
-            .alias(f"__{tag}_{c}") for c in targets])
-
-    targets = ["group_id", "my_group_id"]
-    known = loc.where(F.col("phone").isNotNull())
-    known = join_group_stats(known, sure(spot, "any"), spot)
-    known = join_group_stats(known, sure(own, "own"), own)
-    # every found group beside every found own id; nothing found, no row
-    found = {c: F.array_distinct(F.array_compact(F.array(f"__any_{c}", f"__own_{c}")))
-             for c in targets}
-    hit = known.where(F.coalesce(*[f"__{k}_{c}" for k in ("any", "own") for c in targets]).isNotNull())
-    hit = hit.select(*own, *[v.alias(f"__{c}") for c, v in found.items()])
-    for c in targets:
-        hit = hit.select("*", F.explode_outer(f"__{c}").alias(c))
-    hit = hit.select(*base.columns)
-    grown = base.unionByName(hit).distinct()
-    # blank phones of the two sources are different values
+    base = cut(directory_quarters(inferred, cols, backfill, once=True))
+    usable = F.col("phone").isNotNull() & F.col("state").isNotNull() & F.col("zip").isNotNull()
+    own, targets = ["npi", *spot], ["group_id", "my_group_id"]
+    ends = [f(c).alias(f"__{end}_{c}") for c in targets for f, end in ((F.min, "lo"), (F.max, "hi"))]
+
+    def only(c: str) -> Column:
+        return F.when(F.col(f"__lo_{c}") == F.col(f"__hi_{c}"), F.col(f"__hi_{c}"))
+
+    # listed group and own id where a place has just one, beside its number
+    alone = base.where(usable).groupBy(*spot).agg(*ends).select(
+        *spot, *[only(c).alias(f"__any_{c}") for c in targets])
+    seen = cut(join_group_stats(loc, join_group_stats(places, alone, spot), spot, how="inner"))
+
+    # Blank phones of the two sources are different values. Both joins below
+    # take the same columns, so each side moves once for them.
     blank = F.col("phone").isNull()
-    out = natural_join(grown.withColumn("__blank", F.when(blank, "directory")),
-                       registry.withColumn("__blank", F.when(blank, "registry")),
-                       "outer", on=[*own, "__blank"]).drop("__blank")
+    key = [*own, "__blank"]
+    listed = base.withColumn("__blank", F.when(blank, "directory").otherwise(""))
+    known = seen.withColumn("__blank", F.when(blank, "registry").otherwise(""))
+    known = known.withColumnsRenamed({c: f"__known_{c}" for c in key})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__known_{c}")) for c in key])
+    # a registry row that no listed row meets takes what its place has alone
+    both, is_listed = listed.join(known, same, "outer"), F.col("__blank").isNotNull()
+    both = both.select(*[F.when(is_listed, F.col(c)).otherwise(
+        F.col(f"__any_{c}" if c in targets else f"__known_{c}")).alias(c) for c in base.columns],
+        "my_group_id_npi")
+
+    # One that meets some takes that, or else what the person has alone there,
+    # as a row of its own if none of them has it. A place's only value is the
+    # only one of all who are there, so a value is that one if it is known.
+    has = {c: F.col(c).isNotNull() for c in targets}
+    as_known = {"__both": has["group_id"] & has["my_group_id"], "__group": has["group_id"] & ~has["my_group_id"],
+                "__own": ~has["group_id"] & has["my_group_id"]}
+    ends = [f(F.when(usable, F.col(c))).alias(f"__{end}_{c}") for c in targets
+            for f, end in ((F.min, "lo"), (F.max, "hi"))]
+    met = listed.join(known, same).groupBy(*own, "my_group_id_npi", *[f"__any_{c}" for c in targets]).agg(
+        *ends, *[F.max(v).alias(n) for n, v in as_known.items()])
+    met = met.withColumns({c: F.coalesce(F.col(f"__any_{c}"), only(c)) for c in targets})
+    new = (F.when(as_known["__both"], ~F.col("__both")).when(as_known["__group"], ~F.col("__group"))
+           .when(as_known["__own"], ~F.col("__own")))
+    out = both.unionByName(met.where(new).select(*both.columns))
 
     def dates(df: DataFrame) -> DataFrame:
         return df.groupBy("npi").agg(F.min("quarter").alias("quarter_x"),
@@ -212,7 +250,7 @@ def infer_all_groups(inferred: DataFrame, locations: DataFrame,
 
     # an outer join keeps every row of both sides and changes no person or
     # quarter, so the dates of ``out`` are those of its sides, without it
-    sides = [df.select("npi", "quarter") for df in (base, hit, registry)]
+    sides = [df.select("npi", "quarter") for df in (base, loc)]
     return out, members, dates(base), dates(reduce(lambda a, b: a.unionByName(b), sides))
 
 
@@ -225,15 +263,29 @@ def role_counts(rows: DataFrame, types: DataFrame,
                 groups: Mapping[str, tuple[str, str]] = GROUP_COUNTS,
                 of: DataFrame | None = None) -> DataFrame:
     """Physicians and nurse practitioners per quarter, for each group id, beside
-    all rows or only those of ``of``; all rows count either way."""
-    roles = types.select("npi", F.col("MD/DO").alias("__md"), F.col("NP").alias("__np"))
+    all rows or only those of ``of``; all rows count either way.
+
+    Rows move by person once, to meet their roles; a person is counted once per
+    quarter and group where the roles were met, for all group ids together.
+    """
+    roles = types.groupBy("npi").agg(F.sum("MD/DO").alias("__md"), F.sum("NP").alias("__np"))
+    # as in ``join_group_stats``, but the rows stay as they are dealt
+    zero, key = F.pmod(F.xxhash64("npi"), F.lit(1)), ["npi", "__spread"]
+    met = natural_join(rows.select("npi", "quarter", *groups).withColumn("__spread", zero),
+                       roles.withColumn("__spread", zero), on=key, null_equal=False)
+    kinds = {met.schema[g].dataType for g in groups}
+    ids = {g: F.col(g) if len(kinds) == 1 else F.col(g).cast("string") for g in groups}
+    pairs = F.array(*[F.struct(F.lit(i).alias("__kind"), c.alias("__group")) for i, c in enumerate(ids.values())])
+    people = (met.select(*key, "quarter", F.inline(pairs), "__md", "__np")
+              .where(F.col("__group").isNotNull()).distinct())
+    counts = cut(people.groupBy("quarter", "__kind", "__group")
+                 .agg(F.sum("__md").alias("__md"), F.sum("__np").alias("__np")))
     out = rows if of is None else of
-    for group, (md, np_) in groups.items():
-        people = rows.where(F.col(group).isNotNull()).select("npi", "quarter", group).distinct()
-        counts = (natural_join(people, roles, on=["npi"], null_equal=False)
-                  .groupBy("quarter", group)
-                  .agg(F.sum("__md").alias(md), F.sum("__np").alias(np_)))
-        out = join_group_stats(out, counts, ["quarter", group])
+    for i, (group, (md, np_)) in enumerate(groups.items()):
+        per = counts.where(F.col("__kind") == i).select(
+            "quarter", F.col("__group").cast(met.schema[group].dataType).alias(group),
+            F.col("__md").alias(md), F.col("__np").alias(np_))
+        out = join_group_stats(out, per, [group, "quarter"])
     return out
 
 
@@ -261,25 +313,31 @@ def copractices(counts: DataFrame, types: DataFrame, before: str = "2020-01-01")
 def urban_classes(rows: DataFrame, final: DataFrame, urban: DataFrame,
                   four_digit: bool = True, classes: Sequence[int] = range(1, 7)) -> DataFrame:
     """Urban-class indicators per person, quarter and state, from 5-digit
-    ZIPs; panel rows without any get them from 4-digit ZIPs."""
+    ZIPs; panel rows without any get them from 4-digit ZIPs.
+
+    Classes are looked up per ZIP, by both lengths, as one bit per class and
+    one for any; a panel row has the bits of its ZIPs.
+    """
     key = ["npi", "quarter", "state"]
     names = {c: f"NCHSUR2013_{c}" for c in classes}
-    wanted = final.select(*key).distinct()
-
-    def classify(df: DataFrame, n: int) -> DataFrame:
-        dim = urban.select(F.substring("ZCTA5", 1, n).alias("__z"), "NCHSUR2013").distinct()
-        found = natural_join(df.withColumn("__z", F.substring("zip", 1, n)), dim,
-                             on=["__z"], null_equal=False)
-        return found.select(*key, "NCHSUR2013").na.drop().distinct()
-
-    # both tries read the places
-    placed = cut(semi_join(rows.select(*key, "zip").distinct(), wanted, on=key))
-    found = classify(placed, 5)
-    if four_digit:
-        open_rows = anti_join(placed, found.select(*key).distinct(), on=key)
-        found = found.unionByName(classify(open_rows, 4))
-    wide = indicators(found, key, "NCHSUR2013", names)
-    return (natural_join(final, wide, "left", on=key)
+    bits = reduce(lambda a, b: a + b, [F.when(F.col("NCHSUR2013") == F.lit(c), F.lit(2 << i).cast("long"))
+                                       .otherwise(F.lit(0)) for i, c in enumerate(names)], F.lit(1))
+    zips = rows.select(F.substring("zip", 1, 5).alias("__z5")).distinct()
+    zips = zips.withColumn("__z4", F.substring("__z5", 1, 4))
+    for n in (5, 4):
+        dim = (urban.where(F.col("NCHSUR2013").isNotNull())
+               .groupBy(F.substring("ZCTA5", 1, n).alias(f"__z{n}")).agg(F.bit_or(bits).alias(f"__bits{n}")))
+        zips = natural_join(zips, dim, "left", on=[f"__z{n}"], null_equal=False)
+    placed = rows.select(*key, F.substring("zip", 1, 5).alias("__z5")).na.drop()
+    placed = join_group_stats(placed, zips.select("__z5", "__bits5", "__bits4"), ["__z5"], "inner",
+                              null_equal=False)
+    found = placed.groupBy(*key).agg(F.bit_or("__bits5").alias("__bits5"),
+                                     F.bit_or("__bits4").alias("__bits4"))
+    mine = F.coalesce("__bits5", *["__bits4"] * four_digit, F.lit(0))
+    wide = found.select(*key, *[mine.bitwiseAND(F.lit(2 << i)).cast("boolean").cast("int").alias(name)
+                                for i, name in enumerate(names.values())])
+    # a panel row without person, quarter or state has no place here
+    return (natural_join(final, wide, "left", on=key, null_equal=False)
             .na.fill(0, list(names.values())))
 
 
@@ -305,12 +363,13 @@ def enrollee_locations(subset: DataFrame, state: DataFrame, zips: DataFrame, pho
     def part(df: DataFrame, column: str) -> DataFrame:
         # a quarter starts on or after ``start`` exactly if its months do
         inside = df.where((F.col("month") >= quarter_start(lo)) & (F.col("month") < quarter_start(hi)))
-        return semi_join(inside.select("npi", "month", column), subset.select("npi"),
-                         on=["npi"], null_equal=False)
+        return inside.select("npi", "month", column)
 
     key = ["npi", "month"]
-    out = natural_join(part(state, "plocstatename"), part(zips, "ploczip"), on=key,
-                       null_equal=False)
+    # who is left out of one part is left out of all
+    first = semi_join(part(state, "plocstatename"), subset.select("npi"), on=["npi"],
+                      null_equal=False)
+    out = natural_join(first, part(zips, "ploczip"), on=key, null_equal=False)
     out = natural_join(out, part(phones, "ploctel"), on=key, null_equal=False)
     return out.withColumn("quarter", quarter_start("month")).drop("month").distinct()
 
@@ -541,12 +600,15 @@ def long_specialties(directory: DataFrame, codes: DataFrame, taxonomy: DataFrame
     """Every specialty of the panel's people, from directory and taxonomy, in
     one spelling."""
     cols = ["primary_specialty", *[f"secondary_specialty_{i}" for i in range(1, 5)]]
-    listed = (to_long(directory.select("npi", *cols).distinct(), ["npi"], cols, "__slot", "spec")
-              .where("spec <> ' '").select("npi", "spec"))
+    who = people.select("npi")
+    # a person's values of a column are few; sets of them are narrowed to the panel
+    sets = directory.groupBy("npi").agg(*[F.collect_set(F.nullif(c, F.lit(" "))).alias(c) for c in cols])
+    sets = semi_join(sets, who, on=["npi"], null_equal=False)
+    listed = sets.select("npi", F.explode(F.array_distinct(F.flatten(F.array(*cols)))).alias("spec"))
     dim = taxonomy.select(F.col("TaxonomyCode").alias("ptaxcode"), "Classification",
                           "Specialization")
-    tax = natural_join(codes.select("npi", "ptaxcode").distinct(), dim, on=["ptaxcode"],
-                       null_equal=False)
+    tax = natural_join(semi_join(codes.select("npi", "ptaxcode"), who, on=["npi"], null_equal=False),
+                       dim, on=["ptaxcode"], null_equal=False)
     general = F.coalesce(F.col("Specialization") == "General Practice", F.lit(False))
     tax = (to_long(tax.withColumn("__general", general), ["npi", "__general"],
                    ["Classification", "Specialization"], "__from", "spec")
@@ -557,8 +619,7 @@ def long_specialties(directory: DataFrame, codes: DataFrame, taxonomy: DataFrame
     fixed = F.when(F.col("spec") == "PREVENTATIVE MEDICINE", "PREVENTIVE MEDICINE").otherwise(
         F.col("spec"))
     both = listed.unionByName(tax.select("npi", "spec")).distinct()
-    return semi_join(both.withColumn("spec", F.trim(fixed)), people.select("npi"),
-                     on=["npi"], null_equal=False)
+    return both.withColumn("spec", F.trim(fixed))
 
 
 def frequent_specialties(specialties_long: DataFrame, more_than: int = 500) -> DataFrame:
@@ -624,22 +685,21 @@ def waiver_analysis(directory: DataFrame, registry_types: DataFrame, creds: Data
 
     ``specialty_rows``: npi, primary_specialty, secondary_specialty_1 to 4.
     """
-    known, missing = infer_groups(directory)
-    known = cut(known)
-    inferred, by_listed, by_own = impute_groups(known, missing)
+    inferred, by_listed, by_own = impute_groups(*infer_groups(directory))
     subset, types = reconcile_types(registry_types, creds, listed_types)
     types = cut(types)
-    locations = cut(enrollee_locations(types.select("npi"), state, zips, phones, **period))
-    rows, by_registry, directory_dates, all_dates = infer_all_groups(cut(inferred), locations)
-    rows = cut(rows)
-    # all rows are counted, but only physicians' rows take the counts along
-    theirs = physician_rows(rows.select("npi", "quarter", "state", *GROUP_COUNTS), types)
-    final = largest_counts(role_counts(rows, types, of=theirs))
+    locations = enrollee_locations(types.select("npi"), state, zips, phones, **period)
+    rows, by_registry, directory_dates, all_dates = infer_all_groups(inferred, locations)
+    rows = cut(rows.drop("phone"))
+    # all rows are counted, but only physicians' rows take the counts along, and
+    # the panel has no other places
+    theirs = cut(physician_rows(rows, types))
+    final = largest_counts(role_counts(rows, types, of=theirs.drop("zip")))
     final = cut(final_analysis(final, education, genders, people, crosswalk, bins))
     long, wide = panel_specialties(specialty_rows, codes_over_time, taxonomy,
                                    final.select("npi").distinct(), more_than)
     enumerated, spans, first = enrollment_dates(final, all_dates, enumeration, codes_over_time)
-    return {"final": urban_classes(rows, final, urban), "specialties": long,
+    return {"final": urban_classes(theirs, final, urban), "specialties": long,
             "specializations": wide, "enumeration": enumerated,
             "spans": spans, "first_working_quarter": first,
             "members_by_listed_group": by_listed, "members_by_own_group": by_own,

@@ -395,3 +395,125 @@ def test_elapsed_dates(spark):
     assert r[6] == dt.datetime(1960, 1, 1, 0, 0, 1)
     with pytest.raises(ValueError):
         D.elapsed_to_timestamp("n", "tx")
+
+
+# --------------------------------------------------- the chain moves rows once
+
+def _physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield lambda: spark.conf.set("spark.sql.adaptive.enabled", "false")
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+def test_distinct_rows_move_by_person_only(spark):
+    df = spark.createDataFrame([(1, date(2014, 1, 1), "O", 7, 5, "MA", "1", "2")] * 2 + [(1, None, None, None, None, None, None, None)],
+                               "npi int, date date, org_name string, group_id int, group_size int, state string, zip string, phone string")
+    out = P._passes_beside(df.distinct(), F.lit(False))
+    assert _physical(out).count("Exchange hashpartitioning") == 1 and out.count() == 2
+    # many distinct rows make a person large, many copies do not
+    many = spark.range(40_000).select((F.col("id") % 2).alias("npi"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("v"))
+    assert rows(P._large_persons(many, 1000)) == [(0,)] and rows(P._large_persons(many, 0)) == [(0,), (1,)]
+
+
+def test_all_groups_against_the_passes(spark, no_broadcast):
+    rnd = random.Random(11)
+    quarters = [date(2014, 1, 1), date(2014, 4, 1), date(2014, 7, 1), None]
+    places = [(s, z, p) for s in ("S", "T", None) for z in ("1", None) for p in ("5", "6", None)]
+    inferred = [(*rnd.choice(places), rnd.choice([7, 8, None]), rnd.choice([90, 91]), rnd.choice([1, 2, 3, 4, None]), rnd.choice(quarters))
+                for _ in range(90)]
+    located = [(rnd.choice([1, 2, 3, 4, 5, None]), rnd.choice(quarters), *rnd.choice(places)) for _ in range(70)]
+    back = [("2014-07-01", "2014-04-01")]    # some copies are there already
+    dated = {r for r in inferred if r[6]}    # a row without a date has no quarter to stand in
+    base = dated | {(*r[:6], date(2014, 4, 1)) for r in dated if r[6] == date(2014, 7, 1)}
+    called = [r for r in base if None not in r[:3]]
+
+    def only(values):
+        values = {v for v in values if v is not None}
+        return values.pop() if len(values) == 1 else None
+
+    loc = set(located)
+    hits = set()
+    for npi, q, *place in loc:
+        if place[2] is not None:
+            at = [r for r in called if [*r[:3], r[6]] == [*place, q]]
+            own = [r for r in at if r[5] == npi]
+            found = [{only(r[c] for r in some) for some in (at, own)} - {None} for c in (3, 4)]
+            if any(found):
+                hits |= {(*place, g, m, npi, q) for g in found[0] or [None] for m in found[1] or [None]}
+    grown, ids = base | hits, {}
+    for npi, q, *place in sorted(loc, key=lambda r: [(v is not None, v) for v in (r[1], *r[2:])]):
+        ids.setdefault((q, *place), S.ID_BY_REGISTRY_PLACE + len(ids))
+    want = [(*r, ids[(r[6], *r[:3])] if r[2] is not None and (r[5], r[6], *r[:3]) in loc else None) for r in grown]
+    met = {(r[5], r[6], *r[:3]) for r in grown if r[2] is not None}
+    want += [(*r[2:], None, None, r[0], r[1], ids[r[1:]]) for r in loc if r not in met]
+
+    args = (spark.createDataFrame(inferred, "state string, zip string, phone string, group_id long, my_group_id long, npi long, date date"),
+            spark.createDataFrame(located, "npi long, quarter date, plocstatename string, ploczip string, ploctel string"), back)
+    out, _, _, dates = P.infer_all_groups(*args)
+    names = ["state", "zip", "phone", "group_id", "my_group_id", "npi", "quarter", "my_group_id_npi"]
+    assert out.columns == names
+    assert rows(out) == sorted(want, key=lambda r: tuple((v is not None, str(v)) for v in r))
+    assert rows(dates) == rows(out.groupBy("npi").agg(F.min("quarter"), F.max("quarter")))
+    no_broadcast()    # the listed and the registry's rows move once each for both joins
+    assert _physical(P.infer_all_groups(*args)[0]).count("ReusedExchange") == 2
+
+
+def test_rows_meet_roles_in_one_move(spark, no_broadcast, monkeypatch):
+    q = date(2015, 1, 1)
+    people = spark.createDataFrame([(1, q, 7, 8, None), (1, q, 7, 9, None), (2, q, 7, 8, 5), (2, None, 7, None, 5), (3, q, 7, 8, 5), (None, q, 7, 8, 5)],
+                                   "npi long, quarter date, group_id int, my_group_id long, my_group_id_npi long")
+    types = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (2, 0, 1), (None, 1, 1)], "`npi` long, `MD/DO` int, `NP` int")
+    plans, cut = [], P.cut
+    monkeypatch.setattr(P, "cut", lambda d: plans.append(_physical(d)) or cut(d))
+    got = P.role_counts(people, types)
+    assert rows(got.where("npi = 2"), "quarter", "MDDO_gppid", "NP_gppid", "MDDO_mgi", "NP_mgi", "MDDO_mginpi", "NP_mginpi") == [
+        (None, 0, 1, None, None, 0, 1), (q, 2, 2, 2, 2, 0, 1)]
+    assert rows(got.where("my_group_id = 9"), "npi", "MDDO_mgi", "NP_mgi", "MDDO_mginpi") == [(1, 2, 1, None)]
+    # rows and roles by person, the roles' sums and the counts: persons are not dealt again
+    assert len(plans) == 1 and plans[0].count("Exchange hashpartitioning") == 4
+
+
+def test_urban_classes_of_zips(spark):
+    q = date(2015, 1, 1)
+    seen = spark.createDataFrame([(1, q, "S", "123450001"), (1, q, "S", "12399"), (2, q, "S", "12349"), (3, q, "S", "55555"), (3, q, "S", None),
+                                  (4, q, "S", "1234"), (5, q, "S", "77777"), (6, q, None, "12345"), (1, None, "S", "12345")],
+                                 "npi long, quarter date, state string, zip string")
+    urban = spark.createDataFrame([("12345", 1), ("12346", 2), ("12399", 6), ("55555", 9), ("55556", 3), ("77778", None)], "ZCTA5 string, NCHSUR2013 int")
+    final = seen.select("npi", "quarter", "state").distinct().withColumn("x", F.col("npi") * 2)
+    out = P.urban_classes(seen, final, urban)
+    names = [f"NCHSUR2013_{c}" for c in range(1, 7)]
+    assert out.columns == [*final.columns, *names] and out.count() == 7
+    got = {(r.npi, r.quarter): [c for c in range(1, 7) if r[f"NCHSUR2013_{c}"]] for r in out.collect()}
+    # a class that has no column is found all the same, so no 4-digit ZIP is tried
+    assert got == {(1, q): [1, 6], (2, q): [1, 2], (3, q): [], (4, q): [1, 2], (5, q): [], (6, q): [], (1, None): []}
+    assert "RepartitionByExpression" not in _physical(out) and "LeftAnti" not in _physical(out)
+    short = P.urban_classes(seen, final, urban, four_digit=False)
+    assert rows(short.where("npi = 2"), *names) == [(0,) * 6]
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    import time
+
+    from rosterlake.session import CLEANUP, cut
+
+    def shuffled():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ")
+        return {f for f in found.split() if f.endswith(".data") and "shuffle_" in f}
+
+    before, setting = shuffled(), spark.conf.get(CLEANUP, None)
+    table = cut(spark.range(2000).groupBy((F.col("id") % 500).alias("k")).count())
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before and table.count() == 500
+    assert spark.conf.get(CLEANUP, None) == setting
+    spark.range(2000).groupBy((F.col("id") % 500).alias("k")).count().write.format("noop").mode("overwrite").save()
+    assert shuffled() - before    # so the above is seen at all
