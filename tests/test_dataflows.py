@@ -517,3 +517,20 @@ def test_written_tables_leave_no_shuffle_files(spark):
     assert spark.conf.get(CLEANUP, None) == setting
     spark.range(2000).groupBy((F.col("id") % 500).alias("k")).count().write.format("noop").mode("overwrite").save()
     assert shuffled() - before    # so the above is seen at all
+
+
+def test_specialties_are_narrowed_to_the_panel_first(spark):
+    cols = ["primary_specialty", *[f"secondary_specialty_{i}" for i in range(1, 5)]]
+    listed = spark.createDataFrame([(1, "PREVENTATIVE MEDICINE", " ", "SUB", None, None), (1, "PREVENTIVE MEDICINE", "SUB", None, " ", None),
+                                    (2, "SUB", None, None, None, None), (3, None, " ", None, None, None), (None, "SUB", None, None, None, None)],
+                                   "npi int, " + ", ".join(f"{c} string" for c in cols))
+    codes = spark.createDataFrame([(1, "T1"), (1, "T1"), (2, "T2"), (3, "T2"), (None, "T1")], "npi int, ptaxcode string")
+    taxonomy = spark.createDataFrame([("T1", "Sub", "Adult -"), ("T2", "General Practice", "General Practice")],
+                                     "TaxonomyCode string, Classification string, Specialization string")
+    out = P.long_specialties(listed.distinct(), codes, taxonomy, spark.createDataFrame([(1,), (1,), (3,)], "npi int"))
+    # two spellings are put right after copies are left out, so both stay
+    assert rows(out, "npi", "spec") == [(1, "ADULT"), (1, "PREVENTIVE MEDICINE"), (1, "PREVENTIVE MEDICINE"), (1, "SUB")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("LeftSemi") and plan.count("LeftSemi") == 2
+    # the distinct of all rows, which changes no set, is not run
+    assert plan.count("Aggregate [") == 2
